@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 # Fixed values ---------------------------------------------------------------
 DROP = "U+005C__DROP__"
 INTERNAL_ERROR_CODE = "Internal error"
@@ -16,3 +18,10 @@ PAYLOAD_FORMAT = "payload:%s event_time:%s watermark:%s"
 COUNTER_FORMAT = "counter:%d interval_window_start:%s interval_window_end:%s"
 FINAL_COUNTER_FORMAT = "counter:%d (FINAL) interval_window_start:%s interval_window_end:%s"
 # ----------------------------------------------------------------------------
+
+MISSING_TIME = datetime(1, 1, 1, tzinfo=timezone.utc)
+EPOCH_TIME = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+def at_micros(micros: int) -> datetime:
+    return EPOCH_TIME + timedelta(microseconds=micros)

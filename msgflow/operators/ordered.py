@@ -73,7 +73,7 @@ def _frozen(df: DataFrame) -> DataFrame:
 
     Only hot groups come here, at most HOT_SHARE of them with at most PIECES cuts each.
     """
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
 
 
 def hot_groups(df: DataFrame, group: Sequence[str], hot_rows: int = HOT_ROWS, hot_share: int = HOT_SHARE) -> DataFrame:
@@ -89,7 +89,9 @@ def _cuts(df: DataFrame, group: Sequence[str], number: Column, hot: DataFrame, h
     ``_coarse`` is every STRIDE-th cut; ``_spikes`` are the values that fill more than one piece.
     """
     rows = _lookup(df, hot, group, how="inner")
-    points = F.percentile_approx(number, [i / PIECES for i in range(1, PIECES)], F.lit(10_000))
+    shares = ",".join(f"{i / PIECES}D" for i in range(1, PIECES))
+    points = F.expr(f"percentile_approx(_number, array({shares}), 10000)")
+    rows = rows.select(*group, number.alias("_number"), "_n")
     found = rows.groupBy(*group).agg(points.alias("_all"), F.max("_n").alias("_n"))
     step = F.greatest(F.lit(1), F.floor(F.lit(PIECES).cast("bigint") * hot_rows / F.col("_n")).cast("int"))
     found = found.withColumn("_cuts", F.filter("_all", lambda _, i: (i + 1) % step == 0))

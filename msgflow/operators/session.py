@@ -41,32 +41,37 @@ def interval_micros(text: str) -> Column:
     return F.unix_micros(zero + F.expr(f"interval {text}")) - F.unix_micros(zero)
 
 
+def number_sessions(parts: DataFrame, group: Sequence[str], gap: Column) -> DataFrame:
+    """Number the sessions of each group from 1, in ``_no``; parts at most ``gap`` apart share one.
+
+    Parts have ``_lo`` and ``_hi`` in microseconds and may overlap.
+    """
+    w = Window.partitionBy(*group).orderBy("_lo")
+    reached = F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.coalesce(F.col("_lo") - reached > gap, F.lit(True))
+    marked = parts.withColumn("_new", starts.cast("bigint"))
+    no = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return marked.withColumn("_no", no).drop("_new")
+
+
 def merge_sessions(
     parts: DataFrame, group: Sequence[str], gap: Column, merges: Mapping[str, Column], *, block: int = BLOCK
 ) -> DataFrame:
     """Merge partial sessions: rows (group, ``_lo``, ``_hi`` in microseconds, states).
 
-    Each part must lie in one gap-long bucket, or have absorbed its neighbours. ``merges`` maps state
-    columns to merging aggregates. Parts at most ``gap`` apart merge.
+    Each part lies in one gap-long bucket. ``merges`` maps state columns to merging aggregates.
     """
     group = list(group)
-    numbered = parts.withColumn("_block", F.floor(F.col("_lo") / (gap * block)))
-
-    def join_neighbours(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy("_lo")
-        starts = F.col("_lo") - F.lag("_hi").over(w) > gap
-        df = df.withColumn("_new", F.coalesce(starts, F.lit(True)).cast("bigint"))
-        df = df.withColumn("_no", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        return df.groupBy(*keys, "_no").agg(
-            F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), *[m.alias(n) for n, m in merges.items()]
-        )
-
-    local = join_neighbours(numbered, [*group, "_block"])
-    whole = Window.partitionBy(*group, "_block")
-    edge = (F.col("_no") == 1) | (F.col("_no") == F.max("_no").over(whole))
+    states = [F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), *[m.alias(n) for n, m in merges.items()]]
+    in_block = [*group, "_block"]
+    numbered = number_sessions(parts.withColumn("_block", F.floor(F.col("_lo") / (gap * block))), in_block, gap)
+    local = numbered.groupBy(*in_block, "_no").agg(*states)
+    edge = (F.col("_no") == 1) | (F.col("_no") == F.max("_no").over(Window.partitionBy(*in_block)))
     # Edge sessions of a group meet in one place; inner ones are complete and stay in their block.
     local = local.withColumn("_place", F.when(~edge, F.col("_block"))).drop("_no", "_block")
-    return join_neighbours(local, [*group, "_place"]).drop("_no", "_place")
+    in_place = [*group, "_place"]
+    final = number_sessions(local, in_place, gap).groupBy(*in_place, "_no").agg(*states)
+    return final.drop("_no", "_place")
 
 
 def session_reduce(

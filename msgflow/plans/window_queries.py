@@ -16,7 +16,9 @@ from msgflow.operators import windows as W
 from msgflow.plans.registry import cents, event_messages, query, time_text
 from msgflow.sources.tables import read_table
 
-_BOUNDS = (time_text("window.start").alias("window_start"), time_text("window.end").alias("window_end"))
+
+def _bounds():
+    return time_text("window.start").alias("window_start"), time_text("window.end").alias("window_end")
 
 
 @query(
@@ -32,7 +34,7 @@ _BOUNDS = (time_text("window.start").alias("window_start"), time_text("window.en
 def reduce_fixed_keyed(spark, base):
     rows = event_messages(spark, base, "cents")
     out = RD.reduce_window(rows, "1 hour", F.count(F.lit(1)).alias("counter"), F.sum("cents").alias("cents"))
-    return out.select(*_BOUNDS, F.element_at("keys", 1).alias("key"), "counter", "cents")
+    return out.select(*_bounds(), F.element_at("keys", 1).alias("key"), "counter", "cents")
 
 
 @query(
@@ -110,7 +112,7 @@ def lineitem_weekly(spark, base):
 )
 def window_eof(spark, base):
     reduced = RD.reduce_window(event_messages(spark, base), "6 hours", F.count(F.lit(1)).alias("counter"))
-    return W.window_eof(reduced).select(*_BOUNDS, "eof")
+    return W.window_eof(reduced).select(*_bounds(), "eof")
 
 
 @query(
@@ -239,7 +241,7 @@ def _whole(spark, base):
     )
 
 
-_SESSION_SQL = """
+SESSION_SQL = """
     WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w > INTERVAL {gap} THEN 1 ELSE 0 END AS new
                FROM events WINDOW w AS (PARTITION BY {key} ORDER BY ts, event_id)),
     s AS (SELECT *, sum(new) OVER (PARTITION BY {key} ORDER BY ts, event_id) AS no FROM g)
@@ -250,27 +252,29 @@ _SESSION_SQL = """
     FROM s GROUP BY {key}, no
 """
 
-_SESSION_AGGS = {
-    "counter": SE.Mergeable("count"),
-    "cents": SE.Mergeable("sum", F.col("cents")),
-    "first_id": SE.Mergeable("min", F.col("event_id")),
-    "last_id": SE.Mergeable("max", F.col("event_id")),
-}
+
+def _session_aggs():
+    return {
+        "counter": SE.Mergeable("count"),
+        "cents": SE.Mergeable("sum", F.col("cents")),
+        "first_id": SE.Mergeable("min", F.col("event_id")),
+        "last_id": SE.Mergeable("max", F.col("event_id")),
+    }
 
 
-@query("session_counts", _SESSION_SQL.format(key="user_id", gap="6 HOUR"))
+@query("session_counts", SESSION_SQL.format(key="user_id", gap="6 HOUR"))
 def session_counts(spark, base):
     rows = event_messages(spark, base, "user_id", "event_id", "cents")
-    out = SE.session_reduce(rows, "6 hours", _SESSION_AGGS, by=["user_id"])
-    return out.select(F.col("user_id").alias("key"), *_BOUNDS, *_SESSION_AGGS)
+    out = SE.session_reduce(rows, "6 hours", _session_aggs(), by=["user_id"])
+    return out.select(F.col("user_id").alias("key"), *_bounds(), *_session_aggs())
 
 
-@query("session_hot_keys", _SESSION_SQL.format(key="event_type", gap="40 MINUTE"))
+@query("session_hot_keys", SESSION_SQL.format(key="event_type", gap="40 MINUTE"))
 def session_hot_keys(spark, base):
     # Five keys hold everything; a small block makes sessions cross blocks.
     rows = event_messages(spark, base, "event_type", "event_id", "cents")
-    out = SE.session_reduce(rows, "40 minutes", _SESSION_AGGS, by=["event_type"], block=4)
-    return out.select(F.col("event_type").alias("key"), *_BOUNDS, *_SESSION_AGGS)
+    out = SE.session_reduce(rows, "40 minutes", _session_aggs(), by=["event_type"], block=4)
+    return out.select(F.col("event_type").alias("key"), *_bounds(), *_session_aggs())
 
 
 @query(
@@ -286,7 +290,7 @@ def session_hot_keys(spark, base):
 def accumulate_window(spark, base):
     rows = WM.with_watermark_column(_arrivals(spark, base), ["source"], ["arrival", "event_id"], "1 hour")
     out = A.output_window(rows, ["keys"], ["event_time", "event_id"])
-    return out.select("event_id", *_BOUNDS)
+    return out.select("event_id", *_bounds())
 
 
 def _arrivals(spark, base):
