@@ -122,3 +122,35 @@ def row_function(handler: Any) -> Callable:
     if inspect.isclass(handler) or not callable(handler):
         raise TypeError("a map handler must be a function, a callable or an object with a handler method")
     return handler
+
+
+@dataclass
+class Response:
+    """What a sink handler answers for one row."""
+
+    id: str
+    status: str
+    err_msg: str | None = None
+    payload: bytes | None = None
+    message: Message | None = None
+
+    @classmethod
+    def success(cls, id: str) -> Response:
+        return cls(id, "SUCCESS")
+
+    @classmethod
+    def failure(cls, id: str, err_msg: str) -> Response:
+        return cls(id, "FAILURE", err_msg=err_msg)
+
+    @classmethod
+    def fallback(cls, id: str) -> Response:
+        return cls(id, "FALLBACK")
+
+    @classmethod
+    def on_success(cls, id: str, message: Message | None = None) -> Response:
+        """``message`` replaces the row in the on-success sink; None sends the row itself."""
+        return cls(id, "ON_SUCCESS", message=message)
+
+    @classmethod
+    def serve(cls, id: str, payload: bytes) -> Response:
+        return cls(id, "SERVE", payload=payload)

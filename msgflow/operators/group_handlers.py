@@ -20,12 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from msgflow.functions.scalars import interval_micros
 from msgflow.message import Datum, Interval, Message, make_factory
 from msgflow.operators import envelope as E
+from msgflow.operators import ordered as O
 from msgflow.operators import scan
 from msgflow.operators import windows as W
 from msgflow.operators.handlers import datums, iterate
-from msgflow.operators.session import BLOCK, interval_micros, number_sessions
+from msgflow.operators.session import BLOCK, number_sessions
 
 ORDER = ("event_time", "id")
 COLUMNS = ("id", "keys", "value", "event_time", "watermark", "headers")
@@ -123,22 +125,32 @@ def accumulate_handler(
     *,
     init_args: tuple = (),
     init_kwargs: dict | None = None,
+    timeout: str | None = None,
     columns: Sequence[str] = COLUMNS,
     order: Sequence[str] = ORDER,
 ) -> DataFrame:
     """``handler(datums) -> messages`` on all rows of each key in order; a class is built per key.
 
     Messages set their own event time, watermark, id and headers. The output window runs from epoch 0
-    to the highest watermark the key has emitted so far.
+    to the highest watermark the key has emitted so far. With ``timeout``, a key idle for longer is
+    closed and starts afresh, so its stretches are separate groups (column ``stretch``, from 1).
     """
     factory = make_factory(handler, init_args, init_kwargs)
     needed = [c for c in dict.fromkeys([*columns, "keys", *order]) if c in df.columns]
     names = ("id", "keys", "value", "event_time", "watermark", "headers", "tags")
-    out_type = T.StructType([_WINDOW, T.StructField("pos", T.LongType()), *[E.ENVELOPE[n] for n in names]])
+    stretch = T.StructField("stretch", T.LongType())
+    out_type = T.StructType([_WINDOW, stretch, T.StructField("pos", T.LongType()), *[E.ENVELOPE[n] for n in names]])
+    order = [c for c in order if c in needed]
+    rows = df.select(*needed)
+    if timeout is None:
+        rows = rows.withColumn("stretch", F.lit(1).cast("bigint"))
+    else:
+        rows = number_stretches(rows, ["keys"], order, timeout)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         from msgflow.constants import EPOCH_TIME
 
+        head, batches = _first(batches)
         call = factory()
         items = datums(batches)
         latest = EPOCH_TIME
@@ -149,11 +161,22 @@ def accumulate_handler(
                 if m.watermark is not None:
                     latest = max(latest, m.watermark)
                 row = {n: getattr(m, n) for n in names}
-                yield {**row, "pos": pos, "window": {"start": EPOCH_TIME, "end": latest}}
+                window = {"start": EPOCH_TIME, "end": latest}
+                yield {**row, "pos": pos, "stretch": head["stretch"], "window": window}
         finally:
             loop.close()
 
-    return scan.ordered_scan(df.select(*needed), ["keys"], [c for c in order if c in needed], run, out_type)
+    return scan.ordered_scan(rows, ["keys", "stretch"], order, run, out_type)
+
+
+def number_stretches(df: DataFrame, group: Sequence[str], order: Sequence[str], timeout: str) -> DataFrame:
+    """Number the active stretches of each group along ``order`` (time first): a gap over ``timeout`` starts one."""
+    time = order[0]
+    seen = O.running(df, group, order, {"_last": O.Running("max", F.col(time))}, exclusive=True)
+    idle = F.unix_micros(time) - F.unix_micros("_last") > interval_micros(timeout)
+    first = F.when(F.coalesce(idle, F.lit(True)), 1).otherwise(0).cast("bigint")
+    marked = seen.withColumn("_first", first)
+    return O.running(marked, group, order, {"stretch": O.Running("sum", F.col("_first"))}).drop("_last", "_first")
 
 
 # Mergeable handlers ------------------------------------------------------------

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from msgflow.functions.scalars import interval_micros
+
 BLOCK = 4096  # gap-long buckets per block
 
 
@@ -35,12 +37,6 @@ class Mergeable:
         return {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}[self.kind](col)
 
 
-def interval_micros(text: str) -> Column:
-    """An interval such as '6 hours' as microseconds; folded to a constant."""
-    zero = F.lit("1970-01-01").cast("timestamp")
-    return F.unix_micros(zero + F.expr(f"interval {text}")) - F.unix_micros(zero)
-
-
 def number_sessions(parts: DataFrame, group: Sequence[str], gap: Column) -> DataFrame:
     """Number the sessions of each group from 1, in ``_no``; parts at most ``gap`` apart share one.
 

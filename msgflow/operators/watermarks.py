@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from msgflow.operators import ordered as O
-from msgflow.operators.session import interval_micros
+from msgflow.functions.scalars import interval_micros
 
 
 def max_delay(df: DataFrame, delay: str, *, time: str = "event_time") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from msgflow import constants as C
+from msgflow.functions.scalars import interval_micros
 
 
 def fixed_window(length: str, *, time: str = "event_time", slide: str | None = None) -> Column:
@@ -15,6 +16,13 @@ def fixed_window(length: str, *, time: str = "event_time", slide: str | None = N
     return F.window(time, length)
 
 
+def plain_window(length: str, *, time: str = "event_time") -> Column:
+    """The same window as an ordinary column, without the watermark that ``window`` inherits."""
+    width = interval_micros(length)
+    start = F.floor(F.unix_micros(time) / width) * width
+    return F.struct(F.timestamp_micros(start).alias("start"), F.timestamp_micros(start + width).alias("end"))
+
+
 def with_window(df: DataFrame, length: str, *, time: str = "event_time", slot: str = C.DEFAULT_SLOT) -> DataFrame:
     """Attach ``window`` and ``slot`` to each row (no shuffle)."""
     window = fixed_window(length, time=time)
