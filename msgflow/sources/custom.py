@@ -132,28 +132,36 @@ class _StreamReader(DataSourceStreamReader):
 
     def initialOffset(self) -> dict:
         source = self._source()
-        self.position = {p: source.first(p) for p in source.partitions()}
-        return {str(p): n for p, n in self.position.items()}
+        return {str(p): source.first(p) for p in source.partitions()}
 
     def latestOffset(self) -> dict:
-        """At most ``num_records`` past the last position, per partition.
+        """The end of the next micro-batch: at most ``num_records`` more per partition.
 
-        After a restart the position is what the source last acknowledged; a source that does not
-        keep that reads to its end once.
+        Spark asks before it tells where it resumes. Until then an acknowledged end is at most one
+        batch behind, hence twice the limit; without one the partition must be new.
         """
         source = self._source()
         out = {}
         for p in source.partitions():
             end = source.latest(p)
-            at = self.position.get(p, source.acked(p))
-            if self.num_records is not None and at is not None:
-                end = min(end, at + self.num_records)
-            out[p] = end if at is None else max(end, at)
-        return {str(p): n for p, n in out.items()}
+            if self.num_records is not None:
+                acked = source.acked(p)
+                if p in self.position:
+                    limit = self.position[p] + self.num_records
+                elif acked is not None:
+                    limit = acked + 2 * self.num_records
+                else:
+                    limit = source.first(p) + self.num_records
+                end = min(end, limit)
+            out[str(p)] = max(end, self.position.get(p, end))
+        return out
 
     def partitions(self, start: dict, end: dict):
         source = self._source()
         ranges = {int(p): (start[p] if p in start else source.first(int(p)), n) for p, n in end.items()}
+        for p, (low, high) in ranges.items():
+            if high < low:
+                raise ValueError(f"partition {p} resumes at {low}: num_records needs a source that keeps acknowledgements")
         self.position = {p: stop for p, (_, stop) in ranges.items()}
         return _slices(ranges, self.rows_per_task)
 
