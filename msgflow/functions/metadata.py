@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from msgflow.functions.scalars import let
+
 METADATA_TYPE = "map<string,map<string,binary>>"
 GROUP_TYPE = "map<string,binary>"
 
@@ -71,10 +73,12 @@ def _missing_group(group: Column) -> Column:
 
 def meta_get_group(md: Column | str, group: Column | str, *, strict: bool = True) -> Column:
     g = _lit(group)
-    found = F.try_element_at(_meta(md), g)
     if not strict:
-        return found
-    return F.when(meta_contains(md, g), found).otherwise(_missing_group(g).cast(GROUP_TYPE))
+        return F.try_element_at(_meta(md), g)
+    missing = _missing_group(g).cast(GROUP_TYPE)
+    return let(
+        _meta(md), lambda m: F.when(F.map_contains_key(m, g), F.try_element_at(m, g)).otherwise(missing)
+    )
 
 
 def meta_remove_group(md: Column | str, group: Column | str) -> Column:
@@ -87,19 +91,32 @@ def meta_set_group(md: Column | str, group: Column | str, values: Column) -> Col
 
 
 def meta_create_group(md: Column | str, group: Column | str) -> Column:
-    return F.when(meta_contains(md, group), _meta(md)).otherwise(meta_set_group(md, group, empty_group()))
+    g = _lit(group)
+    return let(
+        _meta(md),
+        lambda m: F.when(F.map_contains_key(m, g), m).otherwise(F.map_concat(m, F.create_map(g, empty_group()))),
+    )
 
 
 def meta_del_group(md: Column | str, group: Column | str) -> Column:
     g = _lit(group)
-    return F.when(meta_contains(md, g), meta_remove_group(md, g)).otherwise(_missing_group(g).cast(METADATA_TYPE))
+    missing = _missing_group(g).cast(METADATA_TYPE)
+    return let(
+        _meta(md),
+        lambda m: F.when(F.map_contains_key(m, g), F.map_filter(m, lambda k, _: k != g)).otherwise(missing),
+    )
 
 
 def meta_add_key(md: Column | str, group: Column | str, key: Column | str, value: Column | str | bytes) -> Column:
-    k = _lit(key)
-    old = F.coalesce(meta_get_group(md, group, strict=False), empty_group())
-    rest = F.map_filter(old, lambda name, _: name != k)
-    return meta_set_group(md, group, F.map_concat(rest, F.create_map(k, _lit(value).cast("binary"))))
+    g, k = _lit(group), _lit(key)
+    pair = F.create_map(k, _lit(value).cast("binary"))
+
+    def add(m: Column) -> Column:
+        old = F.coalesce(F.try_element_at(m, g), empty_group())
+        changed = F.map_concat(F.map_filter(old, lambda name, _: name != k), pair)
+        return F.map_concat(F.map_filter(m, lambda name, _: name != g), F.create_map(g, changed))
+
+    return let(_meta(md), add)
 
 
 def meta_remove_key(
@@ -110,13 +127,17 @@ def meta_remove_key(
     An absent group or key changes nothing.
     """
     g, k = _lit(group), _lit(key)
-    had_key = F.coalesce(F.map_contains_key(F.try_element_at(_meta(md), g), k), F.lit(False))
-    stripped = F.transform_values(
-        _meta(md), lambda name, vals: F.when(name == g, F.map_filter(vals, lambda x, _: x != k)).otherwise(vals)
-    )
-    if not keep_empty:
-        stripped = F.map_filter(stripped, lambda name, vals: (name != g) | (F.size(vals) > 0))
-    return F.when(had_key, stripped).otherwise(_meta(md))
+
+    def remove(m: Column) -> Column:
+        had_key = F.coalesce(F.map_contains_key(F.try_element_at(m, g), k), F.lit(False))
+        stripped = F.transform_values(
+            m, lambda name, vals: F.when(name == g, F.map_filter(vals, lambda x, _: x != k)).otherwise(vals)
+        )
+        if not keep_empty:
+            stripped = F.map_filter(stripped, lambda name, vals: (name != g) | (F.size(vals) > 0))
+        return F.when(had_key, stripped).otherwise(m)
+
+    return let(_meta(md), remove)
 
 
 def meta_clear() -> Column:
@@ -137,5 +158,9 @@ def meta_text(md: Column | str) -> Column:
         )
         return F.concat(entry["key"], F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
 
-    groups = F.transform(meta_groups(md), lambda g: F.struct(g.alias("key"), F.element_at(_meta(md), g).alias("value")))
-    return F.array_join(F.transform(groups, one_group), ";")
+    def text(m: Column) -> Column:
+        names = F.sort_array(F.map_keys(m))
+        groups = F.transform(names, lambda g: F.struct(g.alias("key"), F.element_at(m, g).alias("value")))
+        return F.array_join(F.transform(groups, one_group), ";")
+
+    return let(_meta(md), text)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +17,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it.
+
+    Without this, functions that use an argument several times multiply when they are chained.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def bytes_to_text(value: Column | str) -> Column:
     return F.decode(_col(value), "UTF-8")
 
@@ -30,22 +39,27 @@ def split_text(text: Column | str, delimiter: str = ",") -> Column:
     return F.split(_col(text), re.escape(delimiter), -1)
 
 
+def _swap_bytes(digits: Column) -> Column:
+    """16 hex digits with the order of their byte pairs reversed."""
+    return let(digits, lambda d: F.concat(*[F.substring(d, p, 2) for p in range(15, 0, -2)]))
+
+
 def le_bytes_to_int(value: Column | str) -> Column:
     """Unsigned little-endian bytes as BIGINT. Empty is 0; more than 8 bytes is an error."""
-    v = _col(value)
-    digits = F.rpad(F.hex(v), 16, "0")
-    big_endian = F.concat(*[F.substring(digits, p, 2) for p in range(15, 0, -2)])
-    return (
-        F.when(v.isNull(), F.lit(None).cast("bigint"))
-        .when(F.octet_length(v) > 8, F.raise_error(F.lit("integer payload is longer than 8 bytes")).cast("bigint"))
-        .otherwise(F.conv(big_endian, 16, 10).cast("bigint"))
-    )
+    too_long = F.raise_error(F.lit("integer payload is longer than 8 bytes"))
+
+    def number(v: Column) -> Column:
+        digits = F.rpad(F.hex(v), 16, "0")
+        return F.when(F.octet_length(v) > 8, too_long.cast("bigint")).otherwise(
+            F.conv(_swap_bytes(digits), 16, 10).cast("bigint")
+        )
+
+    return let(_col(value), number)
 
 
 def int_to_le_bytes(number: Column | str) -> Column:
     """BIGINT as 8 little-endian bytes."""
-    digits = F.lpad(F.hex(_col(number).cast("bigint")), 16, "0")
-    return F.unhex(F.concat(*[F.substring(digits, p, 2) for p in range(15, 0, -2)]))
+    return F.unhex(_swap_bytes(F.lpad(F.hex(_col(number).cast("bigint")), 16, "0")))
 
 
 def text_to_int(value: Column | str, *, strict: bool = True) -> Column:
@@ -64,12 +78,14 @@ def is_prime(number: Column | str, *, strict: bool = False) -> Column:
     The default keeps an exclusive square-root bound, under which squares of primes pass;
     ``strict=True`` is the mathematical test.
     """
-    n = _col(number).cast("bigint")
-    root = F.ceil(F.sqrt(n.cast("double"))).cast("bigint")
-    last = root if strict else root - 1
-    divisible = F.exists(F.sequence(F.lit(2).cast("bigint"), last), lambda d: (n % d == 0) & (d < n))
-    result = F.when(last < 2, F.lit(True)).otherwise(~divisible)
-    return (n >= 2) & result if strict else result
+    def test(n: Column) -> Column:
+        root = F.ceil(F.sqrt(n.cast("double"))).cast("bigint")
+        last = root if strict else root - 1
+        divisible = F.exists(F.sequence(F.lit(2).cast("bigint"), last), lambda d: (n % d == 0) & (d < n))
+        result = F.when(last < 2, F.lit(True)).otherwise(~divisible)
+        return (n >= 2) & result if strict else result
+
+    return let(_col(number).cast("bigint"), test)
 
 
 def payload_text(value: Column | str, event_time: Column | str, watermark: Column | str) -> Column:
@@ -101,10 +117,13 @@ def to_epoch_millis(ts: Column | str) -> Column:
 
 def clamp_epoch_seconds(seconds: Column | str) -> Column:
     """Epoch seconds as TIMESTAMP; values outside years 1 to 9999 take the nearest bound."""
-    s = _col(seconds).cast("bigint")
     low = F.unix_seconds(F.lit(C.MISSING_EVENT_TIME).cast("timestamp"))
     high_ts = F.lit(C.MAX_TIME).cast("timestamp")
-    return F.when(s > F.unix_seconds(high_ts), high_ts).otherwise(F.timestamp_seconds(F.greatest(s, low)))
+
+    def clamp(s: Column) -> Column:
+        return F.when(s > F.unix_seconds(high_ts), high_ts).otherwise(F.timestamp_seconds(F.greatest(s, low)))
+
+    return let(_col(seconds).cast("bigint"), clamp)
 
 
 def payload_contains(value: Column | str, text: str) -> Column:

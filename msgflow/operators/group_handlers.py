@@ -10,8 +10,8 @@ Two kinds:
 
 from __future__ import annotations
 
-import asyncio
 import inspect
+import itertools
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any, Protocol
 
@@ -20,13 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from msgflow.constants import EPOCH_TIME, at_micros
 from msgflow.functions.scalars import interval_micros
 from msgflow.message import Datum, Interval, Message, make_factory
 from msgflow.operators import envelope as E
 from msgflow.operators import ordered as O
 from msgflow.operators import scan
 from msgflow.operators import windows as W
-from msgflow.operators.handlers import datums, iterate
+from msgflow.operators.handlers import iterate
 from msgflow.operators.session import BLOCK, number_sessions
 
 ORDER = ("event_time", "id")
@@ -69,14 +70,9 @@ def _is_async(call: Callable) -> bool:
     return inspect.iscoroutinefunction(call) or inspect.isasyncgenfunction(call)
 
 
-def _first(batches: Iterator[pa.RecordBatch]) -> tuple[dict, Iterator[pa.RecordBatch]]:
-    head = next(batches)
-
-    def again():
-        yield head
-        yield from batches
-
-    return head.slice(0, 1).to_pylist()[0], again()
+def _first(rows: Iterator[dict]) -> tuple[dict, Iterator[dict]]:
+    head = next(rows)
+    return head, itertools.chain([head], rows)
 
 
 def reduce_handler(
@@ -103,20 +99,16 @@ def reduce_handler(
         [_WINDOW, T.StructField("pos", T.IntegerType()), *[E.ENVELOPE[n] for n in ("keys", "value", "tags")]]
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        head, batches = _first(batches)
+    def run(rows: Iterator[dict], loop: scan.Loop) -> Iterator[dict]:
+        head, rows = _first(rows)
         window = Interval(head["window"]["start"], head["window"]["end"])
         call = factory()
-        items = datums(batches)
-        loop = asyncio.new_event_loop()
-        try:
-            result = call(head["keys"] if keyed else [], _Async(items) if _is_async(call) else items, window)
-            for pos, m in enumerate(iterate(result, loop)):
-                yield {"window": head["window"], "pos": pos, "keys": m.keys, "value": m.value, "tags": m.tags}
-        finally:
-            loop.close()
+        items = map(Datum, rows)
+        result = call(head["keys"] if keyed else [], _Async(items) if _is_async(call) else items, window)
+        for pos, m in enumerate(iterate(result, loop)):
+            yield {"window": head["window"], "pos": pos, "keys": m.keys, "value": m.value, "tags": m.tags}
 
-    return scan.ordered_scan(rows, group, [c for c in order if c in needed], run, out_type)
+    return scan.ordered_rows_scan(rows, group, [c for c in order if c in needed], run, out_type)
 
 
 def accumulate_handler(
@@ -147,26 +139,20 @@ def accumulate_handler(
     else:
         rows = number_stretches(rows, ["keys"], order, timeout)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        from msgflow.constants import EPOCH_TIME
-
-        head, batches = _first(batches)
+    def run(rows: Iterator[dict], loop: scan.Loop) -> Iterator[dict]:
+        head, rows = _first(rows)
         call = factory()
-        items = datums(batches)
+        items = map(Datum, rows)
         latest = EPOCH_TIME
-        loop = asyncio.new_event_loop()
-        try:
-            result = call(_Async(items) if _is_async(call) else items)
-            for pos, m in enumerate(iterate(result, loop)):
-                if m.watermark is not None:
-                    latest = max(latest, m.watermark)
-                row = {n: getattr(m, n) for n in names}
-                window = {"start": EPOCH_TIME, "end": latest}
-                yield {**row, "pos": pos, "stretch": head["stretch"], "window": window}
-        finally:
-            loop.close()
+        result = call(_Async(items) if _is_async(call) else items)
+        for pos, m in enumerate(iterate(result, loop)):
+            if m.watermark is not None:
+                latest = max(latest, m.watermark)
+            row = {n: getattr(m, n) for n in names}
+            window = {"start": EPOCH_TIME, "end": latest}
+            yield {**row, "pos": pos, "stretch": head["stretch"], "window": window}
 
-    return scan.ordered_scan(rows, ["keys", "stretch"], order, run, out_type)
+    return scan.ordered_rows_scan(rows, ["keys", "stretch"], order, run, out_type)
 
 
 def number_stretches(df: DataFrame, group: Sequence[str], order: Sequence[str], timeout: str) -> DataFrame:
@@ -223,14 +209,13 @@ def _combine(rows: DataFrame, group: Sequence[str], factory: Callable[[], Mergea
 
 
 def _merge_run(factory: Callable[[], MergeableHandler], finish: Callable[[dict, int, int, MergeableHandler], Iterable[dict]]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        head, batches = _first(batches)
+    def run(rows: Iterator[dict], _: scan.Loop) -> Iterator[dict]:
+        head, rows = _first(rows)
         merged = factory()
         low, high = head["_lo"], head["_hi"]
-        for batch in batches:
-            for row in batch.to_pylist():
-                merged.merge(row["_state"])
-                low, high = min(low, row["_lo"]), max(high, row["_hi"])
+        for row in rows:
+            merged.merge(row["_state"])
+            low, high = min(low, row["_lo"]), max(high, row["_hi"])
         yield from finish(head, low, high, merged)
 
     return run
@@ -280,7 +265,7 @@ def reduce_mergeable(
     def finish(head, low, high, merged):
         yield from _emit(head, Interval(head["window"]["start"], head["window"]["end"]), merged)
 
-    return scan.ordered_scan(states, ["window", "keys"], [], _merge_run(factory, finish), _RESULT)
+    return scan.ordered_rows_scan(states, ["window", "keys"], [], _merge_run(factory, finish), _RESULT)
 
 
 def session_handler(
@@ -323,15 +308,13 @@ def session_handler(
         }
 
     numbered = number_sessions(parts, ["keys", "_block"], width)
-    local = scan.ordered_scan(numbered, ["keys", "_block", "_no"], [], _merge_run(factory, keep), local_type)
+    local = scan.ordered_rows_scan(numbered, ["keys", "_block", "_no"], [], _merge_run(factory, keep), local_type)
     whole = Window.partitionBy("keys", "_block")
     edge = (F.col("_no") == 1) | (F.col("_no") == F.max("_no").over(whole))
     placed = local.withColumn("_place", F.when(~edge, F.col("_block"))).drop("_no", "_block")
     final = number_sessions(placed, ["keys", "_place"], width).withColumn("_gap", width)
 
     def finish(head, low, high, merged):
-        from msgflow.constants import at_micros
-
         yield from _emit(head, Interval(at_micros(low), at_micros(high + head["_gap"])), merged)
 
-    return scan.ordered_scan(final, ["keys", "_place", "_no"], ["_lo"], _merge_run(factory, finish), _RESULT)
+    return scan.ordered_rows_scan(final, ["keys", "_place", "_no"], ["_lo"], _merge_run(factory, finish), _RESULT)

@@ -141,12 +141,9 @@ def _gather(rows: Iterator[Datum], call, fields, capture, container, max_in_flig
     async def many(chunk: list[Datum]) -> list[list[dict]]:
         return await asyncio.gather(*[one(d) for d in chunk])
 
-    loop = asyncio.new_event_loop()
-    try:
+    with scan.Loop() as loop:
         while chunk := list(itertools.islice(rows, max_in_flight)):
-            yield from itertools.chain.from_iterable(loop.run_until_complete(many(chunk)))
-    finally:
-        loop.close()
+            yield from itertools.chain.from_iterable(loop.run(many(chunk)))
 
 
 def map_handler(
@@ -190,24 +187,25 @@ def map_stream_handler(
     call = row_function(handler)
 
     def produce(batches):
-        loop = asyncio.new_event_loop()
-        try:
+        with scan.Loop() as loop:
             for d in datums(batches):
                 yield from _rows(d.id, iterate(call(d.keys, d), loop), _PLAIN)
-        finally:
-            loop.close()
 
     return _run(df, columns, _PLAIN, produce, capture=False, rows_per_batch=rows_per_batch)
 
 
-def iterate(result: Any, loop: asyncio.AbstractEventLoop) -> Iterator[Any]:
+async def _next(items: AsyncIterator[Any]) -> Any:
+    return await anext(items)
+
+
+def iterate(result: Any, loop: scan.Loop) -> Iterator[Any]:
     """What a handler call returned, as a plain iterator: list, generator, coroutine or async generator."""
     if inspect.iscoroutine(result):
-        result = loop.run_until_complete(result)
+        result = loop.run(result)
     if isinstance(result, AsyncIterator):
         while True:
             try:
-                yield loop.run_until_complete(anext(result))
+                yield loop.run(_next(result))
             except StopAsyncIteration:
                 return
     elif result is not None:
@@ -281,6 +279,10 @@ def spread(df: DataFrame, n: int) -> DataFrame:
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(output rows, error rows) of a handler run with ``on_error="capture"``."""
+    """(output rows, error rows) of a handler run with ``on_error="capture"``.
+
+    Each result runs the handler when it is used; write the unsplit output to a table first where
+    that is too dear.
+    """
     good = df.filter(F.col("error").isNull()).drop("error")
     return good, df.filter(F.col("error").isNotNull()).select("error.*", "id")

@@ -8,8 +8,10 @@ contract is one call per group.
 
 from __future__ import annotations
 
+import asyncio
 import itertools
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Awaitable, Callable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,26 @@ from pyspark.sql import types as T
 GROUP_ID = "_gid"
 
 
+class Loop:
+    """An event loop made on first use and closed with the task."""
+
+    def __init__(self) -> None:
+        self._loop: asyncio.AbstractEventLoop | None = None
+
+    def __enter__(self) -> Loop:
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self._loop is not None:
+            self._loop.run_until_complete(self._loop.shutdown_asyncgens())
+            self._loop.close()
+
+    def run(self, awaitable: Awaitable[Any]) -> Any:
+        if self._loop is None:
+            self._loop = asyncio.new_event_loop()
+        return self._loop.run_until_complete(awaitable)
+
+
 def group_id(group: Sequence[str]) -> Column:
     """A text that is equal exactly for equal group values."""
     if not group:
@@ -46,6 +68,13 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[pa.RecordBatch]
         yield (piece for _, piece in pieces)
 
 
+def row_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[dict]]:
+    """Consecutive rows of equal group id, each run as an iterator of row dicts."""
+    rows = itertools.chain.from_iterable(batch.to_pylist() for batch in batches)
+    for _, run in itertools.groupby(rows, key=lambda r: r[GROUP_ID]):
+        yield run
+
+
 def to_batches(rows: Iterator[dict], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Rows as Arrow batches, sent on as soon as ``size`` rows are there."""
     rows = iter(rows)
@@ -53,22 +82,45 @@ def to_batches(rows: Iterator[dict], schema: pa.Schema, size: int = 4096) -> Ite
         yield pa.RecordBatch.from_pylist(chunk, schema=schema)
 
 
+def _scan(df, group, order, task, out_type) -> DataFrame:
+    shuffled = df.withColumn(GROUP_ID, group_id(group)).repartition(*group)
+    return shuffled.sortWithinPartitions(*group, *order).mapInArrow(task, out_type)
+
+
 def ordered_scan(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[str],
     per_run: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]],
-    schema: str | T.StructType,
+    out_type: T.StructType,
 ) -> DataFrame:
-    """Apply ``per_run`` to the ordered rows of each group; it yields output rows as dicts."""
+    """Apply ``per_run`` to the ordered batches of each group; it yields output rows as dicts."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    out_type = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(out_type)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = itertools.chain.from_iterable(per_run(run) for run in runs(batches))
         yield from to_batches(rows, arrow)
 
-    shuffled = df.withColumn(GROUP_ID, group_id(group)).repartition(*group)
-    return shuffled.sortWithinPartitions(*group, *order).mapInArrow(task, out_type)
+    return _scan(df, group, order, task, out_type)
+
+
+def ordered_rows_scan(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    per_run: Callable[[Iterator[dict], Loop], Iterator[dict]],
+    out_type: T.StructType,
+) -> DataFrame:
+    """The same for handlers of single rows: ``per_run(rows, loop)``, with one event loop per task."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(out_type)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with Loop() as loop:
+            rows = itertools.chain.from_iterable(per_run(run, loop) for run in row_runs(batches))
+            yield from to_batches(rows, arrow)
+
+    return _scan(df, group, order, task, out_type)

@@ -37,16 +37,27 @@ def latest(table: DataFrame) -> DataFrame:
     )
 
 
-def current_value(table: DataFrame, name: str) -> Column:
-    """The current value as a scalar subquery; the initial value when nothing was broadcast."""
+def current(table: DataFrame, name: str) -> Column:
+    """The current (value, version) as a scalar subquery; the initial value when nothing was broadcast."""
     last = table.filter((F.col("name") == name) & ~F.col("no_broadcast"))
-    value = last.agg(F.max_by("value", "version").alias("value")).scalar()
-    return F.coalesce(value, F.encode(F.lit(C.NO_SIDE_INPUT), "UTF-8"))
+    found = last.agg(F.max_by(F.struct("value", "version"), "version").alias("current")).scalar()
+    initial = F.struct(
+        F.encode(F.lit(C.NO_SIDE_INPUT), "UTF-8").alias("value"), F.lit(None).cast("bigint").alias("version")
+    )
+    return F.coalesce(found, initial)
+
 
+def with_side_input(
+    df: DataFrame, table: DataFrame, name: str, column: str = "side_input", version: str | None = None
+) -> DataFrame:
+    """Every row sees the current value, and its version if a column for it is named.
 
-def with_side_input(df: DataFrame, table: DataFrame, name: str, column: str = "side_input") -> DataFrame:
-    """Every row sees the current value. The subquery runs once; the rows are not joined or shuffled."""
-    return df.withColumn(column, current_value(table, name))
+    The subquery runs once; the rows are not joined or shuffled.
+    """
+    seen = df.withColumn("_current", current(table, name)).withColumn(column, F.col("_current.value"))
+    if version:
+        seen = seen.withColumn(version, F.col("_current.version"))
+    return seen.drop("_current")
 
 
 def join_side_table(df: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:

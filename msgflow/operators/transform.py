@@ -1,7 +1,8 @@
 """Source transforms: event-time reassignment, filtering and tagging right after a source.
 
-Run these before ``withWatermark`` and filter drops after it: a dropped row still counts as read
-and must advance the watermark with its event time.
+Run these before ``withWatermark`` and remove drops after it, on a stream with
+:func:`msgflow.operators.watermarks.drop_marked`: a dropped row still counts as read and must advance
+the watermark with its event time.
 """
 
 from __future__ import annotations

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from msgflow.operators import envelope as E
 from msgflow.operators import ordered as O
 from msgflow.functions.scalars import interval_micros
 
@@ -16,6 +17,20 @@ def max_delay(df: DataFrame, delay: str, *, time: str = "event_time") -> DataFra
     return df.withWatermark(time, delay)
 
 
+def after_watermark(condition: Column, *, time: str = "event_time") -> Column:
+    """A row condition that Spark applies only after the watermark has seen the row.
+
+    Spark moves filters below ``withWatermark`` unless they read the event time, and a row filtered
+    there would not advance the watermark. No time is before year 1, so the result is the condition.
+    """
+    return condition | (F.col(time) < E.missing_event_time())
+
+
+def drop_marked(df: DataFrame, *, time: str = "event_time") -> DataFrame:
+    """Remove dropped rows of a stream whose watermark is set: they count for it, and go no further."""
+    return df.filter(after_watermark(~E.is_dropped(), time=time))
+
+
 def with_watermark_column(
     df: DataFrame, source: Sequence[str], order: Sequence[str], delay: str, *, time: str = "event_time", **opts
 ) -> DataFrame:

@@ -83,9 +83,9 @@ def map_capture_errors(spark, base):
     out = H.map_handler(
         event_messages(spark, base), _strict_number, columns=("id", "keys", "value"), on_error="capture"
     )
-    good, bad = H.split_errors(out)
-    return good.select("id", S.text_to_int("value").alias("doubled")).unionByName(
-        bad.select("id", "message", "code"), allowMissingColumns=True
+    # One pass over the output; split_errors would run the handler for each of its two results.
+    return out.select(
+        "id", S.text_to_int("value").alias("doubled"), F.col("error.message"), F.col("error.code")
     )
 
 

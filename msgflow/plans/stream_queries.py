@@ -70,7 +70,7 @@ def stream_transform(spark, base):
     timed = TR.assign_event_time(rows, F.col("ts"))
     marked = E.to_drop(timed, F.col("event_type") == "error")
     # Dropped rows advance the watermark, so they leave only after it is set.
-    live = E.drop_marked(WM.max_delay(marked, "1 hour"))
+    live = WM.drop_marked(WM.max_delay(marked, "1 hour"))
     out = RD.reduce_window(live, "1 day", F.count(F.lit(1)).alias("counter"), by=())
     done = run.run_to_table(out)
     return done.select(time_text("window.start").alias("window_start"), "counter")

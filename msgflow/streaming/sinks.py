@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import asyncio
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any
 
@@ -38,8 +37,7 @@ def sink_handler(df: DataFrame, handler: Any) -> DataFrame:
     arrow = to_arrow_schema(out_type)
 
     def produce(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        loop = asyncio.new_event_loop()
-        try:
+        with scan.Loop() as loop:
             for batch in batches:
                 rows = batch.to_pylist()
                 items = iter([Datum(r) for r in rows])
@@ -52,8 +50,6 @@ def sink_handler(df: DataFrame, handler: Any) -> DataFrame:
                     raise ValueError(f"{len(rows)} rows got responses for {len(answers)} ids, or other ids")
                 for row in rows:
                     yield {**row, **_flat(answers[row["id"]])}
-        finally:
-            loop.close()
 
     return df.mapInArrow(lambda batches: scan.to_batches(produce(batches), arrow), out_type)
 

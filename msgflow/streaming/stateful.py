@@ -7,7 +7,6 @@ are dropped by Spark before they get here. Results of a micro-batch appear when
 
 from __future__ import annotations
 
-import asyncio
 import inspect
 import pickle
 from collections.abc import Iterable, Iterator, Sequence
@@ -166,34 +165,26 @@ class _WindowRows(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.rows = handle.getListState("rows", T.StructType([T.StructField("row", T.BinaryType())]))
-        self.head = handle.getValueState("head", T.StructType([T.StructField("head", T.BinaryType())]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        packed = []
-        for r in rows:
-            if not packed and not self.head.exists():
-                window = r["window"]
-                self.head.update((pickle.dumps((window["start"], window["end"], r["keys"])),))
-                self.handle.registerTimer(_timer_ms(micros(window["end"])))
-            packed.append((pickle.dumps({c: r[c] for c in self.columns}),))
-        self.rows.appendList(packed)
+        taken = [{c: r[c] for c in ("window", *self.columns)} for r in rows]
+        if not self.rows.exists():
+            self.handle.registerTimer(_timer_ms(micros(taken[0]["window"]["end"])))
+        self.rows.appendList([(pickle.dumps(r),) for r in taken])
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        start, end, keys = pickle.loads(bytes(self.head.get()[0]))
         rows = [pickle.loads(bytes(r[0])) for r in self.rows.get()]
         rows.sort(key=lambda d: tuple(d[c] for c in self.order))
         self.rows.clear()
-        self.head.clear()
+        keys, window = rows[0]["keys"], rows[0]["window"]
+        start, end = window["start"], window["end"]
         call = self.factory()
-        items = iter([Datum(r) for r in rows])
-        loop = asyncio.new_event_loop()
-        try:
+        items = map(Datum, rows)
+        with scan.Loop() as loop:
             result = call(keys, _Async(items) if _is_async(call) else items, Interval(start, end))
             for pos, m in enumerate(iterate(result, loop)):
                 yield _message_row(start, end, pos, m)
-        finally:
-            loop.close()
 
 
 def _result_type() -> T.StructType:
@@ -224,68 +215,76 @@ def reduce_handler_stream(
 
 
 class _Sessions(StatefulProcessor):
+    """The open sessions of a key as one state value: few are open at a time. One timer per key."""
+
     def __init__(self, factory, columns: list[str], gap: int) -> None:
         self.factory, self.columns, self.gap = factory, columns, gap
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.sessions = handle.getMapState(
-            "sessions",
-            T.StructType([T.StructField("start", T.LongType())]),
-            T.StructType([T.StructField("end", T.LongType()), T.StructField("state", T.BinaryType())]),
-        )
-        self.keys = handle.getValueState("keys", T.StructType([T.StructField("keys", T.BinaryType())]))
-
-    def _close_ms(self, end: int) -> int:
-        return _timer_ms(end + self.gap)
+        self.state = handle.getValueState("sessions", T.StructType([T.StructField("packed", T.BinaryType())]))
+
+    def _due_ms(self, sessions: list[tuple]) -> int | None:
+        return min((_timer_ms(end + self.gap) for _, end, _ in sessions), default=None)
+
+    def _save(self, keys: list[str], sessions: list[tuple], timer: int | None) -> None:
+        """Store the sessions and move the timer to the first one that closes."""
+        due = self._due_ms(sessions)
+        if timer is not None and timer != due:
+            self.handle.deleteTimer(timer)
+        if due is None:
+            self.state.clear()
+            return
+        if timer != due:
+            self.handle.registerTimer(due)
+        self.state.update((pickle.dumps((keys, sessions)),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        # Sessions of this batch first; each stretch of rows has one handler.
-        batch = sorted(((micros(r["event_time"]), {c: r[c] for c in self.columns}) for r in rows), key=lambda x: x[0])
-        if not self.keys.exists():
-            self.keys.update((pickle.dumps(batch[0][1]["keys"]),))
-        stretches: list[list] = []
+        batch = [(micros(r["event_time"]), {c: r[c] for c in self.columns}) for r in rows]
+        batch.sort(key=lambda x: x[0])
+        stored: list[tuple] = []
+        if self.state.exists():
+            _, stored = pickle.loads(bytes(self.state.get()[0]))
+        # Stretches of this batch, one handler each.
+        parts: list[list] = []
         for at, row in batch:
-            if not stretches or at - stretches[-1][1] > self.gap:
-                stretches.append([at, at, self.factory()])
-            stretches[-1][1] = at
-            stretches[-1][2].add(Datum(row))
-        # Then merge them with the open sessions they touch.
-        for low, high, handler in stretches:
-            touched = [
-                (start[0], old[0], bytes(old[1]))
-                for start, old in self.sessions.iterator()
-                if start[0] - high <= self.gap and low - old[0] <= self.gap
-            ]
-            for start, end, state in touched:
-                handler.merge(state)
-                low, high = min(low, start), max(high, end)
-                self.sessions.removeKey((start,))
-                self._drop_timer(end)
-            self.sessions.updateValue((low,), (high, handler.state()))
-            self.handle.registerTimer(self._close_ms(high))
+            if not parts or at - parts[-1][1] > self.gap:
+                parts.append([at, at, self.factory()])
+            parts[-1][1] = at
+            parts[-1][2].add(Datum(row))
+        # Stored sessions and stretches in order of their start: neighbours within the gap merge.
+        line = sorted([*stored, *[(a, b, h.state()) for a, b, h in parts]], key=lambda x: x[:2])
+        merged: list[list] = []
+        for start, end, state in line:
+            if merged and start - merged[-1][1] <= self.gap:
+                merged[-1][1] = max(merged[-1][1], end)
+                merged[-1][2].append(state)
+            else:
+                merged.append([start, end, [state]])
+        sessions = [(start, end, self._combine(states)) for start, end, states in merged]
+        self._save(batch[0][1]["keys"], sessions, self._due_ms(stored))
         return iter([])
 
-    def _drop_timer(self, end: int) -> None:
-        at = self._close_ms(end)
-        if not any(self._close_ms(v[0]) == at for v in self.sessions.values()):
-            self.handle.deleteTimer(at)
+    def _combine(self, states: list[bytes]) -> bytes:
+        if len(states) == 1:
+            return states[0]
+        handler = self.factory()
+        for state in states:
+            handler.merge(state)
+        return handler.state()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        due = [
-            (start[0], v[0], bytes(v[1])) for start, v in self.sessions.iterator() if self._close_ms(v[0]) <= now
-        ]
-        keys = pickle.loads(bytes(self.keys.get()[0]))
-        for start, end, state in due:
-            self.sessions.removeKey((start,))
-            merged = self.factory()
-            merged.merge(state)
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        keys, stored = pickle.loads(bytes(self.state.get()[0]))
+        still_open = [s for s in stored if _timer_ms(s[1] + self.gap) > now]
+        closed = [s for s in stored if _timer_ms(s[1] + self.gap) <= now]
+        self._save(keys, still_open, None)
+        for start, end, state in closed:
+            handler = self.factory()
+            handler.merge(state)
             window = Interval(at_micros(start), at_micros(end + self.gap))
-            for pos, m in enumerate(merged.result(keys, window)):
+            for pos, m in enumerate(handler.result(keys, window)):
                 yield _message_row(window.start, window.end, pos, m)
-        if not self.sessions.exists():
-            self.keys.clear()
 
 
 def session_handler_stream(
