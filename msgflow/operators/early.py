@@ -22,41 +22,32 @@ from msgflow.operators import scan
 CHUNK = 1_000_000  # emissions generated by one row; larger groups are spread over several rows
 
 
-def _emissions(counted: DataFrame, group: Sequence[str], emits: Column) -> DataFrame:
-    """Number the early emissions 1..emits of each group, in column ``emit``."""
+def _emissions(df: DataFrame, group: Sequence[str], step: int) -> DataFrame:
+    """Count each group and number its emissions: one per full ``step`` rows, and the final one.
+
+    Columns: group, ``_n`` (rows), ``emit`` from 1, ``final``.
+    """
+    counted = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    emits = F.floor(F.col("_n") / F.lit(step)).cast("bigint") + 1
     chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((emits - 1) / F.lit(CHUNK)).cast("bigint"))
-    spread = counted.filter(emits > 0).withColumn("_chunk", F.explode(chunks))
-    spread = spread.repartition(*group, "_chunk")
-    first = F.col("_chunk") * CHUNK + 1
+    # A row generates at most CHUNK emissions, and the rows of a large group are spread.
+    spread = counted.withColumn("_chunk", F.explode(chunks)).repartition(*group, "_chunk")
     last = F.least(emits, (F.col("_chunk") + 1) * CHUNK)
-    return spread.withColumn("emit", F.explode(F.sequence(first, last))).drop("_chunk")
-
-
-def _count(df: DataFrame, group: Sequence[str]) -> DataFrame:
-    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = spread.withColumn("emit", F.explode(F.sequence(F.col("_chunk") * CHUNK + 1, last)))
+    return numbered.select(*group, "_n", "emit", (F.col("emit") == emits).alias("final"))
 
 
 def early_counter(df: DataFrame, group: Sequence[str], threshold: int = 10) -> DataFrame:
     """Emit the count and restart it whenever it exceeds ``threshold``; then emit the rest, even 0."""
     step = threshold + 1
-    counted = _count(df, group)
-    emits = F.floor(F.col("_n") / F.lit(step)).cast("bigint")
-    early = _emissions(counted, group, emits).select(
-        *group, "emit", F.lit(step).cast("bigint").alias("counter"), F.lit(False).alias("final")
-    )
-    final = counted.select(*group, (emits + 1).alias("emit"), (F.col("_n") % step).alias("counter"), F.lit(True).alias("final"))
-    return early.unionByName(final)
+    counter = F.when(F.col("final"), F.col("_n") % step).otherwise(F.lit(step)).cast("bigint")
+    return _emissions(df, group, step).select(*group, "emit", counter.alias("counter"), "final")
 
 
 def early_every(df: DataFrame, group: Sequence[str], every: int = 10) -> DataFrame:
     """Emit the running count at each multiple of ``every``, and the total as the final result."""
-    counted = _count(df, group)
-    emits = F.floor(F.col("_n") / F.lit(every)).cast("bigint")
-    early = _emissions(counted, group, emits).select(
-        *group, "emit", (F.col("emit") * every).alias("counter"), F.lit(False).alias("final")
-    )
-    final = counted.select(*group, (emits + 1).alias("emit"), F.col("_n").alias("counter"), F.lit(True).alias("final"))
-    return early.unionByName(final)
+    counter = F.when(F.col("final"), F.col("_n")).otherwise(F.col("emit") * every)
+    return _emissions(df, group, every).select(*group, "emit", counter.alias("counter"), "final")
 
 
 def early_running(df: DataFrame, group: Sequence[str], order: Sequence[str], **opts) -> DataFrame:

@@ -308,7 +308,9 @@ def session_handler(
         }
 
     numbered = number_sessions(parts, ["keys", "_block"], width)
-    local = scan.ordered_rows_scan(numbered, ["keys", "_block", "_no"], [], _merge_run(factory, keep), local_type)
+    local = scan.ordered_rows_scan(
+        numbered, ["keys", "_block", "_no"], [], _merge_run(factory, keep), local_type, together=True
+    )
     whole = Window.partitionBy("keys", "_block")
     edge = (F.col("_no") == 1) | (F.col("_no") == F.max("_no").over(whole))
     placed = local.withColumn("_place", F.when(~edge, F.col("_block"))).drop("_no", "_block")
@@ -317,4 +319,6 @@ def session_handler(
     def finish(head, low, high, merged):
         yield from _emit(head, Interval(at_micros(low), at_micros(high + head["_gap"])), merged)
 
-    return scan.ordered_rows_scan(final, ["keys", "_place", "_no"], ["_lo"], _merge_run(factory, finish), _RESULT)
+    return scan.ordered_rows_scan(
+        final, ["keys", "_place", "_no"], ["_lo"], _merge_run(factory, finish), _RESULT, together=True
+    )

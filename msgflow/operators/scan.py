@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 GROUP_ID = "_gid"
+MAX_BYTES = 32 * 1024 * 1024
 
 
 class Loop:
@@ -76,15 +77,24 @@ def row_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[dict]]:
 
 
 def to_batches(rows: Iterator[dict], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
-    """Rows as Arrow batches, sent on as soon as ``size`` rows are there."""
-    rows = iter(rows)
-    while chunk := list(itertools.islice(rows, size)):
+    """Rows as Arrow batches, sent on at ``size`` rows or MAX_BYTES of payload."""
+    chunk: list[dict] = []
+    held = 0
+    for row in rows:
+        chunk.append(row)
+        held += len(row.get("value") or b"")
+        if len(chunk) >= size or held >= MAX_BYTES:
+            yield pa.RecordBatch.from_pylist(chunk, schema=schema)
+            chunk, held = [], 0
+    if chunk:
         yield pa.RecordBatch.from_pylist(chunk, schema=schema)
 
 
-def _scan(df, group, order, task, out_type) -> DataFrame:
-    shuffled = df.withColumn(GROUP_ID, group_id(group)).repartition(*group)
-    return shuffled.sortWithinPartitions(*group, *order).mapInArrow(task, out_type)
+def _scan(df, group, order, task, out_type, together) -> DataFrame:
+    rows = df.withColumn(GROUP_ID, group_id(group))
+    if not together:
+        rows = rows.repartition(*group)
+    return rows.sortWithinPartitions(*group, *order).mapInArrow(task, out_type)
 
 
 def ordered_scan(
@@ -103,7 +113,7 @@ def ordered_scan(
         rows = itertools.chain.from_iterable(per_run(run) for run in runs(batches))
         yield from to_batches(rows, arrow)
 
-    return _scan(df, group, order, task, out_type)
+    return _scan(df, group, order, task, out_type, False)
 
 
 def ordered_rows_scan(
@@ -112,8 +122,13 @@ def ordered_rows_scan(
     order: Sequence[str],
     per_run: Callable[[Iterator[dict], Loop], Iterator[dict]],
     out_type: T.StructType,
+    *,
+    together: bool = False,
 ) -> DataFrame:
-    """The same for handlers of single rows: ``per_run(rows, loop)``, with one event loop per task."""
+    """The same for handlers of single rows: ``per_run(rows, loop)``, with one event loop per task.
+
+    ``together``: a window over some of the group columns has just put each group into one task.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(out_type)
@@ -123,4 +138,4 @@ def ordered_rows_scan(
             rows = itertools.chain.from_iterable(per_run(run, loop) for run in row_runs(batches))
             yield from to_batches(rows, arrow)
 
-    return _scan(df, group, order, task, out_type)
+    return _scan(df, group, order, task, out_type, together)
