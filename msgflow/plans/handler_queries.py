@@ -73,9 +73,9 @@ def _strict_number(keys, datum):
     "map_capture_errors",
     """
     WITH e AS (SELECT event_id, CAST(round(value * 100) AS BIGINT) AS n FROM events)
-    SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN n % 7 <> 0 THEN n * 2 END AS doubled,
-           CASE WHEN n % 7 = 0 THEN 'ValueError: bad number ' || n END AS message,
-           CASE WHEN n % 7 = 0 THEN 'Internal error' END AS code
+    SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN n % 7 <> 0 THEN n * 2 ELSE -1 END AS doubled,
+           CASE WHEN n % 7 = 0 THEN 'ValueError: bad number ' || n ELSE '' END AS message,
+           CASE WHEN n % 7 = 0 THEN 'Internal error' ELSE '' END AS code
     FROM e
     """,
 )
@@ -85,7 +85,10 @@ def map_capture_errors(spark, base):
     )
     # One pass over the output; split_errors would run the handler for each of its two results.
     return out.select(
-        "id", S.text_to_int("value").alias("doubled"), F.col("error.message"), F.col("error.code")
+        "id",
+        F.coalesce(S.text_to_int("value"), F.lit(-1)).alias("doubled"),
+        F.coalesce("error.message", F.lit("")).alias("message"),
+        F.coalesce("error.code", F.lit("")).alias("code"),
     )
 
 

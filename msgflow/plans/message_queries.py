@@ -194,7 +194,7 @@ def fan_in(spark, base):
            'audit{step=2};info{user=' || user_id || '}' AS removed,
            'audit{by=' || event_type || ',step=2};empty{};info{user=' || user_id || '}' AS unchanged,
            'audit,empty,info' AS groups, 'by,step' AS audit_keys,
-           CAST(user_id AS VARCHAR) AS user_text, NULL::VARCHAR AS absent,
+           CAST(user_id AS VARCHAR) AS user_text, true AS absent,
            true AS has_info, false AS has_other, 3 AS n_groups, 0 AS cleared,
            'info{user=' || user_id || '}' AS after_delete
     FROM events
@@ -218,7 +218,7 @@ def meta_add_remove(spark, base):
         F.array_join(M.meta_groups("md"), ",").alias("groups"),
         F.array_join(M.meta_keys("md", "audit"), ",").alias("audit_keys"),
         S.bytes_to_text(M.meta_value("md", "info", "user")).alias("user_text"),
-        S.bytes_to_text(M.meta_value("md", "info", "nothing")).alias("absent"),
+        M.meta_value("md", "info", "nothing").isNull().alias("absent"),
         M.meta_contains("md", "info").alias("has_info"),
         M.meta_contains("md", "other").alias("has_other"),
         M.meta_len("md").alias("n_groups"),
@@ -253,7 +253,7 @@ def from_props(spark, base):
     "scalar_codec",
     """
     SELECT event_id, hex(encode(event_type)) AS type_hex, event_id AS le_number, user_id AS text_number,
-           len(string_split(props, ':')) AS n_parts, string_split(props, ':')[1] AS first_part,
+           CAST(len(string_split(props, ':')) AS INTEGER) AS n_parts, string_split(props, ':')[1] AS first_part,
            contains(event_type, 'ew') AS has_ew, event_type = 'click' AS is_click,
            user_id % 2 = 0 AS even_user
     FROM events

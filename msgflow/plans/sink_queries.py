@@ -41,13 +41,13 @@ def _responded(spark, base):
     "sink_status",
     f"""
     SELECT {_STATUS_SQL} AS status,
-           CASE WHEN event_type = 'error' THEN 'mock sink message error' END AS err_msg, count(*) AS n,
+           CASE WHEN event_type = 'error' THEN 'mock sink message error' ELSE '' END AS err_msg, count(*) AS n,
            CAST(sum(CASE WHEN event_type = 'purchase' AND user_id % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS replaced
     FROM events GROUP BY ALL
     """,
 )
 def sink_status(spark, base):
-    return _responded(spark, base).groupBy("status", "err_msg").agg(
+    return _responded(spark, base).groupBy("status", F.coalesce("err_msg", F.lit("")).alias("err_msg")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("message").isNotNull()).alias("replaced")
     )
 
@@ -165,7 +165,7 @@ def side_input_keyed(spark, base):
     """
     WITH v AS (SELECT event_type AS name, ts AS version_time, event_id AS version, user_id FROM events WHERE user_id % 3 = 0),
     q AS (SELECT event_id, CASE event_type WHEN 'view' THEN 'click' ELSE event_type END AS name, ts FROM events)
-    SELECT q.event_id, v.version AS version, coalesce('u' || v.user_id, 'no_value') AS value_text
+    SELECT q.event_id, coalesce(v.version, -1) AS version, coalesce('u' || v.user_id, 'no_value') AS value_text
     FROM q ASOF LEFT JOIN v ON q.name = v.name AND q.ts >= v.version_time
     """,
 )
@@ -184,17 +184,17 @@ def side_input_asof(spark, base):
     out = SI.side_input_asof(
         rows.withColumn("name", name), versions, order=("event_time", "event_id"), hot_rows=300
     )
-    return out.select("event_id", "version", S.bytes_to_text("side_input").alias("value_text"))
+    return out.select("event_id", F.coalesce("version", F.lit(-1)).alias("version"), S.bytes_to_text("side_input").alias("value_text"))
 
 
 @query(
     "error_rows",
     """
     SELECT 'map' AS container, epoch_us(ts) // 1000000 AS "timestamp", 'Internal error' AS code,
-           'bad number: ' || event_type AS message, 'id ' || event_id AS details, CAST(NULL AS BIGINT) AS number
+           'bad number: ' || event_type AS message, 'id ' || event_id AS details
     FROM events WHERE event_type = 'error'
     UNION ALL
-    SELECT NULL, NULL, NULL, NULL, NULL, user_id FROM events WHERE event_type <> 'error'
+    SELECT 'good', user_id, '', '', '' FROM events WHERE event_type <> 'error'
     """,
 )
 def error_rows(spark, base):
@@ -210,7 +210,12 @@ def error_rows(spark, base):
         details=F.concat(F.lit("id "), F.col("id")),
         container="map",
     )
-    return bad.unionByName(good.select(number.alias("number")), allowMissingColumns=True)
+    empty = F.lit("")
+    numbers = good.select(
+        F.lit("good").alias("container"), number.alias("timestamp"),
+        empty.alias("code"), empty.alias("message"), empty.alias("details"),
+    )
+    return bad.unionByName(numbers)
 
 
 @query(

@@ -185,7 +185,7 @@ class _Counter(stateful.StreamAccumulator):
     SELECT CAST(user_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS id, false AS eof,
            row_number() OVER (PARTITION BY user_id, no ORDER BY ts, event_id) AS counter FROM s
     UNION ALL
-    SELECT CAST(s.user_id AS VARCHAR), NULL, true, NULL FROM s JOIN m ON s.user_id = m.user_id
+    SELECT CAST(s.user_id AS VARCHAR), '', true, -1 FROM s JOIN m ON s.user_id = m.user_id
     GROUP BY s.user_id, s.no, m.last_no HAVING s.no < m.last_no OR max(s.ts) + INTERVAL 2 DAY <= {_WM}
     """,
 )
@@ -194,8 +194,10 @@ def stream_accumulator(spark, base):
         _stream(spark, base), _Counter, timeout="2 days", columns=("id", "keys"), order=("event_time",)
     )
     done = run.run_to_table(out)
-    number = F.when(~F.col("eof"), S.text_to_int("value", strict=False))
-    return done.select(F.element_at("keys", 1).alias("key"), "id", "eof", number.alias("counter"))
+    number = F.when(F.col("eof"), F.lit(-1)).otherwise(S.text_to_int("value", strict=False))
+    return done.select(
+        F.element_at("keys", 1).alias("key"), F.coalesce("id", F.lit("")).alias("id"), "eof", number.alias("counter")
+    )
 
 
 async def _answer(datums):
