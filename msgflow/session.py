@@ -34,11 +34,18 @@ def builder(app_name: str = "msgflow") -> SparkSession.Builder:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send the package to the Python workers, once per application."""
-    app = spark.sparkContext.applicationId
+    """Send the package to the Python workers, once per application.
+
+    Executors get it as an archive. Streams also start Python processes beside the driver, which
+    archives do not reach: those find it by path.
+    """
+    context = spark.sparkContext
+    app = context.applicationId
     if app in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
+    known = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    context.environment["PYTHONPATH"] = os.pathsep.join([*known, os.path.dirname(root)])
     target = os.path.join(tempfile.mkdtemp(prefix="msgflow-"), "msgflow.zip")
     with zipfile.ZipFile(target, "w") as archive:
         for folder, _, files in os.walk(root):
@@ -46,7 +53,7 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     archive.write(path, os.path.join("msgflow", os.path.relpath(path, root)))
-    spark.sparkContext.addPyFile(target)
+    context.addPyFile(target)
     _shipped.add(app)
 
 
