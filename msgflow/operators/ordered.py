@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from msgflow.functions.scalars import let
+
 HOT_ROWS = 4_000_000  # a group below this many rows is never split
 HOT_SHARE = 10_000  # and it must hold over 1/HOT_SHARE of all rows: bounds the number of hot groups
 PIECES = 2_000  # at most this many pieces per level and hot group
@@ -105,9 +107,15 @@ def _cuts(df: DataFrame, group: Sequence[str], number: Column, hot: DataFrame, h
 
 def _piece(number: Column) -> Column:
     """How many cuts are at or below ``number``: coarse cuts first, then one stride of fine ones."""
-    skip = F.size(F.filter("_coarse", lambda c: c <= number)) * STRIDE
-    near = F.slice("_cuts", skip + 1, F.lit(STRIDE))
-    return F.when(F.col("_cuts").isNull(), 0).otherwise(skip + F.size(F.filter(near, lambda c: c <= number)))
+
+    def count(cuts: Column, x: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= x))
+
+    def fine(skip: Column, x: Column) -> Column:
+        return skip + count(F.slice("_cuts", skip + 1, F.lit(STRIDE)), x)
+
+    place = let(number, lambda x: let(count(F.col("_coarse"), x) * STRIDE, lambda skip: fine(skip, x)))
+    return F.when(F.col("_cuts").isNull(), 0).otherwise(place)
 
 
 def segmented(
