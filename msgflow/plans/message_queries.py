@@ -4,20 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from msgflow import constants as C
 from msgflow.functions import metadata as M
 from msgflow.functions import scalars as S
 from msgflow.operators import envelope as E
 from msgflow.operators import mapping as MP
 from msgflow.operators import routing as R
 from msgflow.operators import transform as TR
-from msgflow.operators import windows as W
 from msgflow.operators import reduce as RD
 from msgflow.plans.registry import cents, event_messages, query, time_text
 from msgflow.sources.tables import read_table
 
-_T = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
-
 
 @query(
     "envelope_defaults",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from msgflow.functions import metadata as M
 from msgflow.functions import scalars as S
 from msgflow.operators import envelope as E
 from msgflow.operators import errors as ER
