@@ -47,6 +47,11 @@ def remainder(key: Column, modulus: int) -> Column:
     return crc(key) % F.lit(modulus)
 
 
+def uniform(*columns: Column) -> Column:
+    """A number in [0, 1) that the values decide."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
+
+
 def identity(key: Column, text: Column) -> Column:
     """128 bits that tell documents apart: id and text, nulls included."""
     parts = [key.isNull(), key.cast("string"), text.isNull(), text.cast("string")]

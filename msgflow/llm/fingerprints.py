@@ -1,7 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches of a text's paragraphs.
 
-A text is the set of its paragraphs: lines, the long ones cut after every ``max_words`` words. A paragraph is a 64-bit
-digest. A sketch has cells in three tables; every digest goes to one cell of each table, and a cell keeps a count, the
+A text is the set of its paragraphs: lines, the long ones cut after every so many characters. How many follows from the
+text's length in powers of two (an eighth of it, 32 at least and 4,096 at most), so that a short text is not one
+paragraph and a long one is its lines. A paragraph is a 64-bit digest. A sketch has cells in three tables; every digest goes to one cell of each table, and a cell keeps a count, the
 exclusive or of its digests and that of their checksums. Sketches of two versions subtract cell by cell: what both have
 cancels. A cell left with one digest shows it (its checksum agrees); taking it out of its other cells frees more, until
 all cells are empty and the differing digests of either side are known. Where peeling stops early, the sketch is built
@@ -28,10 +29,11 @@ from pyspark.sql import functions as F
 from msgflow.llm.common import pieces_for, text_of
 
 TABLES = 3
-CELLS = 12  # of a block, at first
-LOAD = 6  # paragraphs of a text that a block is made for
+CELLS = 30  # of a block, at first
+LOAD = 16  # digests of both sides together that a block is made for
 LEVELS = 8  # doublings; then the sets themselves are compared, which no run has needed
-MAX_WORDS = 8
+GRAINS = tuple(32 << i for i in range(8))  # characters of a paragraph at most
+PER_TEXT = 8  # a text is cut into some so many
 RANGE_BYTES = 64 << 20
 FINGERPRINT_COLUMNS = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
@@ -43,69 +45,90 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), lambda x: use(x))[0]
 
 
-def digests(text: Column, max_words: int = MAX_WORDS) -> Column:
+def grain_of(n_chars: Column) -> Column:
+    """The most characters a paragraph of a text of that length may have."""
+    wanted = n_chars / PER_TEXT
+    out = F.lit(GRAINS[-1])
+    for grain in reversed(GRAINS[:-1]):
+        out = F.when(wanted <= grain, F.lit(grain)).otherwise(out)
+    return out
+
+
+def digests(text: Column, grain: Column) -> Column:
     """The set of paragraph digests of a text."""
-    run = rf"(?:[^\x20\x09-\x0D]++[\x20\x09\x0B-\x0D]*+){{1,{max_words}}}"
-    parts = F.regexp_extract_all(text, F.lit(run), F.lit(0))
-    return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(F.rtrim(p))))
 
+    def runs(most: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{most}}}"), F.lit(0))
+
+    parts = runs(GRAINS[-1])
+    for most in GRAINS[:-1]:
+        parts = F.when(grain == most, runs(most)).otherwise(parts)
+    return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
+
+
+def _entry(digest: Column, width: Column, seed: Column, sign: int | Column) -> Column:
+    """A digest with its checksum and its cell in each table of ``width`` cells."""
+    spots = [
+        (F.pmod(F.xxhash64(digest, seed, F.lit(t)), width) + width * F.lit(t)).cast("int").alias(f"s{t}")
+        for t in range(TABLES)
+    ]
+    signed = F.lit(sign) if isinstance(sign, int) else sign
+    return F.struct(signed.alias("sign"), digest.alias("key"), _check(digest).alias("check"), *spots)
 
-def _entry(digest: Column, cells: Column, level: Column) -> Column:
-    """A digest with its checksum and its cell in each table."""
-    width = (cells / TABLES).cast("int")
-    spots = [F.pmod(F.xxhash64(digest, level, F.lit(t)), width).cast("int") + width * t for t in range(TABLES)]
-    return F.struct(digest.alias("key"), _check(digest).alias("check"), F.array(*spots).alias("spots"))
+
+def _in_cell(entry: Column, at: Column) -> Column:
+    return (entry["s0"] == at) | (entry["s1"] == at) | (entry["s2"] == at)
 
 
 def _check(digest: Column) -> Column:
     return F.xxhash64(F.lit("check"), digest)
 
 
+def _sum(entries: Column) -> Column:
+    return F.aggregate(entries, F.lit(0), lambda acc, e: acc + e["sign"])
+
+
 def _xor(entries: Column, field: str) -> Column:
     return F.aggregate(entries, F.lit(0).cast("long"), lambda acc, e: acc.bitwiseXOR(e[field]))
 
 
-def sketch(keys: Column, cells: Column, level: Column) -> Column:
-    """The cells of a set of digests: an array of (n, key, check)."""
+def _cells(entries: Column, width: Column) -> Column:
+    """Cells of entries (sign, key, check, spots), ``width`` in each table: an array of (n, key, check)."""
 
-    def cell(entries: Column, at: Column) -> Column:
+    def cell(all_entries: Column, at: Column) -> Column:
         return let(
-            F.filter(entries, lambda e: F.array_contains(e["spots"], at)),
+            F.filter(all_entries, lambda e: _in_cell(e, at)),
             lambda mine: F.struct(
-                F.size(mine).alias("n"), _xor(mine, "key").alias("key"), _xor(mine, "check").alias("check")
+                _sum(mine).alias("n"), _xor(mine, "key").alias("key"), _xor(mine, "check").alias("check")
             ),
         )
 
-    entries = F.transform(keys, lambda k: _entry(k, cells, level))
-    return let(
-        entries, lambda e: F.transform(F.sequence(F.lit(0), cells - 1), lambda at: cell(e, at))
-    )
+    places = F.sequence(F.lit(0), width * F.lit(TABLES) - F.lit(1))
+    return let(entries, lambda e: F.transform(places, lambda at: cell(e, at)))
 
 
-def subtract(one: Column, other: Column) -> Column:
-    return F.zip_with(
-        one,
-        other,
-        lambda a, b: F.struct(
-            (a["n"] - b["n"]).alias("n"),
-            a["key"].bitwiseXOR(b["key"]).alias("key"),
-            a["check"].bitwiseXOR(b["check"]).alias("check"),
-        ),
-    )
+def sketch(keys: Column, width: Column, seed: Column) -> Column:
+    """The cells of a set of digests."""
+    return _cells(F.transform(keys, lambda k: _entry(k, width, seed, 1)), width)
+
 
+def subtracted(one: Column, other: Column, width: Column, seed: Column) -> Column:
+    """sketch(one) minus sketch(other). Sketches are linear: the digests of the other side enter with a minus sign."""
+    plus = F.transform(one, lambda k: _entry(k, width, seed, 1))
+    minus = F.transform(other, lambda k: _entry(k, width, seed, -1))
+    return _cells(F.concat(plus, minus), width)
 
-def peel(cells: Column, level: Column) -> Column:
+
+def peel(sketched: Column, width: Column, seed: Column) -> Column:
     """Digests that a subtracted sketch shows: the array of those found, null if it could not be emptied."""
-    start = F.struct(
-        cells.alias("cells"), F.array().cast(NO_LONGS).alias("found"), F.lit(True).alias("more")
-    )
+    start = F.struct(sketched.alias("cells"), F.array().cast(NO_LONGS).alias("found"), F.lit(True).alias("more"))
 
     def take(cell: Column, at: Column, pure: Column) -> Column:
         return let(
-            F.filter(pure, lambda p: F.array_contains(p["spots"], at)),
+            F.filter(pure, lambda p: _in_cell(p, at)),
             lambda mine: F.when(F.size(mine) == 0, cell).otherwise(
                 F.struct(
-                    (cell["n"] - F.aggregate(mine, F.lit(0), lambda acc, p: acc + p["sign"])).alias("n"),
+                    (cell["n"] - _sum(mine)).alias("n"),
                     cell["key"].bitwiseXOR(_xor(mine, "key")).alias("key"),
                     cell["check"].bitwiseXOR(_xor(mine, "check")).alias("check"),
                 )
@@ -118,15 +141,7 @@ def peel(cells: Column, level: Column) -> Column:
         )
         # A digest is pure in up to three cells; its sign is the same in all.
         signed = F.array_distinct(F.transform(shown, lambda c: F.struct(c["n"].alias("sign"), c["key"].alias("key"))))
-        return F.transform(
-            signed,
-            lambda s: let(
-                _entry(s["key"], F.size(state["cells"]), level),
-                lambda e: F.struct(
-                    s["sign"].alias("sign"), e["key"].alias("key"), e["check"].alias("check"), e["spots"].alias("spots")
-                ),
-            ),
-        )
+        return F.transform(signed, lambda s: _entry(s["key"], width, seed, s["sign"]))
 
     def step(state: Column) -> Column:
         return let(
@@ -139,9 +154,8 @@ def peel(cells: Column, level: Column) -> Column:
         )
 
     # A round frees one digest at least, and no more digests than cells can be found.
-    done = F.aggregate(
-        F.sequence(F.lit(1), F.size(cells) + 1), start, lambda s, _: F.when(s["more"], step(s)).otherwise(s)
-    )
+    rounds = F.sequence(F.lit(0), width * F.lit(TABLES))
+    done = F.aggregate(rounds, start, lambda s, _: F.when(s["more"], step(s)).otherwise(s))
     return let(
         done,
         lambda s: F.when(
@@ -178,20 +192,19 @@ def _differing(one: Column, other: Column) -> Column:
     """Number of differing digests of a block, by peeling; larger sketches until one can be emptied."""
 
     def attempt(level: Column) -> Column:
-        cells = (F.lit(CELLS) * F.pow(F.lit(2.0), level)).cast("int")
-        return F.size(peel(subtract(sketch(one, cells, level), sketch(other, cells, level)), level))
+        width, seed = level["width"], level["seed"]
+        return F.size(peel(subtracted(one, other, width, seed), width, seed))
 
     # size of null is -1: not emptied.
-    tried = F.aggregate(
-        F.sequence(F.lit(0), F.lit(LEVELS)), F.lit(-1), lambda n, level: F.when(n >= 0, n).otherwise(attempt(level))
-    )
+    levels = F.array(*[F.struct(F.lit(CELLS // TABLES << i).alias("width"), F.lit(i).alias("seed")) for i in range(LEVELS)])
+    tried = F.aggregate(levels, F.lit(-1), lambda n, level: F.when(n >= 0, n).otherwise(attempt(level)))
     exact = F.size(F.array_except(one, other)) + F.size(F.array_except(other, one))
     return let(tried, lambda n: F.when(n >= 0, n).otherwise(exact))
 
 
 def likeness(one: Column, other: Column) -> Column:
     """1 - differing / all digests of both sides, from 0 to 1; 1 where both are empty."""
-    blocks = F.greatest(F.ceil(F.greatest(F.size(one), F.size(other)) / LOAD), F.lit(1)).cast("int")
+    blocks = F.greatest(F.ceil((F.size(one) + F.size(other)) / LOAD), F.lit(1)).cast("int")
     parts = let(
         blocks, lambda g: F.zip_with(_blocks(one, g), _blocks(other, g), lambda a, b: _differing(a, b))
     )
@@ -202,7 +215,7 @@ def likeness(one: Column, other: Column) -> Column:
 
 def fingerprint(keys: Column) -> Column:
     """The sketch with one block as text: count and digests of every cell."""
-    cells = sketch(keys, F.lit(CELLS), F.lit(0))
+    cells = sketch(keys, F.lit(CELLS // TABLES), F.lit(0))
     return F.array_join(F.transform(cells, lambda c: F.concat(c["n"].cast("string"), F.lit(":"), F.hex(c["key"]))), " ")
 
 
@@ -249,7 +262,7 @@ def with_next(docs: DataFrame, keep: list[str] | None = None, range_bytes: int =
     return spread.withColumn("next_text", F.lead("text").over(order)).where(~F.col("tail")).select("row", "text", "next_text")
 
 
-def fingerprints(docs: DataFrame, keep: list[str] | None = None, max_words: int = MAX_WORDS) -> DataFrame:
+def fingerprints(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Rows of ``docs`` (doc_id, text) with n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text is the text with its last floor(n_chars / 2) code points replaced by the first as many, or all, of
@@ -261,20 +274,23 @@ def fingerprints(docs: DataFrame, keep: list[str] | None = None, max_words: int
     head = F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half)
     edited = F.concat(head, F.substring(F.col("next_text"), F.lit(1), half))
     rows = rows.withColumn("edited", edited)
+    rows = rows.withColumns({"grain": grain_of(F.col("n_chars")), "edited_grain": grain_of(F.char_length("edited"))})
+    # Versions are compared at the grain of the text; the edited text's own fingerprint has its own grain.
     rows = rows.select(
         "row",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        digests(F.col("text"), max_words).alias("one"),
-        digests(F.col("edited"), max_words).alias("two"),
-        digests(F.col("next_text"), max_words).alias("three"),
+        digests(F.col("text"), F.col("grain")).alias("one"),
+        digests(F.col("edited"), F.col("grain")).alias("two"),
+        F.when(F.col("grain") != F.col("edited_grain"), digests(F.col("edited"), F.col("edited_grain"))).alias("own"),
+        digests(F.col("next_text"), F.col("grain")).alias("three"),
     )
     return rows.select(
         "row.*",
         "n_chars",
         "edited_sha256",
         fingerprint(F.col("one")).alias("fingerprint"),
-        fingerprint(F.col("two")).alias("edited_fingerprint"),
+        fingerprint(F.coalesce("own", "two")).alias("edited_fingerprint"),
         likeness(F.col("one"), F.col("two")).alias("near_edited"),
         likeness(F.col("one"), F.col("three")).alias("near_next"),
     )

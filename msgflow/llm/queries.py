@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import decontaminate, fingerprints, line_dedup, mixing, sharding
+from msgflow.llm import decontaminate, fingerprints, language_id, line_dedup, mixing, sharding, toxicity
+from msgflow.llm.common import remainder
 from msgflow.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -114,3 +115,20 @@ def op9_containment(spark: SparkSession, base: str) -> DataFrame:
 @query("op10_paragraph_sketches")
 def op10_paragraph_sketches(spark: SparkSession, base: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, base, "documents"))
+
+
+@query("op4_byte_network")
+def op4_byte_network(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False))
+    model = language_id.train(docs, label=F.col("lang"), learn=~held_out)
+    out = language_id.predict(docs.select("doc_id", "text", held_out.alias("held_out")), model, ["doc_id", "held_out"])
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op5_toxic_segments")
+def op5_toxic_segments(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = toxicity.train(docs, table(spark, base, "labels"), learn=~held_out)
+    return toxicity.detect(docs.select("doc_id", "text", held_out.alias("held_out")), model, 0.3, ["doc_id", "held_out"])
