@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import decontaminate, fingerprints, language_id, line_dedup, mixing, sharding, toxicity
+from msgflow.llm import decontaminate, fingerprints, hidden_markov, language_id, line_dedup, mixing, sharding, site_quality, toxicity
 from msgflow.llm.common import remainder
 from msgflow.llm.registry import ORACLES, QUERIES, query, table
 
@@ -39,6 +39,11 @@ FROM documents d JOIN parts p ON p.doc_id = d.doc_id AND p.text = d.text
 """
 
 
+@query("op1_hidden_markov")
+def op1_hidden_markov(spark: SparkSession, base: str) -> DataFrame:
+    return hidden_markov.score(table(spark, base, "documents"), held_out=remainder(F.col("doc_id"), 10) == 0)
+
+
 @query("op2_line_windows", LINES_SQL)
 def op2_line_windows(spark: SparkSession, base: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, base, "documents"))
@@ -132,3 +137,10 @@ def op5_toxic_segments(spark: SparkSession, base: str) -> DataFrame:
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     model = toxicity.train(docs, table(spark, base, "labels"), learn=~held_out)
     return toxicity.detect(docs.select("doc_id", "text", held_out.alias("held_out")), model, 0.3, ["doc_id", "held_out"])
+
+
+@query("op7_site_quality")
+def op7_site_quality(spark: SparkSession, base: str) -> DataFrame:
+    """Hosts are sources; a source's languages are its sections."""
+    docs, labels = table(spark, base, "documents"), table(spark, base, "labels")
+    return site_quality.site_quality(docs, labels, host=F.col("source"), path=F.col("lang"))
