@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import decontaminate, fingerprints, hidden_markov, language_id, line_dedup, mixing, sharding, site_quality, toxicity
+from msgflow.llm import decontaminate, fingerprints, hidden_markov, jaccard_join, language_id, line_dedup, mixing, sharding, site_quality, toxicity
 from msgflow.llm.common import remainder
 from msgflow.llm.registry import ORACLES, QUERIES, query, table
 
@@ -144,3 +144,8 @@ def op7_site_quality(spark: SparkSession, base: str) -> DataFrame:
     """Hosts are sources; a source's languages are its sections."""
     docs, labels = table(spark, base, "documents"), table(spark, base, "labels")
     return site_quality.site_quality(docs, labels, host=F.col("source"), path=F.col("lang"))
+
+
+@query("op8_partenum_join")
+def op8_partenum_join(spark: SparkSession, base: str) -> DataFrame:
+    return jaccard_join.linked(table(spark, base, "documents"))
