@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgflow.llm import decontaminate, fingerprints, hidden_markov, jaccard_join, language_id, line_dedup, mixing, sharding, site_quality, toxicity
-from msgflow.llm.common import remainder
-from msgflow.llm.registry import ORACLES, QUERIES, query, table
+from msgflow.llm.common import remainder, table
+from msgflow.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 

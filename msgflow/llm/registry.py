@@ -18,7 +18,3 @@ def query(name: str, sql: str | None = None):
         return fn
 
     return register
-
-
-def table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{name}.parquet")
