@@ -1,18 +1,66 @@
-"""The corpus pipeline: stages that each read what the one before wrote."""
+"""The corpus pipeline: stages that each read what the one before wrote.
+
+Every stage takes all documents that came to it and returns the columns of documents; the last adds its shards.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from msgflow.llm import decontaminate, jaccard_join, language_id, mixing, sharding
+from msgflow.llm.common import stored, table
+
+#: A document whose best language is less likely than this is in none of them.
+LEAST_SCORE = 0.4
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; those without a letter or with no clear language go."""
+    model = language_id.train(docs, label=F.col("lang"), learn=F.lit(True))
+    boxed = docs.select("text", F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    judged = language_id.predict(boxed, model, keep=["row"])
+    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return judged.where(known).select("row.*")
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least id, of every group of linked documents; a repeated row once."""
+    groups = jaccard_join.linked(docs)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no item of the benchmark."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.mixed_documents(docs, weights=(5, 2, 1), share=(3, 2), max_epochs=2)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their shard and slot along the curve."""
+    dimensions = {"lang": F.col("lang"), "source": F.col("source"), "n_chars": F.col("n_chars")}
+    return sharding.hilbert_shards(docs, dimensions, shards=24, keep=docs.columns)
+
 
-from msgflow.llm import decontaminate, mixing, sharding  # noqa: F401
-from msgflow.llm.common import stored
+STAGES = [
+    ("language ID", language_stage),
+    ("n-gram Jaccard join", near_copy_stage),
+    ("benchmark decontamination", benchmark_stage),
+    ("mixing to target weights", mixing_stage),
+    ("Hilbert sharding", sharding_stage),
+]
 
+#: The network and the set join can't be said in SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
-STAGES: list = []
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), "stage")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
