@@ -13,9 +13,12 @@ when their sets have a Jaccard similarity of 3/4 or more.
    have fewer (small sets in crowded parts) add their single shingles as signatures, which they share among each other.
 4. Count filter. A set with p parts needs p - k agreements with a partner, so sets with fewer repeated signatures than
    that, among all sets, have no link and leave: texts that merely share a passage do.
-5. Links. Sets that are equal become one. In every signature group all sets are held against the least one; that makes
-   components; then all pairs of a group that are still in different components and agree on enough parts are compared.
-   So a group of near copies costs one comparison for each member, and no link between components is missed.
+5. Crowded groups. A set that has fewer signatures in groups of more than ``CROWD`` sets than it needs agreements must
+   share one of its other groups with any partner; only sets that have enough of them are paired in crowded groups.
+6. Links. Sets that are equal become one. In every signature group all sets are held against one of them, in some rounds
+   with another choice each; that makes components. Then all pairs of a group that are still in different components and
+   agree on enough parts are compared. So a group of near copies costs a few comparisons for each member, and no link
+   between components is missed.
 
 Signatures travel as packed arrays, one row per task, batch and bucket of signatures, and a bucket is grouped by sorting
 an array. Buckets are as many as the texts ask for. Sets are compared by the 64-bit hashes of their shingles.
@@ -30,7 +33,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -42,7 +44,9 @@ from msgflow.llm.components import components
 WIDTH = 5
 PARTS = 0.45  # of an instance, for each shingle of its largest sets
 FLUSH = 1_000_000  # signatures that a task holds
-BUCKET_BYTES = 16 << 20  # of text for each bucket of signatures
+BUCKET_BYTES = 32 << 20  # of text for each bucket of signatures
+CROWD = 64  # sets with a signature; above it the group is crowded
+STARS = 2  # rounds of stars before what is left is paired
 BROADCAST_IDS = 1_000_000  # 8 bytes each; beyond it texts are shuffled to the ids
 U = np.uint64
 
@@ -130,7 +134,9 @@ PACKED = pa.schema(
 )
 PACKED_SQL = "bucket int, signatures binary, owners binary, info binary"
 #: One owner: a set in an instance, and how many of the row's signatures are its own.
-OWNER = np.dtype([("id", "<i8"), ("group", "<i8"), ("instance", "<i4"), ("need", "<i4"), ("n", "<i4")])
+OWNER = np.dtype(
+    [("id", "<i8"), ("group", "<i8"), ("instance", "<i4"), ("need", "<i4"), ("crowded", "?"), ("n", "<i4")]
+)
 INFO = np.dtype(
     [("id", "<i8"), ("known", "?"), ("size", "<i8"), ("high", "<i8"), ("low", "<i8"), ("need0", "<i4"), ("need1", "<i4")]
 )
@@ -146,10 +152,11 @@ class Packer:
     def clear(self) -> None:
         self.found, self.owners, self.info, self.held = [], [], [], 0
 
-    def add(self, node: int, group: int, found: list[tuple[np.ndarray, int]]) -> None:
-        for flag, (values, need) in enumerate(found):
+    def add(self, node: int, group: int, found: list[tuple[np.ndarray, int]], crowded: tuple[int, ...] = (0, 1)) -> None:
+        """``crowded`` lists the instances in which crowded groups count for the set."""
+        for instance, (values, need) in enumerate(found):
             self.found.append(values)
-            self.owners.append((node, group, flag, need, len(values)))
+            self.owners.append((node, group, instance, need, instance in crowded, len(values)))
             self.held += len(values)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
@@ -176,15 +183,15 @@ class Packer:
         self.clear()
 
 
-def _unpack(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a bucket: owners, and for each repeated signature in order its number and the places of its owners."""
-    values = np.concatenate([np.frombuffer(x, U) for x in rows["signatures"]] or [np.empty(0, U)])
-    owners = np.concatenate([np.frombuffer(x, OWNER) for x in rows["owners"]] or [np.empty(0, OWNER)])
-    owner = np.repeat(np.arange(len(owners)), owners["n"])
+    values = np.concatenate([np.frombuffer(x.as_py(), U) for x in rows["signatures"]])
+    owners = np.concatenate([np.frombuffer(x.as_py(), OWNER) for x in rows["owners"]])
+    owner = np.repeat(np.arange(len(owners), dtype=np.int32), owners["n"])
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
-    new = np.diff(values, prepend=values[:1] - U(1) if len(values) else U(0)) != 0
-    number = np.cumsum(new) - 1
+    del order
+    number = np.cumsum(np.concatenate([[False], values[1:] != values[:-1]]), dtype=np.int32) if len(values) else owner
     repeated = np.bincount(number)[number] > 1 if len(number) else np.empty(0, bool)
     return owners, number[repeated], owner[repeated]
 
@@ -194,61 +201,96 @@ def _ranges(number: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip(edges, [*edges[1:], len(number)])
 
 
-COUNTED = "id long, known boolean, size long, high long, low long, need0 int, need1 int, instance int, n int"
+COUNTED = "id long, known boolean, size long, high long, low long, need0 int, need1 int, instance int, n int, crowded int"
+COUNTED_ARROW = pa.schema(
+    [
+        ("id", pa.int64()),
+        ("known", pa.bool_()),
+        *[(f, pa.int64()) for f in ("size", "high", "low")],
+        *[(f, pa.int32()) for f in ("need0", "need1", "instance", "n", "crowded")],
+    ]
+)
 
 
-def _count(rows: pd.DataFrame) -> pd.DataFrame:
-    """What is known of sets, and how many repeated signatures of the bucket each has in either instance."""
-    owners, _, owner = _unpack(rows)
+def _count(rows: pa.Table) -> pa.Table:
+    """What is known of sets, and how many repeated and crowded signatures of the bucket each has in either instance."""
+    owners, number, owner = _unpack(rows)
     counts = np.bincount(owner, minlength=len(owners))
+    crowd = np.bincount(number)[number] > CROWD if len(number) else np.empty(0, bool)
+    crowded = np.bincount(owner[crowd], minlength=len(owners))
     hit = counts > 0
-    counted = pd.DataFrame({"id": owners["id"][hit], "instance": owners["instance"][hit], "n": counts[hit].astype(np.int32)})
-    info = np.concatenate([np.frombuffer(x, INFO) for x in rows["info"]])
-    names = [x.split()[0] for x in COUNTED.split(", ")]
-    known = pd.DataFrame({f: info[f] for f in INFO.names})
-    return pd.concat([known.astype(object), counted.astype(object)]).reindex(columns=names).astype(object).where(
-        lambda f: f.notna(), None
-    )
+    info = np.concatenate([np.frombuffer(x.as_py(), INFO) for x in rows["info"]])
+    columns = {f: info[f] for f in INFO.names}
+    counted = {"id": owners["id"], "instance": owners["instance"], "n": counts, "crowded": crowded}
+    known = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(info), f.type) for f in COUNTED_ARROW]
+    found = [
+        pa.array(counted[f.name][hit], f.type) if f.name in counted else pa.nulls(int(hit.sum()), f.type)
+        for f in COUNTED_ARROW
+    ]
+    parts = [pa.Table.from_arrays(known, schema=COUNTED_ARROW), pa.Table.from_arrays(found, schema=COUNTED_ARROW)]
+    return pa.concat_tables(parts)
 
 
 PAIRS = "a long, b long, instance int, need int, n int"
+PAIRS_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), *[(f, pa.int32()) for f in ("instance", "need", "n")]])
+COUNTING = -(1 << 63)  # in place of a component, where signatures are only counted
+MERGE = 4_000_000  # pairs that a task holds before it adds up equal ones
 
 
-def _pairs(rows: pd.DataFrame, choose: Callable[[np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]]) -> pd.DataFrame:
+def _pairs(rows: pa.Table, choose: Callable[[np.ndarray, np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]]) -> pa.Table:
     """Pairs that ``choose`` takes from each group of sets with a signature, with their agreements in the bucket."""
     owners, number, owner = _unpack(rows)
-    found = []
+    # A set that came in several batches is several owners: one number for all of them.
+    keys, same = np.unique(owners[["id", "instance"]], return_index=True, return_inverse=True)[1:]
+    owners, owner = owners[keys], same.astype(np.int32)[owner]
+    totals: list[tuple[np.ndarray, np.ndarray]] = []
+    found: list[np.ndarray] = []
+    held = 0
+
+    def merge() -> None:
+        nonlocal found, held
+        codes = np.concatenate([np.concatenate([c for c, _ in totals] or [np.empty(0, np.int64)]), *found])
+        counts = np.concatenate([np.concatenate([n for _, n in totals] or [np.empty(0, np.int64)]), np.ones(held, np.int64)])
+        codes, places = np.unique(codes, return_inverse=True)
+        totals[:] = [(codes, np.bincount(places, counts, len(codes)).astype(np.int64))]
+        found, held = [], 0
+
     for start, end in _ranges(number):
-        members = owner[start:end]
-        members = members[np.argsort(owners["id"][members], kind="stable")]
-        found += [np.stack(x) for x in choose(members, owners)]
-    if not found:
-        return pd.DataFrame({"a": [], "b": [], "instance": [], "need": [], "n": []}).astype("int64")
-    left, right = np.concatenate(found, axis=1)
-    codes, counts = np.unique(left.astype(np.int64) * len(owners) + right, return_counts=True)
-    left, right = owners[codes // len(owners)], owners[codes % len(owners)]
-    out = pd.DataFrame(
-        {
-            "a": left["id"],
-            "b": right["id"],
-            "instance": left["instance"],
-            "need": np.maximum(left["need"], right["need"]),
-            "n": counts,
-        }
-    )
-    # The same set may be several owners, one for each batch.
-    return out.groupby(["a", "b", "instance", "need"], as_index=False).sum()[["a", "b", "instance", "need", "n"]]
-
-
-def _stars(rows: pd.DataFrame) -> pd.DataFrame:
-    def choose(members: np.ndarray, owners: np.ndarray):
-        others = members[owners["id"][members] != owners["id"][members[0]]]
-        yield others, np.full(len(others), members[0])
+        members = np.unique(owner[start:end])
+        if len(members) > CROWD:
+            members = members[owners["crowded"][members]]
+        if len(members) > 1:
+            for left, right in choose(members, owners):
+                found.append(left.astype(np.int64) * len(owners) + right)
+                held += len(left)
+                if held >= MERGE:
+                    merge()
+    merge()
+    codes, counts = totals[0]
+    left, right = owners[codes // max(len(owners), 1)], owners[codes % max(len(owners), 1)]
+    columns = [left["id"], right["id"], left["instance"], np.maximum(left["need"], right["need"]), counts]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PAIRS_ARROW)], schema=PAIRS_ARROW)
+
+
+def _stars(salt: int):
+    """Every set of a group, and the one that a salted hash puts first, where their components differ."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        def choose(members: np.ndarray, owners: np.ndarray):
+            groups = owners["group"][members]
+            if (groups != groups[0]).any():
+                first = np.argmin(mix(owners["id"][members].astype(U), salt)) if salt else np.argmin(owners["id"][members])
+                others = members[groups != groups[first]]
+                yield others, np.full(len(others), members[first])
+
+        return _pairs(rows, choose)
 
-    return _pairs(rows, choose)
+    return run
 
 
-def _between(rows: pd.DataFrame) -> pd.DataFrame:
+def _between(rows: pa.Table) -> pa.Table:
+    """All pairs of a group in different components, the greater id first."""
+
     def choose(members: np.ndarray, owners: np.ndarray):
         groups = owners["group"][members]
         if (groups == groups[0]).all():
@@ -293,8 +335,12 @@ def _sign_sets(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(buckets)
         for batch in batches:
-            for node, group, raw in zip(batch["id"].to_pylist(), batch["group"].to_pylist(), batch["set"]):
-                packer.add(node, group, signatures(np.frombuffer(raw.as_py(), U)))
+            columns = [batch[c].to_pylist() for c in ("id", "group", "crowded")]
+            for node, group, crowded, raw in zip(*columns, batch["set"]):
+                found = signatures(np.frombuffer(raw.as_py(), U))
+                packer.add(node, group, found, tuple(crowded))
+                if not crowded and group == COUNTING:
+                    packer.info.append((node, True, 0, 0, 0, *([need for _, need in found] + [1 << 30])[:2]))
                 if packer.held >= FLUSH:
                     yield from packer.flush()
         yield from packer.flush()
@@ -333,6 +379,15 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
     return total.where(F.col("n") >= F.col("need")).groupBy("a", "b").agg(F.max("n").alias("n"))
 
 
+def _able(counted: DataFrame, needs: DataFrame) -> DataFrame:
+    """id, and the instances in which crowded groups count, of sets with enough repeated signatures in an instance."""
+    hits = counted.where(F.col("size").isNull()).groupBy("id", "instance")
+    hits = hits.agg(F.sum("n").alias("n"), F.sum("crowded").alias("c")).join(needs.select("id", "need0", "need1"), "id")
+    need = F.when(F.col("instance") == 0, F.col("need0")).otherwise(F.col("need1"))
+    hits = hits.where(F.col("n") >= need)
+    return hits.groupBy("id").agg(F.collect_set(F.when(F.col("c") >= need, F.col("instance"))).alias("crowded"))
+
+
 def linked(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id reachable by links) of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -340,16 +395,13 @@ def linked(docs: DataFrame) -> DataFrame:
     size = source.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = pieces_for(spark, size, BUCKET_BYTES)
     signed = source.mapInArrow(_sign_texts(buckets), PACKED_SQL)
-    counted = stored(signed.groupBy("bucket").applyInPandas(_count, COUNTED), "signed")
+    counted = stored(signed.groupBy("bucket").applyInArrow(_count, COUNTED), "signed")
     info = counted.where(F.col("size").isNotNull())
     own = F.when(F.col("known"), F.col("id")).alias("doc_id")
     sets_of = info.where(F.col("known") & (F.col("size") > 0))
     first = sets_of.groupBy("high", "low").agg(F.min("id").alias("rep"))
     # Sets with enough repeated signatures in one of their instances.
-    hits = counted.where(F.col("size").isNull()).groupBy("id", "instance").agg(F.sum("n").alias("n"))
-    need = F.when(F.col("instance") == 0, F.col("need0")).otherwise(F.col("need1"))
-    able = hits.join(sets_of.select("id", "need0", "need1", "high", "low"), "id").where(F.col("n") >= need)
-    able = able.select("id", "high", "low").distinct()
+    able = _able(counted, sets_of).join(sets_of.select("id", "high", "low"), "id")
     chosen = able.groupBy("high", "low").agg(F.min("id").alias("doc_id"))
     chosen = stored(chosen.select("doc_id").distinct(), "candidates")
     hint = F.broadcast if chosen.count() <= BROADCAST_IDS else (lambda frame: frame)
@@ -357,20 +409,34 @@ def linked(docs: DataFrame) -> DataFrame:
     sets = stored(again.mapInArrow(_sets, "id long, set binary"), "sets").where(F.length("set") > 0)
     weight = sets.agg(F.sum(F.length("set")).alias("n")).first()["n"] or 0
     buckets = pieces_for(spark, weight, BUCKET_BYTES)
-    # Every set against the least of its groups that it agrees with most.
-    alone = sets.select("id", F.lit(0).cast("long").alias("group"), "set").mapInArrow(_sign_sets(buckets), PACKED_SQL)
-    stars = _agreeing(alone.groupBy("bucket").applyInPandas(_stars, PAIRS))
-    stars = stars.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
-    stars = stored(stars.select("a", "b"), "stars")
-    edges = stored(_verified(stars, sets), "links")
-    found = components(edges)
-    # What is still apart.
-    grouped = sets.join(found, F.col("id") == F.col("u"), "left").select("id", F.coalesce("v", "id").alias("group"), "set")
-    apart = grouped.mapInArrow(_sign_sets(buckets), PACKED_SQL).groupBy("bucket").applyInPandas(_between, PAIRS)
-    apart = _agreeing(apart).join(stars, ["a", "b"], "left_anti")
+
+    def grouped(frame: DataFrame, by: Callable, schema: str) -> DataFrame:
+        packed = frame.select("id", "group", "crowded", "set").mapInArrow(_sign_sets(buckets), PACKED_SQL)
+        return packed.groupBy("bucket").applyInArrow(by, schema)
+
+    # Again among the candidates, now that equal sets are one.
+    counting = sets.select("id", "set", F.lit(COUNTING).alias("group"), F.array().cast("array<int>").alias("crowded"))
+    recounted = stored(grouped(counting, _count, COUNTED), "recounted")
+    able = _able(recounted, recounted.where(F.col("size").isNotNull()).select("id", "need0", "need1"))
+    sets = stored(sets.join(able, "id"), "sets")
+    found = spark.createDataFrame([], "u long, v long")
+    tried = spark.createDataFrame([], "a long, b long")
+
+    def apart(by: Callable) -> DataFrame:
+        labelled = sets.join(found, F.col("id") == F.col("u"), "left").withColumn("group", F.coalesce("v", "id"))
+        return _agreeing(grouped(labelled, by, PAIRS)).join(tried, ["a", "b"], "left_anti")
+
+    for salt in range(STARS):
+        stars = apart(_stars(salt)).groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
+        stars = stored(stars.select("a", "b"), "stars")
+        if stars.isEmpty():
+            break
+        tried = tried.union(stars)
+        found = components(found.union(_verified(stars, sets)))
+    edges = found.union(_verified(apart(_between), sets))
     # Equal sets hang on the least id that has them; so rows of one id meet, too.
     same = sets_of.join(first, ["high", "low"]).select(F.col("id").alias("u"), F.col("rep").alias("v"))
-    found = components(edges.union(_verified(apart, sets)).union(same))
+    found = components(edges.union(same))
     rows = info.join(found, F.col("known") & (F.col("id") == F.col("u")), "left")
     component = F.when(F.col("known"), F.coalesce("v", "id"))
     return rows.select(own, F.col("size").alias("n_shingles"), component.alias("component_id"))
