@@ -13,12 +13,10 @@ when their sets have a Jaccard similarity of 3/4 or more.
    have fewer (small sets in crowded parts) add their single shingles as signatures, which they share among each other.
 4. Count filter. A set with p parts needs p - k agreements with a partner, so sets with fewer repeated signatures than
    that, among all sets, have no link and leave: texts that merely share a passage do.
-5. Crowded groups. A set that has fewer signatures in groups of more than ``CROWD`` sets than it needs agreements must
-   share one of its other groups with any partner; only sets that have enough of them are paired in crowded groups.
-6. Links. Sets that are equal become one. In every signature group all sets are held against one of them, in some rounds
-   with another choice each; that makes components. Then all pairs of a group that are still in different components and
-   agree on enough parts are compared. So a group of near copies costs a few comparisons for each member, and no link
-   between components is missed.
+5. Families. Sets that are equal become one, and the filter runs again. Sets that share a signature, directly or through
+   others, are a family: every link is inside one. A family is compared in blocks of at most ``BLOCK`` sets, a task for
+   each block and each pair of blocks, by counting common shingles exactly. A task returns a spanning forest of its links,
+   so a group of near copies is as many rows as it has members, and no link between components is missed.
 
 Signatures travel as packed arrays, one row per task, batch and bucket of signatures, and a bucket is grouped by sorting
 an array. Buckets are as many as the texts ask for. Sets are compared by the 64-bit hashes of their shingles.
@@ -30,7 +28,7 @@ Empty tables give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +43,7 @@ WIDTH = 5
 PARTS = 0.45  # of an instance, for each shingle of its largest sets
 FLUSH = 1_000_000  # signatures that a task holds
 BUCKET_BYTES = 32 << 20  # of text for each bucket of signatures
-CROWD = 64  # sets with a signature; above it the group is crowded
-STARS = 2  # rounds of stars before what is left is paired
+BLOCK = 2048  # sets of a family that are compared in one task
 BROADCAST_IDS = 1_000_000  # 8 bytes each; beyond it texts are shuffled to the ids
 U = np.uint64
 
@@ -134,9 +131,7 @@ PACKED = pa.schema(
 )
 PACKED_SQL = "bucket int, signatures binary, owners binary, info binary"
 #: One owner: a set in an instance, and how many of the row's signatures are its own.
-OWNER = np.dtype(
-    [("id", "<i8"), ("group", "<i8"), ("instance", "<i4"), ("need", "<i4"), ("crowded", "?"), ("n", "<i4")]
-)
+OWNER = np.dtype([("id", "<i8"), ("instance", "<i4"), ("n", "<i4")])
 INFO = np.dtype(
     [("id", "<i8"), ("known", "?"), ("size", "<i8"), ("high", "<i8"), ("low", "<i8"), ("need0", "<i4"), ("need1", "<i4")]
 )
@@ -152,11 +147,10 @@ class Packer:
     def clear(self) -> None:
         self.found, self.owners, self.info, self.held = [], [], [], 0
 
-    def add(self, node: int, group: int, found: list[tuple[np.ndarray, int]], crowded: tuple[int, ...] = (0, 1)) -> None:
-        """``crowded`` lists the instances in which crowded groups count for the set."""
-        for instance, (values, need) in enumerate(found):
+    def add(self, node: int, found: list[tuple[np.ndarray, int]]) -> None:
+        for instance, (values, _) in enumerate(found):
             self.found.append(values)
-            self.owners.append((node, group, instance, need, instance in crowded, len(values)))
+            self.owners.append((node, instance, len(values)))
             self.held += len(values)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
@@ -196,32 +190,25 @@ def _unpack(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owners, number[repeated], owner[repeated]
 
 
-def _ranges(number: np.ndarray) -> Iterator[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(number, prepend=-1)).tolist()
-    yield from zip(edges, [*edges[1:], len(number)])
-
-
-COUNTED = "id long, known boolean, size long, high long, low long, need0 int, need1 int, instance int, n int, crowded int"
+COUNTED = "id long, known boolean, size long, high long, low long, need0 int, need1 int, instance int, n int"
 COUNTED_ARROW = pa.schema(
     [
         ("id", pa.int64()),
         ("known", pa.bool_()),
         *[(f, pa.int64()) for f in ("size", "high", "low")],
-        *[(f, pa.int32()) for f in ("need0", "need1", "instance", "n", "crowded")],
+        *[(f, pa.int32()) for f in ("need0", "need1", "instance", "n")],
     ]
 )
 
 
 def _count(rows: pa.Table) -> pa.Table:
-    """What is known of sets, and how many repeated and crowded signatures of the bucket each has in either instance."""
-    owners, number, owner = _unpack(rows)
+    """What is known of sets, and how many repeated signatures of the bucket each has in either instance."""
+    owners, _, owner = _unpack(rows)
     counts = np.bincount(owner, minlength=len(owners))
-    crowd = np.bincount(number)[number] > CROWD if len(number) else np.empty(0, bool)
-    crowded = np.bincount(owner[crowd], minlength=len(owners))
     hit = counts > 0
     info = np.concatenate([np.frombuffer(x.as_py(), INFO) for x in rows["info"]])
     columns = {f: info[f] for f in INFO.names}
-    counted = {"id": owners["id"], "instance": owners["instance"], "n": counts, "crowded": crowded}
+    counted = {"id": owners["id"], "instance": owners["instance"], "n": counts}
     known = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(info), f.type) for f in COUNTED_ARROW]
     found = [
         pa.array(counted[f.name][hit], f.type) if f.name in counted else pa.nulls(int(hit.sum()), f.type)
@@ -231,81 +218,76 @@ def _count(rows: pa.Table) -> pa.Table:
     return pa.concat_tables(parts)
 
 
-PAIRS = "a long, b long, instance int, need int, n int"
-PAIRS_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), *[(f, pa.int32()) for f in ("instance", "need", "n")]])
-COUNTING = -(1 << 63)  # in place of a component, where signatures are only counted
-MERGE = 4_000_000  # pairs that a task holds before it adds up equal ones
-
+EDGES = "u long, v long"
+EDGES_ARROW = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
-def _pairs(rows: pa.Table, choose: Callable[[np.ndarray, np.ndarray], Iterator[tuple[np.ndarray, np.ndarray]]]) -> pa.Table:
-    """Pairs that ``choose`` takes from each group of sets with a signature, with their agreements in the bucket."""
-    owners, number, owner = _unpack(rows)
-    # A set that came in several batches is several owners: one number for all of them.
-    keys, same = np.unique(owners[["id", "instance"]], return_index=True, return_inverse=True)[1:]
-    owners, owner = owners[keys], same.astype(np.int32)[owner]
-    totals: list[tuple[np.ndarray, np.ndarray]] = []
-    found: list[np.ndarray] = []
-    held = 0
-
-    def merge() -> None:
-        nonlocal found, held
-        codes = np.concatenate([np.concatenate([c for c, _ in totals] or [np.empty(0, np.int64)]), *found])
-        counts = np.concatenate([np.concatenate([n for _, n in totals] or [np.empty(0, np.int64)]), np.ones(held, np.int64)])
-        codes, places = np.unique(codes, return_inverse=True)
-        totals[:] = [(codes, np.bincount(places, counts, len(codes)).astype(np.int64))]
-        found, held = [], 0
-
-    for start, end in _ranges(number):
-        members = np.unique(owner[start:end])
-        if len(members) > CROWD:
-            members = members[owners["crowded"][members]]
-        if len(members) > 1:
-            for left, right in choose(members, owners):
-                found.append(left.astype(np.int64) * len(owners) + right)
-                held += len(left)
-                if held >= MERGE:
-                    merge()
-    merge()
-    codes, counts = totals[0]
-    left, right = owners[codes // max(len(owners), 1)], owners[codes % max(len(owners), 1)]
-    columns = [left["id"], right["id"], left["instance"], np.maximum(left["need"], right["need"]), counts]
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PAIRS_ARROW)], schema=PAIRS_ARROW)
-
-
-def _stars(salt: int):
-    """Every set of a group, and the one that a salted hash puts first, where their components differ."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        def choose(members: np.ndarray, owners: np.ndarray):
-            groups = owners["group"][members]
-            if (groups != groups[0]).any():
-                first = np.argmin(mix(owners["id"][members].astype(U), salt)) if salt else np.argmin(owners["id"][members])
-                others = members[groups != groups[first]]
-                yield others, np.full(len(others), members[first])
-
-        return _pairs(rows, choose)
-
-    return run
 
+def _edges(pairs: np.ndarray) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(pairs[:, i], pa.int64()) for i in (0, 1)], schema=EDGES_ARROW)
 
-def _between(rows: pa.Table) -> pa.Table:
-    """All pairs of a group in different components, the greater id first."""
-
-    def choose(members: np.ndarray, owners: np.ndarray):
-        groups = owners["group"][members]
-        if (groups == groups[0]).all():
-            return
-        # By component, so that what lies behind a component's end is all of other components.
-        order = np.argsort(groups, kind="stable")
-        members, groups = members[order], groups[order]
-        ends = np.searchsorted(groups, groups, side="right")
-        for at, end in enumerate(ends.tolist()):
-            rest = members[end:]
-            mine = np.full(len(rest), members[at])
-            swap = owners["id"][mine] < owners["id"][rest]
-            yield np.where(swap, rest, mine), np.where(swap, mine, rest)
 
-    return _pairs(rows, choose)
+def _neighbours(rows: pa.Table) -> pa.Table:
+    """Every set of a group with the least one, once for a bucket."""
+    owners, number, owner = _unpack(rows)
+    if not len(number):
+        return _edges(np.empty((0, 2), np.int64))
+    ids = owners["id"][owner]
+    starts = np.flatnonzero(np.diff(number, prepend=-1))
+    least = np.repeat(np.minimum.reduceat(ids, starts), np.diff([*starts, len(ids)]))
+    pairs = np.stack([ids, least], 1)
+    return _edges(np.unique(pairs[ids != least], axis=0))
+
+
+def forest(sets: list[np.ndarray], one: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links between sets of ``one`` and of ``other`` (flags by place), as pairs of places."""
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, codes, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = counts[codes] > 1
+    owner, codes = owner[shared], codes[shared]
+    order = np.argsort(codes, kind="stable")
+    posted = owner[order]
+    first = np.searchsorted(codes[order], np.arange(len(counts)))
+    until = np.searchsorted(codes[order], np.arange(len(counts)), side="right")
+    at = np.searchsorted(owner, np.arange(len(sets) + 1))
+    root = list(range(len(sets)))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    for x in np.flatnonzero(one).tolist():
+        mine = codes[at[x] : at[x + 1]]
+        if not len(mine):
+            continue
+        lengths = until[mine] - first[mine]
+        places = np.repeat(first[mine] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+        common = np.bincount(posted[places], minlength=len(sets))
+        linked = (100 * common >= 75 * (sizes[x] + sizes - common)) & other & (common > 0)
+        for y in np.flatnonzero(linked).tolist():
+            a, b = top(x), top(y)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                found.append((x, y))
+    return found
+
+
+def _compare(rows: pa.Table) -> pa.Table:
+    """Links of the block pairs of a task: the sets of block i against those of block j of a family."""
+    keys = list(zip(rows["family"].to_pylist(), rows["i"].to_pylist(), rows["j"].to_pylist()))
+    tasks: dict[tuple, list[int]] = {}
+    for place, key in enumerate(keys):
+        tasks.setdefault(key, []).append(place)
+    ids, block = rows["id"].to_numpy(), rows["block"].to_numpy()
+    out = []
+    for (_, i, j), places in tasks.items():
+        sets = [np.frombuffer(rows["set"][p].as_py(), U) for p in places]
+        mine = block[places]
+        out += [(ids[places[x]], ids[places[y]]) for x, y in forest(sets, mine == i, mine == j)]
+    return _edges(np.array(out, dtype=np.int64).reshape(-1, 2))
 
 
 def _sign_texts(buckets: int):
@@ -321,7 +303,7 @@ def _sign_texts(buckets: int):
                     if node is not None:
                         found = signatures(shingles)
                         needs = [need for _, need in found]
-                        packer.add(node, 0, found)
+                        packer.add(node, found)
                 need0, need1 = (*needs, 1 << 30, 1 << 30)[:2]
                 packer.info.append((node or 0, node is not None, len(shingles), high, low, need0, need1))
                 if packer.held >= FLUSH:
@@ -335,12 +317,10 @@ def _sign_sets(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(buckets)
         for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("id", "group", "crowded")]
-            for node, group, crowded, raw in zip(*columns, batch["set"]):
+            for node, raw in zip(batch["id"].to_pylist(), batch["set"]):
                 found = signatures(np.frombuffer(raw.as_py(), U))
-                packer.add(node, group, found, tuple(crowded))
-                if not crowded and group == COUNTING:
-                    packer.info.append((node, True, 0, 0, 0, *([need for _, need in found] + [1 << 30])[:2]))
+                packer.add(node, found)
+                packer.info.append((node, True, 0, 0, 0, *([need for _, need in found] + [1 << 30])[:2]))
                 if packer.held >= FLUSH:
                     yield from packer.flush()
         yield from packer.flush()
@@ -355,37 +335,29 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.binary())], ["id", "set"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for one, other in zip(batch["one"], batch["other"]):
-            x, y = np.frombuffer(one.as_py(), U), np.frombuffer(other.as_py(), U)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * common >= 75 * (len(x) + len(y) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The linked ones of (a, b), as (u, v)."""
-    one = sets.select(F.col("id").alias("a"), F.col("set").alias("one"))
-    other = sets.select(F.col("id").alias("b"), F.col("set").alias("other"))
-    both = pairs.select("a", "b").join(one, "a").join(other, "b")
-    return both.mapInArrow(_compare, "a long, b long").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
-
-
-def _agreeing(pairs: DataFrame) -> DataFrame:
-    """Pairs that agree on enough parts of an instance."""
-    total = pairs.groupBy("a", "b", "instance").agg(F.sum("n").alias("n"), F.max("need").alias("need"))
-    return total.where(F.col("n") >= F.col("need")).groupBy("a", "b").agg(F.max("n").alias("n"))
-
-
 def _able(counted: DataFrame, needs: DataFrame) -> DataFrame:
-    """id, and the instances in which crowded groups count, of sets with enough repeated signatures in an instance."""
-    hits = counted.where(F.col("size").isNull()).groupBy("id", "instance")
-    hits = hits.agg(F.sum("n").alias("n"), F.sum("crowded").alias("c")).join(needs.select("id", "need0", "need1"), "id")
+    """Ids of sets with enough repeated signatures in an instance."""
+    hits = counted.where(F.col("size").isNull()).groupBy("id", "instance").agg(F.sum("n").alias("n"))
+    hits = hits.join(needs.select("id", "need0", "need1"), "id")
     need = F.when(F.col("instance") == 0, F.col("need0")).otherwise(F.col("need1"))
-    hits = hits.where(F.col("n") >= need)
-    return hits.groupBy("id").agg(F.collect_set(F.when(F.col("c") >= need, F.col("instance"))).alias("crowded"))
+    return hits.where(F.col("n") >= need).select("id").distinct()
+
+
+def _family_links(sets: DataFrame, families: DataFrame, buckets: int) -> DataFrame:
+    """(u, v): a spanning forest of the links inside every family. ``families`` has (u, v): v names the family of u."""
+    member = sets.join(families, F.col("id") == F.col("u"), "left").select("id", "set", F.coalesce("v", "id").alias("family"))
+    sizes = member.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
+    blocked = member.join(sizes.where(F.col("n") > 1), "family")
+    blocked = blocked.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    paired = blocked.select("id", "set", "family", "block", "blocks", partner.alias("_p"))
+    i, j = F.least("block", "_p"), F.greatest("block", "_p")
+    # Families of one block share tasks; a block pair of a larger one has its own.
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(buckets))).otherwise(
+        F.xxhash64("family", i, j)
+    )
+    keyed = paired.select("id", "set", "family", "block", i.alias("i"), j.alias("j"), task.alias("task"))
+    return keyed.groupBy("task").applyInArrow(_compare, EDGES)
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -410,30 +382,14 @@ def linked(docs: DataFrame) -> DataFrame:
     weight = sets.agg(F.sum(F.length("set")).alias("n")).first()["n"] or 0
     buckets = pieces_for(spark, weight, BUCKET_BYTES)
 
-    def grouped(frame: DataFrame, by: Callable, schema: str) -> DataFrame:
-        packed = frame.select("id", "group", "crowded", "set").mapInArrow(_sign_sets(buckets), PACKED_SQL)
-        return packed.groupBy("bucket").applyInArrow(by, schema)
-
+    signed = sets.mapInArrow(_sign_sets(buckets), PACKED_SQL)
     # Again among the candidates, now that equal sets are one.
-    counting = sets.select("id", "set", F.lit(COUNTING).alias("group"), F.array().cast("array<int>").alias("crowded"))
-    recounted = stored(grouped(counting, _count, COUNTED), "recounted")
-    able = _able(recounted, recounted.where(F.col("size").isNotNull()).select("id", "need0", "need1"))
+    recounted = stored(signed.groupBy("bucket").applyInArrow(_count, COUNTED), "recounted")
+    able = _able(recounted, recounted.where(F.col("size").isNotNull()))
     sets = stored(sets.join(able, "id"), "sets")
-    found = spark.createDataFrame([], "u long, v long")
-    tried = spark.createDataFrame([], "a long, b long")
-
-    def apart(by: Callable) -> DataFrame:
-        labelled = sets.join(found, F.col("id") == F.col("u"), "left").withColumn("group", F.coalesce("v", "id"))
-        return _agreeing(grouped(labelled, by, PAIRS)).join(tried, ["a", "b"], "left_anti")
-
-    for salt in range(STARS):
-        stars = apart(_stars(salt)).groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
-        stars = stored(stars.select("a", "b"), "stars")
-        if stars.isEmpty():
-            break
-        tried = tried.union(stars)
-        found = components(found.union(_verified(stars, sets)))
-    edges = found.union(_verified(apart(_between), sets))
+    signed = sets.mapInArrow(_sign_sets(buckets), PACKED_SQL)
+    families = components(signed.groupBy("bucket").applyInArrow(_neighbours, EDGES))
+    edges = _family_links(sets, families, buckets)
     # Equal sets hang on the least id that has them; so rows of one id meet, too.
     same = sets_of.join(first, ["high", "low"]).select(F.col("id").alias("u"), F.col("rep").alias("v"))
     found = components(edges.union(same))
