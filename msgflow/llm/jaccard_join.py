@@ -227,15 +227,28 @@ def _edges(pairs: np.ndarray) -> pa.Table:
 
 
 def _neighbours(rows: pa.Table) -> pa.Table:
-    """Every set of a group with the least one, once for a bucket."""
+    """The components of a bucket's signature groups: every set but the least of each, with the least."""
     owners, number, owner = _unpack(rows)
     if not len(number):
         return _edges(np.empty((0, 2), np.int64))
     ids = owners["id"][owner]
     starts = np.flatnonzero(np.diff(number, prepend=-1))
     least = np.repeat(np.minimum.reduceat(ids, starts), np.diff([*starts, len(ids)]))
-    pairs = np.stack([ids, least], 1)
-    return _edges(np.unique(pairs[ids != least], axis=0))
+    pairs = np.unique(np.stack([ids, least], 1)[ids != least], axis=0)
+    # A forest of the bucket: one row for each set at most, however many groups it is in.
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    for x, y in pairs.tolist():
+        a, b = top(x), top(y)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+    return _edges(np.array([(x, top(x)) for x in list(root)], dtype=np.int64).reshape(-1, 2))
 
 
 def forest(sets: list[np.ndarray], one: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
