@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,10 +135,16 @@ def early_sum(
 ) -> DataFrame:
     """Add up ``number`` in order; emit and restart at ``threshold``; then emit the rest, even 0.
 
-    Rows are (group columns, ``emit``, ``total``, ``final``); ``emit`` counts from 1 within a group
-    that fits one task, and within (segment) of a hot group, whose ``segment`` orders its parts.
+    Rows are (group columns, ``segment``, ``emit``, ``total``, ``final``). ``emit`` counts a group's
+    emissions from 1, the final one included, whether or not the group is split; ``segment`` names
+    the part of a split group. NULLs add nothing; a group of NULLs alone emits a final 0.
+    ``number`` must be of an integer type, ``threshold`` positive.
     """
     group, order = list(group), list(order)
+    if not isinstance(df.select(number).schema[0].dataType, T.IntegralType):
+        raise TypeError(f"{number} is not of an integer type")
+    if threshold <= 0:
+        raise ValueError("the threshold must be positive")
     fields = [df.select(*group).schema[g] for g in group]
     out_type = T.StructType(
         [
@@ -156,7 +162,8 @@ def early_sum(
         ready = rows.withColumns({"_seg": no_seg, "_hot": F.lit(False), "_kind": F.lit(1)})
         return scan.ordered_scan(ready, [*group, "_seg"], ["_kind", *order], _sum_run(group, threshold), out_type)
 
-    hot = split.filter("_hot").filter(F.col("_v").isNotNull())
+    # A NULL adds nothing, like 0; its group and segment are still there.
+    hot = split.filter("_hot").withColumn("_v", F.coalesce("_v", F.lit(0)))
     floors = hot.groupBy(*group).agg(F.sum(F.least("_v", F.lit(0))).alias("_floor"))
     # One row per hot group.
     floored = O._lookup(hot, O._frozen(floors), group, how="inner")
@@ -178,14 +185,26 @@ def early_sum(
     entering = carry.filter(~F.col("_last")).drop("_last").withColumns({"_hot": F.lit(True), "_kind": F.lit(0)})
     ready = split.withColumn("_kind", F.lit(1)).unionByName(entering, allowMissingColumns=True)
     emitted = scan.ordered_scan(ready, [*group, "_seg"], ["_kind", *order], _sum_run(group, threshold), out_type)
-    finals = carry.filter("_last").select(
-        *group,
-        _segment_text("_seg").alias("segment"),
-        F.lit(None).cast("bigint").alias("emit"),
-        F.col("_v").alias("total"),
-        F.lit(True).alias("final"),
+    # A segment's emissions come after those of the segments before it: one short row per segment.
+    counts = emitted.filter(~F.col("final")).groupBy(*group, "segment").agg(F.max("emit").alias("_n"))
+    order_segments = Window.partitionBy(*group).orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(order_segments), F.lit(0)))
+    numbered = _beside(emitted, offsets, [*group, "segment"]).withColumn(
+        "emit", F.col("emit") + F.coalesce("_before", F.lit(0))
     )
-    return emitted.unionByName(finals)
+    finals = carry.filter("_last").select(*group, _segment_text("_seg").alias("segment"), F.col("_v").alias("total"))
+    finals = _beside(finals, counts.groupBy(*group).agg(F.sum("_n").alias("_n")), group).withColumns(
+        {"emit": F.coalesce("_n", F.lit(0)) + 1, "final": F.lit(True)}
+    )
+    names = out_type.fieldNames()
+    return numbered.select(*names).unionByName(finals.select(*names))
+
+
+def _beside(df: DataFrame, more: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on keys that may be NULL."""
+    right = more.withColumnsRenamed({k: f"_right_{i}" for i, k in enumerate(keys)})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{i}")) for i, k in enumerate(keys)]
+    return df.join(right, same, "left")
 
 
 def _segment_text(seg: str) -> Column:

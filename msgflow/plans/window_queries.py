@@ -207,17 +207,17 @@ _SUM_SQL = """
           SELECT r.g, r.rn, r.v, f.acc + r.v >= {t}, CASE WHEN f.acc + r.v >= {t} THEN 0 ELSE f.acc + r.v END, f.acc + r.v
           FROM f JOIN r ON r.g = f.g AND r.rn = f.rn + 1),
     last AS (SELECT g, max(rn) AS rn FROM r GROUP BY g)
-    SELECT key, total, final, count(*) AS n FROM (
-        SELECT CAST(g AS VARCHAR) AS key, CAST(total AS BIGINT) AS total, false AS final FROM f WHERE hit
-        UNION ALL
-        SELECT CAST(f.g AS VARCHAR), CAST(f.acc AS BIGINT), true FROM f JOIN last ON f.g = last.g AND f.rn = last.rn)
-    GROUP BY ALL
+    SELECT CAST(g AS VARCHAR) AS key, row_number() OVER (PARTITION BY g ORDER BY rn) AS emit,
+           CAST(total AS BIGINT) AS total, false AS final FROM f WHERE hit
+    UNION ALL
+    SELECT CAST(f.g AS VARCHAR), 1 + (SELECT count(*) FROM f h WHERE h.hit AND h.g = f.g), CAST(f.acc AS BIGINT), true
+    FROM f JOIN last ON f.g = last.g AND f.rn = last.rn
 """
 
 
 def _sums(rows, group, key, **opts):
     out = EA.early_sum(rows, group, ["event_time", "event_id"], "whole", **opts)
-    return out.groupBy(key.alias("key"), "total", "final").agg(F.count(F.lit(1)).alias("n"))
+    return out.select(key.alias("key"), "emit", "total", "final")
 
 
 @query("early_sum", _SUM_SQL.format(group="strftime(date_trunc('day', ts), '%Y-%m-%d') || event_type", t=100))

@@ -148,7 +148,7 @@ def test_early_sum_fixture(spark):
 def test_early_sum_split_equals_fold(spark, data, threshold):
     split = EA.early_sum(frame(spark, data), ["k"], ["t", "s"], "v", threshold, **SPLIT)
     got = defaultdict(list)
-    for r in split.orderBy("k", "final", "segment", "emit").collect():
+    for r in split.orderBy("k", "emit").collect():
         got[r.k].append((not r.final, r.total))
     want = {
         k: list(EA.fold_sum(0, (x[3] for x in rows if x[3] is not None), threshold)) for k, rows in in_order(data).items()
@@ -156,6 +156,25 @@ def test_early_sum_split_equals_fold(spark, data, threshold):
     assert got == want
 
 
+def test_early_sum_same_on_both_paths(spark, data):
+    """Numbers and rows don't depend on splitting; nor do groups of NULLs alone."""
+    nulls = [("none", START + timedelta(seconds=i), i, None) for i in range(50)]
+    gap = [("gap", START + timedelta(seconds=i), i, None if 20 <= i < 60 else 9) for i in range(80)]
+    rows = frame(spark, [*data, *nulls, *gap])
+    names = ["k", "emit", "total", "final"]
+    plain = EA.early_sum(rows, ["k"], ["t", "s"], "v", 50).select(names).collect()
+    split = EA.early_sum(rows, ["k"], ["t", "s"], "v", 50, **SPLIT).select(names).collect()
+    assert sorted(plain) == sorted(split)
+    assert [tuple(r) for r in plain if r.k == "none"] == [("none", 1, 0, True)]
+
+
+def test_early_sum_refuses(spark):
+    with pytest.raises(TypeError):
+        EA.early_sum(spark.createDataFrame([("k", 1, 1.5)], "k string, t int, v double"), ["k"], ["t"], "v")
+    with pytest.raises(ValueError):
+        EA.early_sum(spark.createDataFrame([("k", 1, 1)], "k string, t int, v int"), ["k"], ["t"], "v", 0)
+
+
 @settings(max_examples=200, deadline=None)
 @given(
     st.lists(st.integers(-80, 150), max_size=60),
