@@ -14,7 +14,7 @@ when their sets have a Jaccard similarity of 3/4 or more.
 4. Count filter. A set with p parts needs p - k agreements with a partner, so sets with fewer repeated signatures than
    that, among all sets, have no link and leave: texts that merely share a passage do.
 5. Families. Sets that are equal become one, and the filter runs again. Sets that share a signature, directly or through
-   others, are a family: every link is inside one. A family is compared in blocks of at most ``BLOCK`` sets, a task for
+   others, are a family: every link is inside one. Sets that meet inside a task are combined before the shuffle. A family is compared in blocks of at most ``BLOCK`` sets, a task for
    each block and each pair of blocks, by counting common shingles exactly. A task returns a spanning forest of its links,
    so a group of near copies is as many rows as it has members, and no link between components is missed.
 
@@ -153,11 +153,11 @@ class Packer:
             self.owners.append((node, instance, len(values)))
             self.held += len(values)
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
+    def flush(self, known: bytes | None = None) -> Iterator[pa.RecordBatch]:
         if not self.owners and not self.info:
             return
         self.serial += 1
-        info = np.array(self.info, dtype=INFO).tobytes()
+        info = np.array(self.info, dtype=INFO).tobytes() if known is None else known
         values = np.concatenate(self.found) if self.found else np.empty(0, U)
         owners = np.array(self.owners, dtype=OWNER)
         owner = np.repeat(np.arange(len(owners)), owners["n"])
@@ -165,7 +165,8 @@ class Packer:
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist()
         # What is known of the sets rides in a row of its own, to a bucket that changes.
-        rows = [((int(self.serial + (self.info[0][2] if self.info else 0)) % self.buckets), b"", b"", info)]
+        spread = self.info[0][2] if self.info else int(values[0] % U(self.buckets))
+        rows = [((int(self.serial + spread) % self.buckets), b"", b"", info)]
         for start, end in zip(edges, [*edges[1:], len(order)]):
             part = order[start:end]
             mine, counts = np.unique(owner[part], return_counts=True)
@@ -226,16 +227,11 @@ def _edges(pairs: np.ndarray) -> pa.Table:
     return pa.Table.from_arrays([pa.array(pairs[:, i], pa.int64()) for i in (0, 1)], schema=EDGES_ARROW)
 
 
-def _neighbours(rows: pa.Table) -> pa.Table:
-    """The components of a bucket's signature groups: every set but the least of each, with the least."""
-    owners, number, owner = _unpack(rows)
-    if not len(number):
-        return _edges(np.empty((0, 2), np.int64))
-    ids = owners["id"][owner]
+def _hung(ids: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """A forest of the groups that ``number`` names (in order): (id, least id of its component), for all but the least."""
     starts = np.flatnonzero(np.diff(number, prepend=-1))
-    least = np.repeat(np.minimum.reduceat(ids, starts), np.diff([*starts, len(ids)]))
+    least = np.repeat(np.minimum.reduceat(ids, starts), np.diff([*starts, len(ids)])) if len(ids) else ids
     pairs = np.unique(np.stack([ids, least], 1)[ids != least], axis=0)
-    # A forest of the bucket: one row for each set at most, however many groups it is in.
     root: dict[int, int] = {}
 
     def top(x: int) -> int:
@@ -248,7 +244,14 @@ def _neighbours(rows: pa.Table) -> pa.Table:
         a, b = top(x), top(y)
         if a != b:
             root[max(a, b)] = min(a, b)
-    return _edges(np.array([(x, top(x)) for x in list(root)], dtype=np.int64).reshape(-1, 2))
+    return np.array([(x, top(x)) for x in list(root)], dtype=np.int64).reshape(-1, 2)
+
+
+def _neighbours(rows: pa.Table) -> pa.Table:
+    """Forests of a bucket's signature groups and of those that were combined before: a row a set and bucket at most."""
+    owners, number, owner = _unpack(rows)
+    before = [np.frombuffer(x.as_py(), np.int64).reshape(-1, 2) for x in rows["info"]]
+    return _edges(np.concatenate([_hung(owners["id"][owner], number), *before]))
 
 
 def forest(sets: list[np.ndarray], one: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
@@ -341,6 +344,43 @@ def _sign_sets(buckets: int):
     return run
 
 
+def _sign_families(buckets: int):
+    """Signatures of sets, combined inside the task: sets that share one there become one owner, the least of them."""
+
+    def combined(packer: Packer) -> Iterator[pa.RecordBatch]:
+        if not packer.owners:
+            return
+        values = np.concatenate(packer.found)
+        ids = np.repeat([x[0] for x in packer.owners], [x[2] for x in packer.owners])
+        order = np.argsort(values, kind="stable")
+        number = np.cumsum(np.diff(values[order], prepend=values[order][:1]) != 0)
+        hung = _hung(ids[order], number)
+        nodes, places = np.unique(ids, return_inverse=True)
+        least = nodes.copy()
+        least[np.searchsorted(nodes, hung[:, 0])] = hung[:, 1]
+        owner = least[places]
+        order = np.lexsort((values, owner))
+        owner, values = owner[order], values[order]
+        new = (np.diff(owner, prepend=owner[:1]) != 0) | (np.diff(values, prepend=~values[:1]) != 0)
+        owner, values = owner[new], values[new]
+        packer.clear()
+        starts = np.flatnonzero(np.diff(owner, prepend=owner[:1] - 1))
+        for node, own in zip(owner[starts].tolist(), np.split(values, starts[1:])):
+            packer.add(node, [(own, 0)])
+        yield from packer.flush(hung.tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = Packer(buckets)
+        for batch in batches:
+            for node, raw in zip(batch["id"].to_pylist(), batch["set"]):
+                packer.add(node, signatures(np.frombuffer(raw.as_py(), U)))
+                if packer.held >= FLUSH:
+                    yield from combined(packer)
+        yield from combined(packer)
+
+    return run
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
@@ -400,7 +440,7 @@ def linked(docs: DataFrame) -> DataFrame:
     recounted = stored(signed.groupBy("bucket").applyInArrow(_count, COUNTED), "recounted")
     able = _able(recounted, recounted.where(F.col("size").isNotNull()))
     sets = stored(sets.join(able, "id"), "sets")
-    signed = sets.mapInArrow(_sign_sets(buckets), PACKED_SQL)
+    signed = sets.mapInArrow(_sign_families(buckets), PACKED_SQL)
     families = components(signed.groupBy("bucket").applyInArrow(_neighbours, EDGES))
     edges = _family_links(sets, families, buckets)
     # Equal sets hang on the least id that has them; so rows of one id meet, too.
