@@ -12,6 +12,9 @@ from msgflow.operators import ordered as O
 from msgflow.functions.scalars import interval_micros
 
 
+CHUNK = 100_000  # heartbeats that one row is expanded to at once
+
+
 def max_delay(df: DataFrame, delay: str, *, time: str = "event_time") -> DataFrame:
     """A stream's watermark: the highest event time seen, less ``delay``."""
     return df.withWatermark(time, delay)
@@ -66,14 +69,18 @@ def idle_heartbeats(
 
     Once a source has been idle for ``threshold``, its watermark moves by ``increment``, and again
     after every further ``step``. Rows are (source, ``heartbeat_at``, ``watermark``), never past the
-    next row. Sources are told apart by ``source``; ``order`` starts with ``time``.
+    next row. Sources are told apart by ``source``; ``order`` starts with ``time``. Rows without an
+    event time say nothing of idleness and are left out.
     """
+    df = df.filter(F.col(time) > E.missing_event_time())
     seen = O.running(df, source, order, {"_last": O.Running("max", F.col(time))}, exclusive=True, **opts)
     idle = F.unix_micros(time) - F.unix_micros("_last")
     wait, every, plus = interval_micros(threshold), interval_micros(step), interval_micros(increment)
-    beats = seen.filter(idle >= wait).withColumn(
-        "_k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((idle - wait) / every).cast("bigint")))
-    )
+    # A long silence is generated in chunks, so that no row holds all of its heartbeats.
+    silent = seen.filter(idle >= wait).withColumn("_n", F.floor((idle - wait) / every).cast("bigint"))
+    chunks = silent.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"_n div {CHUNK}L"))))
+    low, high = F.col("_c") * CHUNK, F.least(F.col("_n"), (F.col("_c") + 1) * CHUNK - 1)
+    beats = chunks.withColumn("_k", F.explode(F.sequence(low, high)))
     last = F.unix_micros("_last")
     moved = F.least(last + (F.col("_k") + 1) * plus, F.unix_micros(time))
     return beats.select(

@@ -5,6 +5,7 @@ Streams emit a window, session or bucket once the watermark has passed it; the S
 
 from __future__ import annotations
 
+import pyarrow.dataset as ds
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ _WM = "(SELECT make_timestamp(epoch_us(max(ts)) // 1000 * 1000) - INTERVAL 1 HOU
 
 
 def _stream(spark, base, *keep, key="user_id"):
-    events = run.read_parquet_stream(spark, base, files="events.parquet")
+    events = run.read_table_stream(spark, base, "events")
     events = events.withColumn("cents", cents())
     rows = E.to_envelope(
         events,
@@ -65,7 +66,7 @@ def stream_reduce(spark, base):
     """,
 )
 def stream_transform(spark, base):
-    events = run.read_parquet_stream(spark, base, files="events.parquet")
+    events = run.read_table_stream(spark, base, "events")
     rows = E.to_envelope(events, keep=["event_type", "ts"])
     timed = TR.assign_event_time(rows, F.col("ts"))
     marked = E.to_drop(timed, F.col("event_type") == "error")
@@ -205,7 +206,7 @@ async def _answer(datums):
     async for d in datums:
         kind = d.keys[0]
         if kind == "error":
-            out.append(Response.failure(d.id, "mock sink message error"))
+            out.append(Response.failure(d.id, "the sink refused it"))
         elif kind == "view":
             out.append(Response.fallback(d.id))
         elif kind == "purchase":
@@ -238,14 +239,15 @@ def stream_sink_routes(spark, base):
 
 
 class EventLog(custom.Source):
-    """The rows of a Parquet file as four partitions of consecutive offsets."""
+    """The rows of a Parquet file, or of a folder's files by name, as four partitions of consecutive offsets."""
 
     parts = 4
 
     def __init__(self, options):
         super().__init__(options)
-        self.file = pq.ParquetFile(options["path"])
-        self.size = self.file.metadata.num_rows
+        self.files = sorted(ds.dataset(options["path"], format="parquet").files)
+        self.rows = [pq.read_metadata(name).num_rows for name in self.files]
+        self.size = sum(self.rows)
 
     def partitions(self):
         return list(range(self.parts))
@@ -262,10 +264,16 @@ class EventLog(custom.Source):
     def read(self, partition, start, end):
         low, high = self._begin(partition) + start, self._begin(partition) + end
         at = 0
-        for group in range(self.file.num_row_groups):
-            rows = self.file.metadata.row_group(group).num_rows
+        for name, held in zip(self.files, self.rows):
+            if at < high and at + held > low:
+                yield from self._rows(pq.ParquetFile(name), at, low, high)
+            at += held
+
+    def _rows(self, file, at, low, high):
+        for group in range(file.num_row_groups):
+            rows = file.metadata.row_group(group).num_rows
             if at < high and at + rows > low:
-                for batch in self.file.iter_batches(row_groups=[group], columns=["ts", "user_id", "event_type", "props"]):
+                for batch in file.iter_batches(row_groups=[group], columns=["ts", "user_id", "event_type", "props"]):
                     keep = batch.slice(max(low - at, 0), max(min(high, at + batch.num_rows) - max(low, at), 0))
                     for row in keep.to_pylist():
                         yield custom.SourceRow(

@@ -357,8 +357,7 @@ def late_split(spark, base):
 )
 def late_counts(spark, base):
     rows = WM.with_watermark_column(_arrivals(spark, base), ["source"], ["arrival", "event_id"], "1 hour")
-    on_time, late = WM.split_late(rows)
-    parts = on_time.withColumn("part", F.lit("on time")).unionByName(late.withColumn("part", F.lit("late")))
+    parts = rows.withColumn("part", F.when(WM.is_late(), "late").otherwise("on time"))
     return parts.groupBy("part", F.element_at("keys", 1).alias("key")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -24,8 +24,8 @@ def offsets(df: DataFrame) -> DataFrame:
     )
 
 
-def pending(df: DataFrame, committed: DataFrame) -> DataFrame:
-    """Rows after the committed offset, per partition.
+def backlog(df: DataFrame, committed: DataFrame) -> DataFrame:
+    """Row count, last offset and rows after the committed offset, per partition, in one pass.
 
     ``committed`` has (partition_id, committed), one row per partition; a partition without a row
     there is unread, and one with a NULL offset has an unknown backlog.
@@ -35,10 +35,19 @@ def pending(df: DataFrame, committed: DataFrame) -> DataFrame:
     joined = rows.join(known, "partition_id", "left")
     unread = F.col("_seen").isNull() | (F.col("_n") > F.col("committed"))
     counted = joined.groupBy("partition_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.max("_n").alias("last_offset"),
         F.count_if(unread).alias("_unread"),
         F.bool_or(F.col("_seen").isNotNull() & F.col("committed").isNull()).alias("_unknown"),
     )
     return counted.select(
         "partition_id",
+        "n_rows",
+        "last_offset",
         F.when(F.col("_unknown"), F.lit(UNKNOWN).cast("bigint")).otherwise(F.col("_unread")).alias("pending"),
     )
+
+
+def pending(df: DataFrame, committed: DataFrame) -> DataFrame:
+    """Rows after the committed offset, per partition; see ``backlog``."""
+    return backlog(df, committed).select("partition_id", "pending")

@@ -22,6 +22,15 @@ def read_parquet_stream(spark: SparkSession, folder: str, *, files: str = "*.par
     return reader.option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
+def read_table_stream(spark: SparkSession, base: str, name: str, **options) -> DataFrame:
+    """Table ``name`` of ``base`` as a stream, be it one file or a folder of them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{name}.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(path).isDirectory():
+        return read_parquet_stream(spark, f"{base}/{name}.parquet", **options)
+    return read_parquet_stream(spark, base, files=f"{name}.parquet", **options)
+
+
 @contextmanager
 def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """RocksDB state, with as many state partitions as the cluster has cores unless told otherwise.
