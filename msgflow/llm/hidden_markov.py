@@ -10,9 +10,10 @@ that does not depend on the corpus, while the words' counts cover all of it.
    and the block's vocabulary with its training counts, packed by hash bucket of the word.
 2. ``word_counts``: per bucket, counts of a word are summed over blocks and sent back to each of them. A block has a word
    once, so a frequent word is as many entries as there are blocks, and no table of all words exists anywhere.
-3. ``train``: Baum-Welch. Every task runs forward and backward passes over its training texts, in windows of ``WINDOW``
-   tokens side by side; expected counts are summed per task, then per slice of the model over all tasks. The start is
-   found on a bounded sample of windows; all later iterations cover every training token.
+3. ``train``: Baum-Welch. Every task runs forward and backward passes over its training texts from their first to their
+   last token, many side by side; expected counts are summed per task, then per slice of the model over all tasks. Every
+   round covers every training token, from a start that only the seed and the shares of classes decide. Rounds end when
+   one gains less than ``LEAST_GAIN`` nats a token in the summed log likelihood; nothing else bounds them.
 4. ``score``: a block meets its word counts, and the scaled forward recursion gives the exact likelihood of every text
    from its first to its last token, many texts side by side.
 
@@ -39,10 +40,9 @@ from msgflow.llm.common import pieces_for, stored, text_of
 
 CLASSES = 8192  # 0 is the end token's
 STATES = 12  # 0 emits the end token
-WINDOW = 128
-SIDE = 1024  # windows side by side
-SAMPLE_WINDOWS = 8000
-SAMPLE_ROUNDS = 25
+LANE = 256  # tokens side by side run through lanes of at least this length
+LANE_TOKENS = 512 << 10  # in a set of lanes
+LEAST_GAIN = 1e-4
 SLICES = 16  # of the expected counts
 BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 32 << 20  # of text for each bucket of words
@@ -183,11 +183,10 @@ def word_counts(packed: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
 
 @dataclass
 class Chain:
-    """Transitions (state, state), emissions (class, state), and how often each state is occupied."""
+    """Transitions (state, state) and emissions (class, state)."""
 
     move: np.ndarray
     emit: np.ndarray
-    weight: np.ndarray
 
     @staticmethod
     def start(shares: np.ndarray, seed: int = 3) -> Chain:
@@ -198,44 +197,57 @@ class Chain:
         emit[0, 0] = 1
         move = np.full((STATES, STATES), 0.1 / STATES) + np.eye(STATES) * 0.9
         move[0], move[0, 0] = 1 / (STATES - 1), 1e-6
-        return Chain(move / move.sum(1, keepdims=True), emit, np.full(STATES, 1 / STATES))
+        return Chain(move / move.sum(1, keepdims=True), emit)
 
     @staticmethod
     def of_counts(counts: np.ndarray, shares: np.ndarray) -> Chain:
         """The most likely chain for expected counts, smoothed: emissions toward the corpus, transitions by a constant."""
         move, emit = counts[:STATES] + 0.5, counts[STATES:].copy()
-        weight = emit.sum(0) + 1e-3
         emit[:, 1:] += 20.0 * shares[:, None]
         emit[0], emit[:, 0] = 0, 0
         emit /= np.maximum(emit.sum(0), 1e-300)
         emit[0, 0] = 1
-        return Chain(move / move.sum(1, keepdims=True), emit, weight / weight.sum())
+        return Chain(move / move.sum(1, keepdims=True), emit)
 
-    def expected(self, windows: np.ndarray) -> np.ndarray:
-        """Expected transitions and emissions of windows (time, window) of classes, one array (STATES + CLASSES, STATES)."""
-        length, n = windows.shape
+    def expected(self, lanes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, float]:
+        """Expected transitions and emissions of lanes (time, lane) of classes, one array (STATES + CLASSES, STATES), and
+        the log likelihood. A lane is whole texts and has ``sizes`` tokens; the longest lane comes first."""
+        length, n = lanes.shape
         move, emit = self.move.astype(np.float32), self.emit.astype(np.float32)
-        alpha = np.empty((length, n, STATES), dtype=np.float32)
-        scale = np.empty((length, n, 1), dtype=np.float32)
-        for t in range(length):
-            ahead = self.weight.astype(np.float32) if t == 0 else alpha[t - 1] @ move
-            np.multiply(ahead, emit[windows[t]], out=alpha[t])
-            scale[t, :, 0] = alpha[t].sum(1) + np.float32(1e-30)
-            alpha[t] /= scale[t]
-        beta = np.ones((n, STATES), dtype=np.float32)
-        moves = np.zeros((STATES, STATES))
+        active = np.searchsorted(-sizes, -np.arange(length), side="left")
+        past = np.arange(length)[:, None] >= sizes
+        arriving = emit[lanes]
+        arriving[past] = 0
+        alpha = np.zeros((length, n, STATES), dtype=np.float32)
+        scale = np.ones((length, n, 1), dtype=np.float32)
+        ones = np.ones((STATES, 1), dtype=np.float32)
+        for t, k in enumerate(active):
+            now = alpha[t, :k]
+            if t:
+                np.matmul(alpha[t - 1, :k], move, out=now)
+                now *= arriving[t, :k]
+            else:  # every lane starts behind an end token
+                np.multiply(move[0], arriving[0], out=now)
+            np.matmul(now, ones, out=scale[t, :k])
+            now /= scale[t, :k]
+        arriving /= scale
+        beta = np.ones((length, n, STATES), dtype=np.float32)
+        back = np.ascontiguousarray(move.T)
         for t in range(length - 1, 0, -1):
-            arriving = emit[windows[t]] * beta / scale[t]
-            moves += alpha[t - 1].T @ arriving
-            alpha[t] *= beta
-            beta = arriving @ move.T
-        alpha[0] *= beta
-        flat, states = windows.ravel(), alpha.reshape(-1, STATES)
+            k = active[t]
+            now = arriving[t, :k]
+            now *= beta[t, :k]
+            np.matmul(now, back, out=beta[t - 1, :k])
+        arriving[0] *= beta[0]
+        moves = (alpha[:-1].reshape(-1, STATES).T @ arriving[1:].reshape(-1, STATES)).astype(np.float64)
+        moves[0] += arriving[0].sum(0)
+        alpha *= beta
+        flat, states = lanes.ravel(), alpha.reshape(-1, STATES)
         out = np.empty((STATES + CLASSES, STATES))
         out[:STATES] = moves * self.move
         for s in range(STATES):
             out[STATES:, s] = np.bincount(flat, states[:, s], CLASSES)
-        return out
+        return out, float(np.log(scale, dtype=np.float64).sum())
 
     def log10(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Exact log10 likelihood of texts of classes, each ending in class 0: the scaled forward recursion."""
@@ -257,51 +269,63 @@ class Chain:
         return result
 
 
-def _training_windows(row: dict) -> list[np.ndarray]:
-    """Classes of the training texts of a block, one after the other: windows (time, window), and the rest."""
+def _lanes(sizes: np.ndarray, room: int = LANE_TOKENS) -> Iterator[list[list[int]]]:
+    """Texts of these sizes dealt to lanes, a set of lanes at a time: of some ``room`` tokens, or one text if longer.
+
+    A lane is a long text and the short ones that fit beside the longest text of its set.
+    """
+    order = np.argsort(-sizes, kind="stable").tolist()
+    first, last = 0, len(order) - 1
+    while first <= last:
+        length = max(int(sizes[order[first]]), LANE)
+        group = []
+        while first <= last and len(group) < max(room // length, 1):
+            lane, used = [order[first]], int(sizes[order[first]])
+            first += 1
+            while first <= last and used + sizes[order[last]] <= length:
+                lane.append(order[last])
+                used += int(sizes[order[last]])
+                last -= 1
+            group.append((used, lane))
+        yield [lane for _, lane in sorted(group, reverse=True)]
+
+
+def _training_lanes(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Classes of all training texts of a block as lanes (time, lane), and the size of every lane."""
     lengths = np.frombuffer(row["lengths"], np.int32)
-    learn = np.repeat(~np.array(row["held_out"], dtype=bool), lengths)
-    stream = np.frombuffer(row["classes"], np.uint16)[np.frombuffer(row["ids"], np.int32)[learn]]
-    whole = len(stream) // WINDOW
-    out = []
-    if whole:
-        side_by_side = stream[: whole * WINDOW].reshape(whole, WINDOW)
-        out += [np.ascontiguousarray(side_by_side[i : i + SIDE].T) for i in range(0, whole, SIDE)]
-    if len(stream) > whole * WINDOW:
-        out.append(stream[whole * WINDOW :, None])
-    return out
-
-
-def train(packed: DataFrame, class_tokens: np.ndarray, rounds: int = 3) -> Chain:
-    """Baum-Welch over all training texts, from a start found on a sample of at most some SAMPLE_WINDOWS windows."""
-    texts = packed.where(F.col("bucket").isNull()).select("block", "held_out", "lengths", "ids", "classes")
+    stream = np.frombuffer(row["classes"], np.uint16)[np.frombuffer(row["ids"], np.int32)]
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    learn = np.flatnonzero(~np.array(row["held_out"], dtype=bool))
+    starts, lengths = starts[learn], lengths[learn]
+    for group in _lanes(lengths):
+        sizes = np.array([lengths[lane].sum() for lane in group], dtype=np.int64)
+        lanes = np.zeros((len(group), sizes[0]), dtype=np.uint16)
+        for row_of, lane in zip(lanes, group):
+            texts = np.concatenate([stream[starts[i] : starts[i] + lengths[i]] for i in lane])
+            row_of[: len(texts)] = texts
+        yield np.ascontiguousarray(lanes.T), sizes
+
+
+def train(packed: DataFrame, class_tokens: np.ndarray, least_gain: float = LEAST_GAIN) -> Chain:
+    """Baum-Welch, every round over all training texts, until a round gains less than ``least_gain`` a token (nats)."""
+    texts = packed.where(F.col("bucket").isNull()).select("held_out", "lengths", "ids", "classes")
     words_only = class_tokens.copy()
     words_only[0] = 0
     shares = (words_only + ADD) / (words_only + ADD).sum()
     total = class_tokens.sum()
-    rate = min(1.0, SAMPLE_WINDOWS * WINDOW / max(total, 1.0))
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                rng = np.random.default_rng(row["block"])
-                for part in _training_windows(row):
-                    if len(part) == WINDOW:
-                        chosen = np.ascontiguousarray(part[:, rng.random(part.shape[1]) < rate].T)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([row["block"]], pa.int64()), pa.array([chosen.tobytes()], pa.binary())], ["block", "w"]
-                        )
 
     def expect(chain: Chain):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((STATES + CLASSES, STATES))
+            sums, fit = np.zeros((STATES + CLASSES, STATES)), 0.0
             for batch in batches:
                 for row in batch.to_pylist():
-                    for part in _training_windows(row):
-                        sums += chain.expected(part)
-            slices = [x.tobytes() for x in np.array_split(sums, SLICES)]
+                    for lanes, sizes in _training_lanes(row):
+                        counts, gain = chain.expected(lanes, sizes)
+                        sums += counts
+                        fit += gain
+            slices = [x.tobytes() for x in [*np.array_split(sums, SLICES), np.array([fit])]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SLICES), pa.int32()), pa.array(slices, pa.binary())], ["slice", "sums"]
+                [pa.array(range(SLICES + 1), pa.int32()), pa.array(slices, pa.binary())], ["slice", "sums"]
             )
 
         return run
@@ -313,29 +337,27 @@ def train(packed: DataFrame, class_tokens: np.ndarray, rounds: int = 3) -> Chain
     chain = Chain.start(shares)
     if not total:
         return chain
-    drawn = texts.mapInArrow(draw, "block long, w binary").collect()
-    found = b"".join(bytes(r["w"]) for r in sorted(drawn, key=lambda r: (r["block"], bytes(r["w"]))))
-    sample = np.frombuffer(found, np.uint16).reshape(-1, WINDOW)
-    if len(sample):
-        parts = [np.ascontiguousarray(sample[i : i + SIDE].T) for i in range(0, len(sample), SIDE)]
-        for _ in range(SAMPLE_ROUNDS):
-            chain = Chain.of_counts(sum(chain.expected(p) for p in parts), shares)
-    for _ in range(rounds):
+    # A task sends one model, so a round has as many tasks as there are cores.
+    texts = texts.coalesce(packed.sparkSession.sparkContext.defaultParallelism)
+    before = -np.inf
+    while True:
         sums = texts.mapInArrow(expect(chain), "slice int, sums binary").groupBy("slice")
-        rows = sorted(sums.applyInPandas(add, "slice int, sums binary").collect())  # SLICES rows, one model
-        counts = np.concatenate([np.frombuffer(bytes(r["sums"]), np.float64).reshape(-1, STATES) for r in rows])
-        chain = Chain.of_counts(counts, shares)
-    return chain
+        rows = sorted(sums.applyInPandas(add, "slice int, sums binary").collect())  # SLICES rows, one model, and its fit
+        *slices, fit = [np.frombuffer(bytes(r["sums"]), np.float64) for r in rows]
+        chain = Chain.of_counts(np.concatenate(slices).reshape(-1, STATES), shares)
+        if fit[0] - before < least_gain * total:
+            return chain
+        before = fit[0]
 
 
-def score(docs: DataFrame, held_out: Column, rounds: int = 3) -> DataFrame:
+def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every text.
 
     Texts for which ``held_out`` is true teach nothing.
     """
     packed = blocks(docs, held_out)
     counted, class_tokens, class_words = word_counts(packed)
-    chain = train(packed, class_tokens, rounds)
+    chain = train(packed, class_tokens)
     total, distinct = class_tokens.sum(), class_words.sum()
     base_unit = np.log10(total + ADD * (distinct + 1))
     class_unit = np.log10(class_tokens + ADD * (class_words + 1))

@@ -66,6 +66,63 @@ def test_hidden_markov_counts(spark):
     assert hidden_markov.score(docs.limit(0), F.lit(False)).collect() == []
 
 
+def plain_baum_welch(texts, shares):
+    """Forward and backward over every whole text in float64, until a round gains too little."""
+    chain, before = hidden_markov.Chain.start(shares), -np.inf
+    while True:
+        counts, fit = np.zeros((hidden_markov.STATES + hidden_markov.CLASSES, hidden_markov.STATES)), 0.0
+        for text in texts:
+            alpha = [np.eye(hidden_markov.STATES)[0]]
+            for c in text:
+                ahead = (alpha[-1] @ chain.move) * chain.emit[c]
+                fit += math.log(ahead.sum())
+                alpha.append(ahead / ahead.sum())
+            beta = np.ones(hidden_markov.STATES)
+            for t in range(len(text), 0, -1):
+                counts[hidden_markov.STATES + text[t - 1]] += alpha[t] * beta / (alpha[t] @ beta)
+                pair = alpha[t - 1][:, None] * chain.move * (chain.emit[text[t - 1]] * beta)
+                counts[: hidden_markov.STATES] += pair / pair.sum()
+                beta = chain.move @ (chain.emit[text[t - 1]] * beta)
+                beta /= beta.sum()
+        chain = hidden_markov.Chain.of_counts(counts, shares)
+        if fit - before < hidden_markov.LEAST_GAIN * sum(map(len, texts)):
+            return chain
+        before = fit
+
+
+def test_baum_welch_covers_all_texts(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [f"w{k}" for k in range(40)]
+    sizes = [0, 1, 3, 127, 128, 129, 300, 700, *rng.integers(1, 60, 30).tolist()]
+    rows = [(i, " ".join(rng.choice(words[:20] if i % 2 else words[15:], n))) for i, n in enumerate(sizes)]
+    docs = frame(spark, rows).repartition(3)
+    packed = hidden_markov.blocks(docs, F.col("doc_id") == 5)
+    _, class_tokens, _ = hidden_markov.word_counts(packed)
+    words_only = class_tokens.copy()
+    words_only[0] = 0
+    shares = (words_only + hidden_markov.ADD) / (words_only + hidden_markov.ADD).sum()
+    texts = [[*map(hidden_markov.class_of, hidden_markov.tokens(t)), 0] for i, t in rows if i != 5]
+    want = plain_baum_welch(texts, shares)
+
+    def here(*_):
+        raise AssertionError("the driver trains")
+
+    monkeypatch.setattr(hidden_markov.Chain, "expected", here)  # the workers have their own
+    got = hidden_markov.train(packed, class_tokens)
+    assert got.move == pytest.approx(want.move, abs=1e-3)
+    assert got.emit == pytest.approx(want.emit, abs=1e-3)
+
+
+def test_lanes_hold_every_text():
+    sizes = np.array([1, 5000, 300, 1, 70, 256, 2000, 9])
+    groups = list(hidden_markov._lanes(sizes, 4000))
+    assert sorted(i for g in groups for lane in g for i in lane) == list(range(len(sizes)))
+    for g in groups:
+        lengths = [sizes[lane].sum() for lane in g]
+        assert lengths == sorted(lengths, reverse=True) and (len(g) * lengths[0] <= 4000 or len(g) == 1)
+    assert list(hidden_markov._lanes(sizes[:0])) == []
+
+
 def test_language_held_out(spark):
     out = Q.op4_byte_network(spark, "/root/testdata/sf0.01")
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
