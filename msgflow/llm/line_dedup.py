@@ -8,8 +8,9 @@ Hash groups are aggregated before the shuffle, and only the first place of a rep
 occurrences, by a join that adaptive execution splits where a passage is hot; no group of occurrences is ever gathered.
 What is gathered is the covered positions of one document.
 
-Only lines inside a repeated window go: a repeated single line, or a document of fewer than three lines that are not
-blank, stays as it is. Blank lines stay. Lines are compared exactly. A null text stays null and has no lines. Repeated
+Only lines inside a repeated window go: a repeated passage of one or two lines between differing neighbours stays as it
+is. A document of fewer than three lines that are not blank has no window, or with ``short`` one of all its lines, which
+only equals that of another such document. The query's SQL states the rule without it. Blank lines stay. Lines are compared exactly. A null text stays null and has no lines. Repeated
 rows (same id and text) are one document: a window is not a repetition of itself, so they get the same result. A null id
 comes before every other. Extra columns are returned unchanged, unless named as a result column.
 """
@@ -36,7 +37,7 @@ def _solid(lines: Column) -> Column:
 
 
 def _windows(solid: Column) -> Column:
-    """Every window: two hashes, and the places of its first and last line."""
+    """Every window: two hashes, and the places of its first and last line. Fewer than SIZE lines are one window."""
 
     def one(x: Column, at: Column) -> Column:
         parts = [x["line"], *[F.get(solid, at + i)["line"] for i in range(1, SIZE)]]
@@ -44,32 +45,33 @@ def _windows(solid: Column) -> Column:
             F.xxhash64(*parts).alias("h"),
             F.xxhash64(F.lit("second"), *parts).alias("g"),
             at.alias("first"),
+            (F.least(at + SIZE, F.size(solid)) - 1).alias("last"),
         )
 
-    return F.slice(F.transform(solid, one), 1, F.greatest(F.size(solid) - F.lit(SIZE - 1), F.lit(0)))
+    return F.slice(F.transform(solid, one), 1, F.greatest(F.size(solid) - F.lit(SIZE - 1), F.lit(1)))
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """Documents with windows that occurred earlier: doc (identity) and covered, the merged line runs as (from, to).
 
-    Runs count solid lines from 0.
+    Runs count solid lines from 0. With ``short``, documents of fewer than SIZE solid lines are one window each.
     """
     base = docs.select(
         F.col("doc_id"), identity(F.col("doc_id"), F.col("text")).alias("doc"), _solid(_lines(F.col("text"))).alias("_s")
-    ).where(F.size("_s") >= SIZE)
+    ).where(F.size("_s") >= (1 if short else SIZE))
     spots = base.select("doc_id", "doc", F.explode(_windows(F.col("_s"))).alias("_w"))
-    spots = spots.select("_w.h", "_w.g", F.struct("doc_id", "doc", F.col("_w.first").alias("at")).alias("spot"))
+    spots = spots.select("_w.h", "_w.g", F.struct("doc_id", "doc", F.col("_w.first").alias("at"), "_w.last").alias("spot"))
     # Repeated: first and last occurrence differ. One row a window and task is shuffled.
     firsts = spots.groupBy("h", "g").agg(F.min("spot").alias("_first"), F.max("spot").alias("_last"))
     firsts = firsts.where(F.col("_first") != F.col("_last")).select("h", "g", "_first")
     later = spots.join(firsts, ["h", "g"]).where(F.col("spot") != F.col("_first"))
-    marked = later.groupBy(F.col("spot.doc").alias("doc")).agg(F.sort_array(F.collect_set("spot.at")).alias("_at"))
+    marked = later.groupBy(F.col("spot.doc").alias("doc")).agg(F.sort_array(F.collect_set(F.struct("spot.at", "spot.last"))).alias("_at"))
     empty = F.array().cast("array<struct<from:int,to:int>>")
 
-    def merge(runs: Column, at: Column) -> Column:
-        last = F.get(runs, F.size(runs) - 1)
-        fresh = F.struct(at.alias("from"), (at + SIZE - 1).alias("to"))
-        joined = F.struct(last["from"].alias("from"), (at + SIZE - 1).alias("to"))
+    def merge(runs: Column, window: Column) -> Column:
+        at, to, last = window["at"], window["last"], F.get(runs, F.size(runs) - 1)
+        fresh = F.struct(at.alias("from"), to.alias("to"))
+        joined = F.struct(last["from"].alias("from"), to.alias("to"))
         touches = (F.size(runs) > 0) & (at <= last["to"] + 1)
         return F.when(
             touches, F.concat(F.slice(runs, 1, F.greatest(F.size(runs) - 1, F.lit(0))), F.array(joined))
@@ -78,10 +80,11 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return marked.select("doc", F.aggregate("_at", empty, merge).alias("covered"))
 
 
-def dedup_lines(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, keep: list[str] | None = None, short: bool = False) -> DataFrame:
     """Rows of ``docs`` (doc_id, text) with text_deduped, n_lines, n_removed and removed_spans (runs of solid lines).
 
-    ``keep`` lists the columns to return (doc_id if not given).
+    ``keep`` lists the columns to return (doc_id if not given). ``short`` also finds copies of documents of fewer than
+    SIZE solid lines.
     """
     keep = ["doc_id"] if keep is None else [c for c in keep if c not in LINE_COLUMNS]
     rows = docs.select(
@@ -89,7 +92,7 @@ def dedup_lines(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
         F.col("text").alias("_text"),
         identity(F.col("doc_id"), F.col("text")).alias("doc"),
     )
-    rows = rows.join(repeated_lines(docs), "doc", "left")
+    rows = rows.join(repeated_lines(docs, short), "doc", "left")
     lines = _lines(F.col("_text"))
     solid = _solid(lines)
     gone = F.flatten(

@@ -152,6 +152,27 @@ def test_line_windows(spark):
     assert line_dedup.dedup_lines(frame(spark, [])).collect() == []
 
 
+def test_short_documents(spark):
+    rows = [(1, "a\n\nb"), (2, "a\nb\n"), (2, "a\nb\n"), (3, "a"), (4, "a"), (5, "ab"), (6, "a\nb\nc"), (7, "z\na\nb\nc")]
+    rows += [(8, ""), (9, " \n"), (10, None), (None, "ab")]
+    got = line_dedup.dedup_lines(frame(spark, rows), keep=["doc_id"], short=True).collect()
+    found = {r["doc_id"]: (r["text_deduped"], r["n_removed"], [tuple(x) for x in r["removed_spans"] or []]) for r in got}
+    assert len(got) == len(rows)
+    assert found == {
+        1: ("a\n\nb", 0, []),
+        2: ("", 2, [(0, 1)]),
+        3: ("a", 0, []),
+        4: ("", 1, [(0, 0)]),
+        5: ("", 1, [(0, 0)]),
+        6: ("a\nb\nc", 0, []),
+        7: ("z", 3, [(1, 3)]),
+        8: ("", 0, []),
+        9: (" \n", 0, []),
+        10: (None, 0, []),
+        None: ("ab", 0, []),
+    }
+
+
 @pytest.mark.parametrize("text", [None, "", "x", "x y z", "a b c d e f"])
 def test_shingles_match_plain(spark, text):
     got = frame(spark, [(1, text)]).select(F.size(F.array_distinct(decontaminate.shingles(F.col("text")))).alias("n")).first()
