@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from msgflow.llm import decontaminate, jaccard_join, language_id, mixing, sharding
-from msgflow.llm.common import stored, table
+from msgflow.llm.common import identity, stored, table
 
 #: A document whose best language is less likely than this is in none of them.
 LEAST_SCORE = 0.4
@@ -25,10 +25,21 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of every group of linked documents; a repeated row once."""
-    groups = jaccard_join.linked(docs)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    """One document, that of the least id, of every group of linked documents; a repeated row once.
+
+    Documents of one id with different texts are different documents. Those without an id have no links.
+    """
+    numbered = docs.dropDuplicates(["doc_id", "text"]).withColumn("_node", F.monotonically_increasing_id())
+    once = stored(numbered, "numbered")
+    node = F.when(F.col("doc_id").isNotNull(), F.col("_node"))
+    groups = jaccard_join.linked(once.select(node.alias("doc_id"), "text"))
+    members = groups.select(F.col("doc_id").alias("_node"), "component_id").where(F.col("_node").isNotNull())
+    rank = F.struct("doc_id", identity(F.col("doc_id"), F.col("text")), "_node").alias("_rank")
+    ranked = members.join(once.select("_node", rank), "_node")
+    least = ranked.groupBy("component_id").agg(F.min("_rank").alias("_least"))
+    kept = least.select(F.col("_least._node").alias("_node"))
+    chosen = once.where(F.col("doc_id").isNotNull()).join(kept, "_node", "left_semi")
+    return chosen.union(once.where(F.col("doc_id").isNull()).select(*chosen.columns)).select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
