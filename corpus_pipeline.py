@@ -66,7 +66,8 @@ STAGES = [
     ("Hilbert sharding", sharding_stage),
 ]
 
-#: The network and the set join can't be said in SQL; tests hold each stage against a plain version.
+#: The network and the set join can't be said in SQL; a test holds the near-copy stage against a plain version. The other
+#: stages and ``run`` have no test of their own rows, only of the operators they call.
 ORACLE_SQL = None
 
 
