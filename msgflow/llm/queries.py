@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import decontaminate, fingerprints, hidden_markov, jaccard_join, language_id, line_dedup, mixing, sharding, site_quality, toxicity
+from msgflow.llm import decontaminate, fingerprints, hidden_markov, jaccard_join, language_id, line_dedup, mixing, periodic_runs, sharding, site_quality, toxicity
 from msgflow.llm.common import remainder, table
 from msgflow.llm.registry import ORACLES, QUERIES, query
 
@@ -149,3 +149,9 @@ def op7_site_quality(spark: SparkSession, base: str) -> DataFrame:
 @query("op8_partenum_join")
 def op8_partenum_join(spark: SparkSession, base: str) -> DataFrame:
     return jaccard_join.linked(table(spark, base, "documents"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select("doc_id", "text")
+    return periodic_runs.digests(periodic_runs.periodic_runs(docs, ["doc_id"], prepare=periodic_runs.planted))
