@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import decontaminate, fingerprints, hidden_markov, jaccard_join, language_id, line_dedup, mixing, periodic_runs, sharding, site_quality, toxicity
+from msgflow.llm import decontaminate, fingerprints, hidden_markov, jaccard_join, language_id, line_dedup, mixing, packing, periodic_runs, sharding, site_quality, toxicity
 from msgflow.llm.common import remainder, table
 from msgflow.llm.registry import ORACLES, QUERIES, query
 
@@ -151,6 +154,12 @@ def op8_partenum_join(spark: SparkSession, base: str) -> DataFrame:
     return jaccard_join.linked(table(spark, base, "documents"))
 
 
+@query("op11_configuration_packing")
+def op11_configuration_packing(spark: SparkSession, base: str) -> DataFrame:
+    vocabulary = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
+    return packing.pack(table(spark, base, "documents").select("doc_id", "text"), vocabulary, capacity=4096, end_id=1)
+
+
 @query("op13_periodic_runs")
 def op13_periodic_runs(spark: SparkSession, base: str) -> DataFrame:
     docs = table(spark, base, "documents").select("doc_id", "text")
