@@ -2,7 +2,7 @@
 
 1. ``pieces``: tasks tokenise whole texts, put an end token behind each, and cut what is longer than a sequence. A tokenizer
    that splits at white space gives a word the same ids wherever it stands, so a worker keeps the ids of words it has met
-   (``KEPT_WORDS`` at most, then anew) and the tokenizer sees new words only, many in one call.
+   (of ``KEPT_WORDS``, the half met most stays) and the tokenizer sees new words only, many in one call.
 2. The histogram of piece lengths (at most ``capacity`` rows) goes to the driver, where ``configurations`` solves the
    configuration program and rounds it.
 3. ``pack``: pieces are numbered within their length. A length of many pieces is cut into buckets by hash; buckets are
@@ -19,6 +19,7 @@ import json
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,11 @@ from msgflow.llm.common import stored, text_of
 
 CAPACITY = 4096
 END_ID = 1
-KEPT_WORDS = 500_000
+KEPT_WORDS = 400_000
+STOPS = b".,;:!?"
+SIMPLE = "\u0250"  # letters below keep their number in normal form
 CALL_WORDS = 2000
-SLAB_BYTES = 4 << 20
+SLAB_BYTES = 1 << 20
 BUCKET_ROWS = 4096
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -48,39 +51,74 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True  # the special tokens' strings in a text are ordinary text
+        ends = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(ends.values()) + 1, dtype=bool)
+        self.last[[i for token, i in ends.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.begin, self.table = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+        self.begin, self.table, self.used = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+
+    def forget_rare(self) -> None:
+        """Keep the half of the words that was met most."""
+        used = np.pad(self.used, (0, len(self.number) - len(self.used)))
+        kept = np.sort(np.argsort(-used, kind="stable")[: KEPT_WORDS // 2])
+        kept = kept[used[kept] > 1]
+        words, (ids, sizes) = list(self.number), self._take(kept)
+        self.forget()
+        self._add([words[i] for i in kept.tolist()], ids, sizes)
+        self.used = used[kept] // 2
+
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        self.table = np.concatenate([self.table, ids])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
 
-    def learn(self, words: list[bytes]) -> None:
-        """Take the ids of new words; a call has many words, and the places of its tokens tell them apart."""
-        tables, sizes = [self.table], []
-        for at in range(0, len(words), CALL_WORDS):
-            part = [w.decode() for w in words[at : at + CALL_WORDS]]
+    def _take(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words one after the other, and each word's number of ids."""
+        sizes = self.begin[codes + 1] - self.begin[codes]
+        return self.table[np.repeat(self.begin[codes] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))], sizes
+
+    def learn(self, words: set[bytes]) -> None:
+        """Take the ids of new words, many in a call. A word of Latin letters has one token that ends a word, its last; for
+        others the places of the tokens tell words apart. A stop behind a letter is a token of its own, so such a word's ids
+        are those of its two parts."""
+        ended = [w for w in words if w[-1] in STOPS and w[-2:-1].isalpha()]
+        parts = [(w[:-1], w[-1:]) for w in ended]
+        plain = list((words.difference(ended) | {x for p in parts for x in p}) - self.number.keys())
+        plain = [w.decode() for w in plain]
+        simple = [w for w in plain if w.isalpha() and w < SIMPLE and max(w) < SIMPLE]
+        for at in range(0, len(simple), CALL_WORDS):
+            part = simple[at : at + CALL_WORDS]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            self._add([w.encode() for w in part], ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
+        others = list(set(plain).difference(simple))
+        for at in range(0, len(others), CALL_WORDS):
+            part = others[at : at + CALL_WORDS]
             found = self.tokenizer.encode_batch([" ".join(part)], add_special_tokens=False)[0]
             starts = np.cumsum([0, *(len(w) + 1 for w in part[:-1])])
             places = np.fromiter((o[0] for o in found.offsets), dtype=np.int64, count=len(found.ids))
-            sizes.append(np.bincount(np.searchsorted(starts, places, side="right") - 1, minlength=len(part)))
-            tables.append(np.array(found.ids, dtype=np.uint32))
-        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
-        self.table = np.concatenate(tables)
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(sizes))])
+            sizes = np.bincount(np.searchsorted(starts, places, side="right") - 1, minlength=len(part))
+            self._add([w.encode() for w in part], np.array(found.ids, dtype=np.uint32), sizes)
+        if ended:
+            ids, sizes = self._take(np.fromiter((self.number[x] for p in parts for x in p), dtype=np.int64, count=2 * len(parts)))
+            self._add(ended, ids, sizes[::2] + sizes[1::2])
 
     def of(self, texts: list[list[bytes]]) -> Iterator[np.ndarray]:
         """The ids of each text, given as its words."""
         if len(self.number) > KEPT_WORDS:
-            self.forget()
-        new = {w for x in texts for w in x if w not in self.number}
-        if new:
-            self.learn(list(new))
+            self.forget_rare()
         lengths = [len(x) for x in texts]
-        codes = np.fromiter((self.number[w] for x in texts for w in x), dtype=np.int64, count=sum(lengths))
-        sizes = self.begin[codes + 1] - self.begin[codes]
-        ends = np.cumsum(sizes)
-        flat = self.table[np.repeat(self.begin[codes] - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
-        edges = np.concatenate([[0], ends])[np.cumsum([0, *lengths])]
+        words = list(chain.from_iterable(texts))
+        codes = np.fromiter(map(self.number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(codes < 0).tolist()
+        if new:
+            self.learn({words[i] for i in new})
+            codes[new] = [self.number[words[i]] for i in new]
+        self.used = np.bincount(codes, minlength=len(self.number)) + np.pad(self.used, (0, len(self.number) - len(self.used)))
+        flat, sizes = self._take(codes)
+        edges = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *lengths])]
         for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
             yield flat[begin:end]
 
@@ -97,7 +135,7 @@ def splits_at_space(vocabulary: str) -> bool:
     steps = (rules.get("normalizer") or {}).get("normalizers", [])
     split = ((rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
     kept = split.get("behavior") == "Removed" and split.get("invert") and split.get("pattern", {}).get("Regex", "")
-    return {"type": "Lowercase"} in steps and bool(kept) and kept.endswith(r"|[^\s\p{L}\p{N}]+")
+    return {"type": "Lowercase"} in steps and rules["model"].get("end_of_word_suffix") == "</w>" and bool(kept) and kept.endswith(r"|[^\s\p{L}\p{N}]+")
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
