@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from msgflow.llm import decontaminate, fingerprints, hidden_markov, jaccard_join, language_id, line_dedup, mixing, packing, periodic_runs, sharding, site_quality, toxicity
+from msgflow.llm import collocations, decontaminate, fingerprints, hidden_markov, jaccard_join, language_id, line_dedup, mixing, packing, periodic_runs, sharding, site_quality, toxicity
 from msgflow.llm.common import remainder, table
 from msgflow.llm.registry import ORACLES, QUERIES, query
 
@@ -160,6 +160,42 @@ def op11_configuration_packing(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack(table(spark, base, "documents").select("doc_id", "text"), vocabulary, capacity=4096, end_id=1)
 
 
+PHRASE_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS f
+  FROM (SELECT lang, w, i, unnest([1, 2, 3, 4]) AS k FROM i) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY 1),
+c AS (SELECT lang, phrase, string_split(phrase, ' ') AS g, k, f FROM g WHERE f >= 30),
+u AS (
+  SELECT lang, phrase, f AS a, cut, array_to_string(g[1:cut], ' ') AS head, array_to_string(g[cut + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c WHERE k >= 2)),
+s AS (
+  SELECT u.lang, u.phrase, u.a, u.cut, x.f AS l, y.f AS r, (2000000::HUGEINT * u.a) // (x.f::HUGEINT + y.f) AS score
+  FROM u JOIN c x ON x.lang = u.lang AND x.phrase = u.head JOIN c y ON y.lang = u.lang AND y.phrase = u.rest),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+v AS (SELECT lang, g, f, k, unnest(range(2, k)) AS m FROM c WHERE k >= 3),
+h AS (
+  SELECT lang, phrase, max(f) AS longer
+  FROM (SELECT lang, f, array_to_string(g[j:j + m - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, k - m + 2)) AS j FROM v)) GROUP BY 1, 2),
+o AS (
+  SELECT b.* FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE h.longer IS NULL OR 100::HUGEINT * h.longer < 80::HUGEINT * b.a),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM t JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_collocations", PHRASE_SQL)
+def op12_collocations(spark: SparkSession, base: str) -> DataFrame:
+    return collocations.collocations(table(spark, base, "documents").select("lang", "text"))
+
+
 @query("op13_periodic_runs")
 def op13_periodic_runs(spark: SparkSession, base: str) -> DataFrame:
     docs = table(spark, base, "documents").select("doc_id", "text")
