@@ -31,7 +31,7 @@ from msgflow.llm.common import stored, text_of
 
 CAPACITY = 4096
 END_ID = 1
-KEPT_WORDS = 400_000
+KEPT_WORDS = 900_000
 STOPS = b".,;:!?"
 SIMPLE = "\u0250"  # letters below keep their number in normal form
 CALL_WORDS = 2000
