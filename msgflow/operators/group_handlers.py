@@ -27,7 +27,7 @@ from msgflow.operators import envelope as E
 from msgflow.operators import ordered as O
 from msgflow.operators import scan
 from msgflow.operators import windows as W
-from msgflow.operators.handlers import iterate
+from msgflow.operators.handlers import ERROR, error_value, is_capture, iterate
 from msgflow.operators.session import BLOCK, number_sessions
 
 ORDER = ("event_time", "id")
@@ -75,6 +75,37 @@ def _first(rows: Iterator[dict]) -> tuple[dict, Iterator[dict]]:
     return head, itertools.chain([head], rows)
 
 
+class _Guard:
+    """Runs a group's handler: with capture, a failure becomes a row after what the handler said before it.
+
+    Failures of the rows themselves, which come from Spark, are raised in any case.
+    """
+
+    def __init__(self, on_error: str, container: str) -> None:
+        self.capture, self.container = is_capture(on_error), container
+
+    def fields(self) -> list[T.StructField]:
+        return [T.StructField("error", ERROR)] if self.capture else []
+
+    def run(self, head: dict, rows: Iterator[dict], produce: Callable[[Iterator[Datum]], Iterator[dict]]) -> Iterator[dict]:
+        broken: list[BaseException] = []
+
+        def items() -> Iterator[Datum]:
+            try:
+                for row in rows:
+                    yield Datum(row)
+            except Exception as exc:
+                broken.append(exc)
+                raise
+
+        try:
+            yield from produce(items())
+        except Exception as exc:
+            if broken or not self.capture:
+                raise
+            yield {**head, "error": error_value(exc, self.container)}
+
+
 def reduce_handler(
     df: DataFrame,
     length: str,
@@ -85,28 +116,37 @@ def reduce_handler(
     keyed: bool = True,
     columns: Sequence[str] = COLUMNS,
     order: Sequence[str] = ORDER,
+    on_error: str = "fail",
+    container: str = "reduce",
 ) -> DataFrame:
     """``handler(keys, datums, window) -> messages`` on the ordered rows of each window and key.
 
     The handler may be a function, generator, coroutine or async generator (an early emission is
-    simply yielded), or a class built anew per group. Output rows carry the window and no metadata.
+    simply yielded), or a class built anew per group. Output rows carry the window and no metadata. With
+    ``on_error="capture"`` a failing group keeps what it emitted and adds a row with ``error`` and its keys; other groups
+    go on.
     """
+    guard = _Guard(on_error, container)
     factory = make_factory(handler, init_args, init_kwargs)
     needed = [c for c in dict.fromkeys([*columns, "keys", "event_time", *order]) if c in df.columns]
     rows = df.select(W.fixed_window(length).alias("window"), *needed)
     group = ["window", "keys"] if keyed else ["window"]
     out_type = T.StructType(
-        [_WINDOW, T.StructField("pos", T.IntegerType()), *[E.ENVELOPE[n] for n in ("keys", "value", "tags")]]
+        [_WINDOW, T.StructField("pos", T.IntegerType()), *[E.ENVELOPE[n] for n in ("keys", "value", "tags")], *guard.fields()]
     )
 
     def run(rows: Iterator[dict], loop: scan.Loop) -> Iterator[dict]:
         head, rows = _first(rows)
         window = Interval(head["window"]["start"], head["window"]["end"])
-        call = factory()
-        items = map(Datum, rows)
-        result = call(head["keys"] if keyed else [], _Async(items) if _is_async(call) else items, window)
-        for pos, m in enumerate(iterate(result, loop)):
-            yield {"window": head["window"], "pos": pos, "keys": m.keys, "value": m.value, "tags": m.tags}
+        keys = head["keys"] if keyed else []
+
+        def produce(items: Iterator[Datum]) -> Iterator[dict]:
+            call = factory()
+            result = call(keys, _Async(items) if _is_async(call) else items, window)
+            for pos, m in enumerate(iterate(result, loop)):
+                yield {"window": head["window"], "pos": pos, "keys": m.keys, "value": m.value, "tags": m.tags}
+
+        yield from guard.run({"window": head["window"], "keys": keys}, rows, produce)
 
     return scan.ordered_rows_scan(rows, group, [c for c in order if c in needed], run, out_type)
 
@@ -120,18 +160,22 @@ def accumulate_handler(
     timeout: str | None = None,
     columns: Sequence[str] = COLUMNS,
     order: Sequence[str] = ORDER,
+    on_error: str = "fail",
+    container: str = "accumulator",
 ) -> DataFrame:
     """``handler(datums) -> messages`` on all rows of each key in order; a class is built per key.
 
     Messages set their own event time, watermark, id and headers. The output window runs from epoch 0
     to the highest watermark the key has emitted so far. With ``timeout``, a key idle for longer is
-    closed and starts afresh, so its stretches are separate groups (column ``stretch``, from 1).
+    closed and starts afresh, so its stretches are separate groups (column ``stretch``, from 1). With
+    ``on_error="capture"`` a failing stretch keeps what it emitted and adds a row with ``error``.
     """
+    guard = _Guard(on_error, container)
     factory = make_factory(handler, init_args, init_kwargs)
     needed = [c for c in dict.fromkeys([*columns, "keys", *order]) if c in df.columns]
     names = ("id", "keys", "value", "event_time", "watermark", "headers", "tags")
     stretch = T.StructField("stretch", T.LongType())
-    out_type = T.StructType([_WINDOW, stretch, T.StructField("pos", T.LongType()), *[E.ENVELOPE[n] for n in names]])
+    out_type = T.StructType([_WINDOW, stretch, T.StructField("pos", T.LongType()), *[E.ENVELOPE[n] for n in names], *guard.fields()])
     order = [c for c in order if c in needed]
     rows = df.select(*needed)
     if timeout is None:
@@ -141,16 +185,19 @@ def accumulate_handler(
 
     def run(rows: Iterator[dict], loop: scan.Loop) -> Iterator[dict]:
         head, rows = _first(rows)
-        call = factory()
-        items = map(Datum, rows)
-        latest = EPOCH_TIME
-        result = call(_Async(items) if _is_async(call) else items)
-        for pos, m in enumerate(iterate(result, loop)):
-            if m.watermark is not None:
-                latest = max(latest, m.watermark)
-            row = {n: getattr(m, n) for n in names}
-            window = {"start": EPOCH_TIME, "end": latest}
-            yield {**row, "pos": pos, "stretch": head["stretch"], "window": window}
+
+        def produce(items: Iterator[Datum]) -> Iterator[dict]:
+            call = factory()
+            latest = EPOCH_TIME
+            result = call(_Async(items) if _is_async(call) else items)
+            for pos, m in enumerate(iterate(result, loop)):
+                if m.watermark is not None:
+                    latest = max(latest, m.watermark)
+                row = {n: getattr(m, n) for n in names}
+                window = {"start": EPOCH_TIME, "end": latest}
+                yield {**row, "pos": pos, "stretch": head["stretch"], "window": window}
+
+        yield from guard.run({"stretch": head["stretch"], "keys": head["keys"]}, rows, produce)
 
     return scan.ordered_rows_scan(rows, ["keys", "stretch"], order, run, out_type)
 

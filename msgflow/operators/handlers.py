@@ -27,7 +27,7 @@ from msgflow.operators import scan
 
 COLUMNS = ("id", "keys", "value", "event_time", "watermark", "headers")
 
-_ERROR = T.StructType(
+ERROR = T.StructType(
     [
         T.StructField("container", T.StringType()),
         T.StructField("timestamp", T.LongType()),
@@ -43,7 +43,7 @@ def _out_type(fields: Sequence[str], capture: bool) -> T.StructType:
     out = [E.ENVELOPE["id"], T.StructField("pos", T.IntegerType())]
     out += [E.ENVELOPE[f] for f in fields if f != "id"]
     if capture:
-        out.append(T.StructField("error", _ERROR))
+        out.append(T.StructField("error", ERROR))
     return T.StructType(out)
 
 
@@ -56,15 +56,18 @@ def _rows(request_id: str | None, items: Iterable[Message] | None, fields: Seque
         yield row
 
 
-def _error_row(request_id: str | None, exc: BaseException, container: str) -> dict:
-    error = {
+def error_value(exc: BaseException, container: str) -> dict:
+    return {
         "container": container,
         "timestamp": int(time.time()),
         "code": C.INTERNAL_ERROR_CODE,
         "message": f"{type(exc).__name__}: {exc}",
         "details": "".join(traceback.format_exception(exc)),
     }
-    return {"id": request_id, "pos": None, "error": error}
+
+
+def _error_row(request_id: str | None, exc: BaseException, container: str) -> dict:
+    return {"id": request_id, "pos": None, "error": error_value(exc, container)}
 
 
 def datums(batches: Iterator[pa.RecordBatch]) -> Iterator[Datum]:
@@ -99,7 +102,7 @@ def _run(
 
 def _map(df: DataFrame, handler: Any, fields, columns, on_error, container, max_in_flight) -> DataFrame:
     call = row_function(handler)
-    capture = _is_capture(on_error)
+    capture = is_capture(on_error)
     if inspect.iscoroutinefunction(call):
 
         def produce(batches):
@@ -121,7 +124,7 @@ def _map(df: DataFrame, handler: Any, fields, columns, on_error, container, max_
     return _run(df, columns, fields, produce, capture=capture)
 
 
-def _is_capture(on_error: str) -> bool:
+def is_capture(on_error: str) -> bool:
     if on_error not in ("fail", "capture"):
         raise ValueError(f"on_error is 'fail' or 'capture', not {on_error!r}")
     return on_error == "capture"

@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from msgflow.plans import handler_queries, message_queries, sink_queries, stream_queries, window_queries  # noqa: F401
+from msgflow.plans import (  # noqa: F401
+    capture_queries,
+    handler_queries,
+    message_queries,
+    sink_queries,
+    stream_queries,
+    stream_state_queries,
+    window_queries,
+)
 from msgflow.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -15,7 +15,7 @@ from msgflow.operators import envelope as E
 from msgflow.operators import scan
 from msgflow.operators import sinks as SK
 from msgflow.operators.group_handlers import _Async, _is_async
-from msgflow.operators.handlers import iterate
+from msgflow.operators.handlers import ERROR, error_value, is_capture, iterate
 
 _RESPONSE = [
     T.StructField("status", T.StringType()),
@@ -25,31 +25,48 @@ _RESPONSE = [
 ]
 
 
-def sink_handler(df: DataFrame, handler: Any) -> DataFrame:
+def sink_handler(df: DataFrame, handler: Any, *, on_error: str = "fail", container: str = "sink") -> DataFrame:
     """``handler(datums) -> responses``, plain or async, once per Arrow batch; rows keep all columns.
 
-    Each id must get exactly one response.
+    Each id must get exactly one response. With ``on_error="capture"`` the answers given before a failure count; rows
+    without one become failures, and carry the ``error``.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     call = row_function(handler)
-    out_type = T.StructType([*df.schema.fields, *_RESPONSE])
+    capture = is_capture(on_error)
+    out_type = T.StructType([*df.schema.fields, *_RESPONSE, *([T.StructField("error", ERROR)] if capture else [])])
     arrow = to_arrow_schema(out_type)
 
+    def answer(rows: list[dict], answers: dict[str, Response], loop: scan.Loop) -> None:
+        items = iter([Datum(r) for r in rows])
+        known = {r["id"] for r in rows}
+        for r in iterate(call(_Async(items) if _is_async(call) else items), loop):
+            if r.id in answers:
+                raise ValueError(f"two responses for id {r.id}")
+            if r.id not in known:
+                raise ValueError(f"a response for id {r.id}, which no row has")
+            answers[r.id] = r
+        if len(answers) != len(rows):
+            raise ValueError(f"{len(rows)} rows got responses for {len(answers)} ids")
+
     def produce(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         with scan.Loop() as loop:
             for batch in batches:
                 rows = batch.to_pylist()
-                items = iter([Datum(r) for r in rows])
                 answers: dict[str, Response] = {}
-                for r in iterate(call(_Async(items) if _is_async(call) else items), loop):
-                    if r.id in answers:
-                        raise ValueError(f"two responses for id {r.id}")
-                    answers[r.id] = r
-                if answers.keys() != {r["id"] for r in rows} or len(answers) != len(rows):
-                    raise ValueError(f"{len(rows)} rows got responses for {len(answers)} ids, or other ids")
+                error = None
+                try:
+                    answer(rows, answers, loop)
+                except Exception as exc:
+                    if not capture:
+                        raise
+                    error = error_value(exc, container)
                 for row in rows:
-                    yield {**row, **_flat(answers[row["id"]])}
+                    if row["id"] in answers:
+                        yield {**row, **_flat(answers[row["id"]])}
+                    else:
+                        yield {**row, **_flat(Response.failure(row["id"], error["message"])), "error": error}
 
     return df.mapInArrow(lambda batches: scan.to_batches(produce(batches), arrow), out_type)
 
