@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from msgflow.functions import scalars as S
-from msgflow.message import Message
+from msgflow.message import Message, Response
 from msgflow.operators import envelope as E
 from msgflow.operators import reduce as RD
 from msgflow.operators import watermarks as WM
@@ -19,6 +19,7 @@ from msgflow.sources.tables import read_table
 from msgflow.streaming import late, run, stateful
 from msgflow.streaming.acks import OffsetLog, acknowledging
 from msgflow.streaming import reduce as SR
+from msgflow.streaming.redelivery import redeliver, run_until_empty
 from msgflow.streaming.replay import replay, time_slices
 
 
@@ -217,3 +218,28 @@ def stream_acknowledged(spark, base):
     run.run_each_batch(rows, acknowledging(write, log, partition, offset), f"{folder}/checkpoint")
     written = spark.read.parquet(f"{folder}/out").groupBy((F.col("event_id") % 4).cast("int").alias("partition_id"))
     return log.acknowledged().join(written.agg(F.count(F.lit(1)).alias("n_written")), "partition_id")
+
+
+def _refuses_twice(datums):
+    for d in datums:
+        number = int(d.id)
+        if number % 97 == 0 and (d.attempt < 2 or number % 291 == 0):
+            yield Response.failure(d.id, f"refused {d.attempt}")
+        else:
+            yield Response.success(d.id)
+
+
+@query(
+    "stream_redelivery",
+    """
+    SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 97 = 0 THEN 3 ELSE 1 END AS attempts,
+           CASE WHEN event_id % 291 = 0 THEN 'dead' ELSE 'taken' END AS outcome, CASE WHEN event_id % 291 = 0 THEN 'refused 2' ELSE '' END AS err_msg
+    FROM events
+    """,
+)
+def stream_redelivery(spark, base):
+    """Refused rows come again until taken; some never are."""
+    events = read_table(spark, base, "events")
+    rows = _messages(replay(events, time_slices(events, "ts", 3))).select("id", "keys", "event_time")
+    done = run_until_empty(redeliver(rows, _refuses_twice, tries=3, pause_ms=50), at_most=900)
+    return done.select("id", "attempts", "outcome", F.coalesce("err_msg", F.lit("")).alias("err_msg"))

@@ -13,7 +13,7 @@ from msgflow.operators import envelope as E
 from msgflow.operators import group_handlers as G
 from msgflow.operators.session_form import session_form
 from msgflow.session import ship_package
-from msgflow.streaming import late, run, sinks, stateful
+from msgflow.streaming import late, redelivery, run, sinks, stateful
 from msgflow.streaming import reduce as SR
 from msgflow.streaming.acks import OffsetLog, acknowledging, unacknowledged
 from msgflow.streaming.replay import replay
@@ -237,3 +237,18 @@ def test_acknowledged_offsets_survive_a_kill_and_fold(spark, tmp_path):
     assert len(log().entries()) <= 3
     with pytest.raises(ValueError, match="positive"):
         OffsetLog(spark, "x", every=0)
+
+
+def test_redelivery_keeps_the_order_of_a_key(spark, tmp_path):
+    rows = files(spark, tmp_path / "in", [("a", 1), ("a", 2), ("b", 1)], [("a", 3), ("c", 4)]).select("id", "keys", "event_time", "s")
+
+    def handler(datums):
+        for d in datums:
+            refuse = d.keys == ["a"] and ((d.s == 1 and d.attempt < 1) or d.s == 2)
+            yield Response.failure(d.id, "no") if refuse else Response.success(d.id)
+
+    out = redelivery.run_until_empty(redelivery.redeliver(rows, handler, tries=2, pause_ms=20), partitions=2, at_most=120)
+    got = {(r["keys"][0], r.s): (r.attempts, r.outcome) for r in out.collect()}
+    assert got == {("a", 1): (2, "taken"), ("a", 2): (2, "dead"), ("a", 3): (1, "taken"), ("b", 1): (1, "taken"), ("c", 4): (1, "taken")}
+    with pytest.raises(ValueError, match="positive"):
+        redelivery.redeliver(rows, handler, tries=0)
