@@ -3,12 +3,13 @@
 A configuration is a multiset of lengths of at most ``capacity`` together. The program covers the histogram's counts with
 as few configurations as it can; its columns are never listed. ``price`` finds the most valuable configuration under dual
 prices of the lengths by a knapsack recursion over the capacity, and multiplicative weights set the prices: a length's
-price is its share of the capacity, times exp(-``ETA`` * share of its count already covered), so what is covered least
-is worth most. ``program`` returns the fractional solution and the best lower bound that the prices proved.
+price is its share of the capacity, to the power ``LARGE``, times exp(-``ETA`` * share of its count already covered), so
+what is covered least is worth most. ``program`` returns the fractional solution and a lower bound that the first prices
+prove.
 
-Rounding: whole parts are taken; for what is left the prices go on with whole configurations only, and the last few
-sequences are filled best fit decreasing. All numbers here are histograms of at most ``capacity`` lengths: the work does
-not grow with the number of documents.
+Rounding: whole parts are taken; for what is left the prices go on with whole configurations only, and the last
+sequences are filled best fit decreasing, which also is the result where it alone needs fewer sequences. All numbers here
+are histograms of at most ``capacity`` lengths: the work does not grow with the number of documents.
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ from collections import Counter
 
 import numpy as np
 
-ETA = 2.0
+ETA = 0.5
+LARGE = 1.2  # above 1: of two ways to fill a sequence, the one with longer pieces is worth more
 STEP = 0.25  # share of a length's count that one configuration may cover at once
-SEEDS = 512  # configurations taken from one recursion
-TAIL = 32  # sequences left to best fit
+SEEDS = 8  # one length in so many starts a configuration of a round
+TAIL = 32  # sequences always left to best fit
 REST = 0.05  # share of the tokens that the fractional solution may leave to rounding
 NEAR = 0.998  # share of the best value that a configuration needs once lengths of the best ran out
-LITTLE = 0.01
+LITTLE = 0.003  # share of the tokens left that a round must cover, or rounding takes over
 
 Configuration = tuple[int, ...]  # lengths, descending
 
@@ -66,7 +68,7 @@ def _prices(counts: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
     lengths = np.arange(capacity + 1)
     with np.errstate(divide="ignore", invalid="ignore"):
         covered = np.where(counts > 0, 1 - left / counts, 1)
-    return np.where(left > 0, lengths / capacity * np.exp(-ETA * covered), -np.inf)
+    return np.where(left > 0, (lengths / capacity) ** LARGE * np.exp(-ETA * covered), -np.inf)
 
 
 def _spread(counts: np.ndarray, capacity: int, whole: bool, until: float) -> tuple[Counter, float]:
@@ -74,7 +76,6 @@ def _spread(counts: np.ndarray, capacity: int, whole: bool, until: float) -> tup
     the number of sequences that all of ``counts`` need."""
     left, amounts, bound = counts.astype(float), Counter(), 0.0
     lengths = np.arange(capacity + 1)
-    last = False
     while (before := float((left * lengths).sum())) > until:
         values = _prices(counts, left, capacity)
         best, take = price(values, capacity)
@@ -82,11 +83,11 @@ def _spread(counts: np.ndarray, capacity: int, whole: bool, until: float) -> tup
             bound = float((np.where(counts > 0, values, 0.0) * counts).sum() / best[capacity])
         present = np.flatnonzero(left > 0)
         worth = values[present] + best[capacity - present]
-        for seed in present[np.lexsort((-present, -worth))][:SEEDS].tolist():
+        for seed in present[np.lexsort((-present, -worth))][: max(32, len(present) // SEEDS)].tolist():
             if left[seed] <= 0:
                 continue
             need = _configuration(seed, take, capacity, left, present, whole)
-            if sum(values[n] * k for n, k in need.items()) < NEAR * (values[seed] + best[capacity - seed]) and amounts and not last:
+            if sum(values[n] * k for n, k in need.items()) < NEAR * (values[seed] + best[capacity - seed]):
                 continue
             room = min(left[n] / k for n, k in need.items())
             amount = min(room, STEP * min(counts[n] / k for n, k in need.items()))
@@ -97,7 +98,8 @@ def _spread(counts: np.ndarray, capacity: int, whole: bool, until: float) -> tup
             for n, k in need.items():
                 left[n] = rest if (rest := left[n] - amount * k) > 1e-9 else 0.0
             amounts[tuple(sorted(need.elements(), reverse=True))] += amount
-        last = float((left * lengths).sum()) > (1 - LITTLE) * before  # then anything that fits
+        if float((left * lengths).sum()) > (1 - LITTLE) * before:
+            break
     return amounts, bound
 
 
@@ -110,19 +112,33 @@ def _without(counts: np.ndarray, amounts: dict[Configuration, int]) -> np.ndarra
 
 
 def _best_fit(counts: np.ndarray, capacity: int) -> Counter:
-    """Best fit decreasing over single pieces: for the last few sequences."""
-    filled: list[list[int]] = []
-    rooms: list[tuple[int, int]] = []  # ascending
-    for length in np.repeat(np.arange(capacity + 1), counts)[::-1].tolist():
-        at = bisect_left(rooms, (length, -1))
-        if at < len(rooms):
-            room, which = rooms.pop(at)
-        else:
-            room, which = capacity, len(filled)
-            filled.append([])
-        filled[which].append(length)
-        insort(rooms, (room - length, which))
-    return Counter(map(tuple, filled))
+    """Best fit decreasing, for all sequences of equal content at once: steps follow the lengths, not the pieces."""
+    groups: Counter = Counter()  # contents: sequences
+    rooms: list[tuple[int, Configuration]] = []  # ascending, one entry for each of the groups
+
+    def put(chosen: Configuration, amount: int) -> None:
+        if amount and chosen not in groups:
+            insort(rooms, (capacity - sum(chosen), chosen))
+        if amount:
+            groups[chosen] += amount
+
+    for length in np.flatnonzero(counts)[::-1].tolist():
+        n = int(counts[length])
+        while n:
+            at = bisect_left(rooms, (length, ()))
+            room, chosen = rooms.pop(at) if at < len(rooms) else (capacity, ())
+            there = groups.pop(chosen, n)
+            each = room // length
+            full = min(there, n // each)
+            put(chosen + (length,) * each, full)
+            n -= full * each
+            there -= full
+            if there and 0 < n < each:
+                put(chosen + (length,) * n, 1)
+                n, there = 0, there - 1
+            if chosen:
+                put(chosen, there)
+    return groups
 
 
 def program(counts: np.ndarray, capacity: int) -> tuple[Counter, float]:
@@ -149,4 +165,7 @@ def pack(counts: np.ndarray, capacity: int) -> tuple[list[tuple[Configuration, i
     dived = {c: int(x) for c, x in _spread(left, capacity, True, TAIL * capacity)[0].items()}
     packed.update(dived)
     packed.update(_best_fit(_without(left, dived), capacity))
+    plain = _best_fit(counts, capacity)
+    if sum(plain.values()) < sum(packed.values()):  # few lengths, or few pieces of each: rounding can cost more than it brings
+        packed = plain
     return sorted(packed.items(), reverse=True), max(bound + int(counts[capacity]), tokens / capacity)

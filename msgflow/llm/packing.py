@@ -88,12 +88,18 @@ class WordIds:
         parts = [(w[:-1], w[-1:]) for w in ended]
         plain = list((words.difference(ended) | {x for p in parts for x in p}) - self.number.keys())
         plain = [w.decode() for w in plain]
-        simple = [w for w in plain if w.isalpha() and w < SIMPLE and max(w) < SIMPLE]
+        others = []
+        simple = []
+        for w in plain:
+            (simple if w.isalpha() and max(w) < SIMPLE and w.lower().isalpha() else others).append(w)
         for at in range(0, len(simple), CALL_WORDS):
             part = simple[at : at + CALL_WORDS]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-            self._add([w.encode() for w in part], ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
-        others = list(set(plain).difference(simple))
+            sizes = np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+            if len(sizes) == len(part):
+                self._add([w.encode() for w in part], ids, sizes)
+            else:
+                others.extend(part)
         for at in range(0, len(others), CALL_WORDS):
             part = others[at : at + CALL_WORDS]
             found = self.tokenizer.encode_batch([" ".join(part)], add_special_tokens=False)[0]
