@@ -6,10 +6,10 @@
    ``dictionary``: the distinct chunks of a language with their frequencies in the parse; copies shrink to one row here.
 2. ``blocks``: tasks gather chunks to some ``BLOCK_BYTES`` a row, stored.
 3. ``frequent_marks``: each block's n-grams as sorted hashes with their weight, dealt by ranges of the hash; a range adds up
-   its blocks and gives each of them one bit for each of its hashes: whether all blocks together reach ``least``. A block
-   has a hash once, so a frequent n-gram is as many entries as there are blocks. Hashes that collide only add up to more, so
-   no frequent n-gram is lost.
-4. ``counted``: a block names the n-grams that its bits leave by words (numbers of pairs are numbered anew level by level,
+   its blocks and gives each of them back those of its hashes that reach ``least`` over all blocks. A block has a hash once,
+   so a frequent n-gram is as many entries as there are blocks. Hashes that collide only add up to more, so no frequent
+   n-gram is lost.
+4. ``counted``: a block names the n-grams that its frequent hashes leave by words (numbers of pairs are numbered anew level by level,
    no hashes), and their exact weights are added by (language, phrase).
 5. ``collocations``: cuts, scores, and drops by joins on (language, phrase); the first ``top`` of each language.
 
@@ -45,7 +45,7 @@ BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 CHUNK = pa.schema([("lang", pa.string()), ("tail", pa.int32()), ("chunk", pa.string()), ("n", pa.int64())])
 BLOCK = pa.schema([("block", pa.int64()), ("n_words", pa.int64()), ("langs", pa.list_(pa.string())), ("size", pa.int64()), ("body", pa.binary()), ("meta", pa.binary())])
 ENTRY = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("hashes", pa.binary()), ("weights", pa.binary()), ("n", pa.int64())])
-MARK = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
+MARK = pa.schema([("block", pa.int64()), ("part", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary())])
 FOUND = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("f", pa.int64())])
 
 
@@ -169,7 +169,7 @@ class Block:
         out = [_mixed(word ^ tongue)]
         for n in range(2, LONGEST + 1):
             ahead = np.zeros(len(word), dtype=np.uint64)
-            ahead[: len(word) - n + 1] = word[n - 1 :]
+            ahead[: max(len(word) - n + 1, 0)] = word[n - 1 :]
             out.append(_mixed(out[-1] * np.uint64(0xD6E8FEB86659FD93) + ahead + np.uint64(n)))
         return out
 
@@ -182,19 +182,21 @@ class Block:
         at = [self.starts(n) for n in range(1, LONGEST + 1)]
         keys = np.concatenate([h[a] for h, a in zip(hashed, at)]) >> np.uint64(64 - bits)
         weights = np.concatenate([self.weight[a] for a in at])
-        order = np.argsort(keys)
-        keys, weights = keys[order], weights[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
-        return keys[first], np.add.reduceat(weights, first) if len(first) else weights
+        return _summed(keys, weights, bits)
 
     def phrases(self, frequent: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
         """lang, phrase, k and weight of the n-grams whose hash is among ``frequent``, by exact numbers of their words."""
         names = np.zeros(len(self.codes), dtype=np.int64)
+        reached = np.ones(len(self.codes) + 1, dtype=bool)  # whether the n-gram of the level before is frequent, by place
         for n, hashed in enumerate(self.hashes(), 1):
             at = self.starts(n)
+            # A frequent n-gram begins and ends with frequent ones; its end may belong to the next chunk.
+            at = at[reached[at] & (reached[at + 1] | ~self.own[np.minimum(at + 1, len(self.own) - 1)])] if n > 1 else at
             keys = hashed[at] >> np.uint64(64 - bits)
             near = np.minimum(np.searchsorted(frequent, keys), max(len(frequent) - 1, 0))
             at = at[frequent[near] == keys] if len(frequent) else at[:0]
+            reached[:] = False
+            reached[at] = True
             if not len(at):
                 break
             before = self.lang[at] if n == 1 else names[at]  # a frequent n-gram's beginning is frequent, so it has a number
@@ -214,6 +216,22 @@ def _added(number: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _summed(keys: np.ndarray, weights: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of ``bits`` bits, ascending and distinct, with the sums of their weights."""
+    if not len(keys):
+        return keys, weights
+    if int(weights.max()) >> (64 - bits):
+        order = np.argsort(keys)
+        keys, weights = keys[order], weights[order]
+    else:  # the weight fits into the bits that are free: one plain sort
+        room = np.uint64(64 - bits)
+        both = np.sort((keys << room) | weights.astype(np.uint64))
+        keys = both >> room
+        weights = (both & np.uint64((1 << (64 - bits)) - 1)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(weights, first)
+
+
 def _deltas(keys: np.ndarray) -> bytes:
     """Ascending numbers as differences, byte by byte, compressed."""
     steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
@@ -226,7 +244,7 @@ def _undone(body: bytes, n: int) -> np.ndarray:
 
 
 def frequent_marks(packed: DataFrame, least: int, bits: int, parts: int) -> DataFrame:
-    """block, part, n, bits: for each hash of a block, in order, whether all blocks' weights reach ``least``."""
+    """block, part, n, hashes: those of a block's hashes whose weights over all blocks reach ``least``, ascending."""
     shift = np.uint64(bits - int(math.log2(parts)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,20 +268,20 @@ def frequent_marks(packed: DataFrame, least: int, bits: int, parts: int) -> Data
 
     def mark(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        keys = np.concatenate([_undone(r["hashes"], r["n"]) for r in rows])
-        weights = np.concatenate([np.frombuffer(pa.decompress(r["weights"], decompressed_size=8 * r["n"], codec="zstd", asbytes=True), dtype="<i8") for r in rows])
-        order = np.argsort(keys)
-        sorted_keys = keys[order]
-        first = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])
-        sums = np.add.reduceat(weights[order], np.flatnonzero(first))
-        reached = np.empty(len(keys), dtype=bool)
-        reached[order] = (sums >= least)[np.cumsum(first) - 1]
-        ends = np.cumsum([r["n"] for r in rows])
-        out = [{"block": r["block"], "part": r["part"], "n": r["n"], "bits": np.packbits(reached[e - r["n"] : e]).tobytes()} for r, e in zip(rows, ends)]
+        keys = [_undone(r["hashes"], r["n"]) for r in rows]
+        weights = [np.frombuffer(pa.decompress(r["weights"], decompressed_size=8 * r["n"], codec="zstd", asbytes=True), dtype="<i8") for r in rows]
+        every, sums = _summed(np.concatenate(keys), np.concatenate(weights), bits)
+        frequent = every[sums >= least]
+        out = []
+        for r, own in zip(rows, keys):
+            near = np.minimum(np.searchsorted(frequent, own), max(len(frequent) - 1, 0))
+            kept = own[frequent[near] == own] if len(frequent) else own[:0]
+            if len(kept):
+                out.append({"block": r["block"], "part": r["part"], "n": len(kept), "hashes": _deltas(kept)})
         return pa.Table.from_pylist(out, schema=MARK)
 
     dealt = packed.mapInArrow(deal, "block long, part long, hashes binary, weights binary, n long")
-    return dealt.groupBy("part").applyInArrow(mark, "block long, part long, n long, bits binary")
+    return dealt.groupBy("part").applyInArrow(mark, "block long, part long, n long, hashes binary")
 
 
 def counted(packed: DataFrame, marks: DataFrame, least: int, bits: int) -> DataFrame:
@@ -274,10 +292,9 @@ def counted(packed: DataFrame, marks: DataFrame, least: int, bits: int) -> DataF
         if not rows:
             return FOUND.empty_table()
         block = Block(rows[0])
-        keys, _ = block.entries(bits)
         parts = sorted(marked.to_pylist(), key=lambda r: r["part"])
-        reached = np.concatenate([np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8), count=r["n"]) for r in parts]) if parts else np.zeros(0)
-        found = list(block.phrases(keys[reached.astype(bool)], bits))
+        frequent = np.concatenate([_undone(r["hashes"], r["n"]) for r in parts]) if parts else np.zeros(0, dtype=np.uint64)
+        found = list(block.phrases(frequent, bits))
         return pa.Table.from_batches(found, schema=FOUND)
 
     met = packed.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(name, "lang string, phrase string, k int, f long")
