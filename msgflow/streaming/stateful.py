@@ -23,7 +23,7 @@ from msgflow.message import Datum, Interval, Message, make_factory
 from msgflow.operators import envelope as E
 from msgflow.operators import scan
 from msgflow.operators import windows as W
-from msgflow.operators.group_handlers import _Async, _is_async, _mergeable_factory
+from msgflow.operators.group_handlers import _Async, _combine, _is_async, _mergeable_factory
 from msgflow.operators.handlers import iterate
 from msgflow.functions.scalars import interval_micros
 
@@ -215,10 +215,13 @@ def reduce_handler_stream(
 
 
 class _Sessions(StatefulProcessor):
-    """The open sessions of a key as one state value: few are open at a time. One timer per key."""
+    """The open sessions of a key as one state value: few are open at a time. One timer per key.
 
-    def __init__(self, factory, columns: list[str], gap: int) -> None:
-        self.factory, self.columns, self.gap = factory, columns, gap
+    Rows come as states of stretches shorter than the gap, made in the tasks before the shuffle.
+    """
+
+    def __init__(self, factory, gap: int) -> None:
+        self.factory, self.gap = factory, gap
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -240,29 +243,31 @@ class _Sessions(StatefulProcessor):
         self.state.update((pickle.dumps((keys, sessions)),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        batch = [(micros(r["event_time"]), {c: r[c] for c in self.columns}) for r in rows]
-        batch.sort(key=lambda x: x[0])
         stored: list[tuple] = []
         if self.state.exists():
             _, stored = pickle.loads(bytes(self.state.get()[0]))
-        # Stretches of this batch, one handler each.
-        parts: list[list] = []
-        for at, row in batch:
-            if not parts or at - parts[-1][1] > self.gap:
-                parts.append([at, at, self.factory()])
-            parts[-1][1] = at
-            parts[-1][2].add(Datum(row))
+        keys, parts = None, []
+        for r in rows:
+            keys = list(r["keys"]) if keys is None else keys
+            parts.append((r["_lo"], r["_hi"], False, bytes(r["_state"])))
         # Stored sessions and stretches in order of their start: neighbours within the gap merge.
-        line = sorted([*stored, *[(a, b, h.state()) for a, b, h in parts]], key=lambda x: x[:2])
+        line = sorted([*[(a, b, True, s) for a, b, s in stored], *parts], key=lambda x: x[:2])
         merged: list[list] = []
-        for start, end, state in line:
+        for start, end, known, state in line:
             if merged and start - merged[-1][1] <= self.gap:
                 merged[-1][1] = max(merged[-1][1], end)
-                merged[-1][2].append(state)
+                merged[-1][2] |= known
+                merged[-1][3].append(state)
             else:
-                merged.append([start, end, [state]])
-        sessions = [(start, end, self._combine(states)) for start, end, states in merged]
-        self._save(batch[0][1]["keys"], sessions, self._due_ms(stored))
+                merged.append([start, end, known, [state]])
+        now = timerValues.getCurrentWatermarkInMs()
+        sessions = [
+            (start, end, self._combine(states))
+            for start, end, known, states in merged
+            if known or _timer_ms(end + self.gap) > now  # else the whole session is late
+        ]
+        if sessions:
+            self._save(keys, sessions, self._due_ms(stored))
         return iter([])
 
     def _combine(self, states: list[bytes]) -> bytes:
@@ -296,11 +301,17 @@ def session_handler_stream(
     init_kwargs: dict | None = None,
     columns: Sequence[str] = COLUMNS,
 ) -> DataFrame:
-    """Sessions with a mergeable handler: a row that bridges two open sessions merges their states."""
+    """Sessions with a mergeable handler: a row that bridges two open sessions merges their states.
+
+    Rows are combined per key and gap-long bucket inside their task, so a hot key is a few rows per task and micro-batch.
+    A session that the watermark has passed before its first row arrives is late and left out.
+    """
     factory = _mergeable_factory(handler, init_args, init_kwargs)
     needed = [c for c in dict.fromkeys([*columns, "keys", "event_time"]) if c in df.columns]
-    processor = _Sessions(factory, needed, _constant(df, interval_micros(gap)))
-    return _run(_grouped(df.select(*needed), ["keys"]), processor, _result_type())
+    width = interval_micros(gap)
+    rows = df.select(*needed, F.floor(F.unix_micros("event_time") / width).alias("_bucket"))
+    parts = _combine(rows, ["keys", "_bucket"], factory, "event_time")
+    return _run(_grouped(parts, ["keys"]), _Sessions(factory, _constant(df, width)), _result_type())
 
 
 class StreamAccumulator:
