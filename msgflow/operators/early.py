@@ -131,7 +131,6 @@ def early_sum(
     threshold: int = 100,
     *,
     hot_rows: int = O.HOT_ROWS,
-    hot_share: int = O.HOT_SHARE,
 ) -> DataFrame:
     """Add up ``number`` in order; emit and restart at ``threshold``; then emit the rest, even 0.
 
@@ -156,8 +155,8 @@ def early_sum(
         ]
     )
     rows = df.select(*group, *order, F.col(number).cast("bigint").alias("_v"))
-    split = O.segmented(rows, group, order, hot_rows=hot_rows, hot_share=hot_share)
-    no_seg = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c"))
+    split = O.segmented(rows, group, order, hot_rows=hot_rows)
+    no_seg = F.array(F.lit(0))
     if split is None:
         ready = rows.withColumns({"_seg": no_seg, "_hot": F.lit(False), "_kind": F.lit(1)})
         return scan.ordered_scan(ready, [*group, "_seg"], ["_kind", *order], _sum_run(group, threshold), out_type)
@@ -177,7 +176,7 @@ def early_sum(
         ]
     )
     steps = scan.ordered_scan(floored, [*group, "_seg"], order, _step_run(group, threshold), step_type)
-    # The steps of a hot group: at most PIECES per level, each a short table.
+    # The steps of a hot group: one per segment, each a short table.
     carry_type = T.StructType(
         [*fields, split.schema["_seg"], T.StructField("_v", T.LongType()), T.StructField("_last", T.BooleanType())]
     )
@@ -208,7 +207,7 @@ def _beside(df: DataFrame, more: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _segment_text(seg: str) -> Column:
-    return F.format_string("%05d.%d.%05d", f"{seg}.a", f"{seg}.b", f"{seg}.c")
+    return F.array_join(F.transform(seg, lambda part: F.format_string("%05d", part)), ".")
 
 
 def _head(batch: pa.RecordBatch, names: Sequence[str]) -> dict:
@@ -227,7 +226,7 @@ def _sum_run(group: Sequence[str], threshold: int):
                 head = _head(batch, group)
                 hot = _column(batch, "_hot")[0].as_py()
                 seg = _column(batch, "_seg")[0].as_py()
-                segment = "%05d.%d.%05d" % (seg["a"], seg["b"], seg["c"])
+                segment = ".".join("%05d" % part for part in seg)
             values = _column(batch, "_v").to_pylist()
             if _column(batch, "_kind")[0].as_py() == 0:
                 acc = values[0]

@@ -19,7 +19,7 @@ from msgflow.operators import session as SE
 from msgflow.operators import watermarks as WM
 
 START = datetime(2024, 1, 1)
-SPLIT = {"hot_rows": 40, "hot_share": 1000}
+SPLIT = {"hot_rows": 40}
 
 
 def skewed(seed: int, n: int = 3000) -> list[tuple]:
@@ -101,6 +101,63 @@ def test_text_ties_are_allowed(spark, data):
     assert O.running_count(df, ["k"], ["t", "s"], **SPLIT).exceptAll(whole).count() == 0
 
 
+def sizes_in_order(seg, order):
+    """Rows per segment; segments must ascend along the order."""
+    rows = seg.filter("_hot").orderBy("k", *[F.col(c).asc_nulls_first() for c in order]).select("k", "_seg").collect()
+    sizes, last = defaultdict(int), {}
+    for r in rows:
+        s = tuple(r._seg)
+        assert last.get(r.k, s) <= s
+        last[r.k] = s
+        sizes[r.k, s] += 1
+    return sizes
+
+
+def test_one_instant_with_text_ids_is_split(spark):
+    """All rows of the hot key at one instant, ids of several lengths with a long common start."""
+    r = random.Random(3)
+    ids = [f"event-of-the-day-{i}" + "\u00e9" * r.randrange(3) + "\0" * r.randrange(3) for i in range(2000)]
+    df = spark.createDataFrame([("hot", START, i) for i in [*ids, None, ""]] + [("k", START, "x")], "k string, t timestamp, id string")
+    sizes = sizes_in_order(O.segmented(df, ["k"], ["t", "id"], **SPLIT), ["t", "id"])
+    assert sum(sizes.values()) == 2002 and max(sizes.values()) <= 3 * SPLIT["hot_rows"]
+    whole = O.running_count(df, ["k"], ["t", "id"])
+    assert O.running_count(df, ["k"], ["t", "id"], **SPLIT).exceptAll(whole).count() == 0
+
+
+def test_big_pieces_are_cut_again(spark, data, monkeypatch):
+    monkeypatch.setattr(O, "PIECES", 4)
+    df = frame(spark, data)
+    sizes = sizes_in_order(O.segmented(df, ["k"], ["t", "s"], **SPLIT), ["t", "s"])
+    assert max(sizes.values()) <= 3 * SPLIT["hot_rows"]
+    whole = O.running_count(df, ["k"], ["t", "s"])
+    assert O.running_count(df, ["k"], ["t", "s"], **SPLIT).exceptAll(whole).count() == 0
+
+
+def test_a_small_share_of_many_rows_is_split(spark):
+    """A bound in rows alone: 200 rows of 100,000 are hot where 40 are the bound."""
+    rows = spark.range(100_000).select(
+        F.when(F.col("id") < 200, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.timestamp_seconds("id").alias("t"), F.col("id").alias("s"),
+    )
+    sizes = sizes_in_order(O.segmented(rows, ["k"], ["t", "s"], **SPLIT), ["t", "s"])
+    assert sum(sizes.values()) == 200 and max(sizes.values()) <= 2 * SPLIT["hot_rows"]
+
+
+def test_large_numbers_are_told_apart(spark):
+    """Ties beyond 2^53, where quantiles as doubles can't tell neighbours apart."""
+    rows = spark.range(500).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.lit(5)).alias("t"), (F.col("id") + 2**62).alias("s"))
+    sizes = sizes_in_order(O.segmented(rows, ["k"], ["t", "s"], **SPLIT), ["t", "s"])
+    assert sum(sizes.values()) == 500 and max(sizes.values()) <= 3 * SPLIT["hot_rows"]
+
+
+def test_large_cut_tables_are_not_broadcast(spark, data, monkeypatch):
+    monkeypatch.setattr(O, "BROADCAST_BYTES", 0)
+    df = frame(spark, data)
+    out = O.running_count(df, ["k"], ["t", "s"], **SPLIT)
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
+    assert out.exceptAll(O.running_count(df, ["k"], ["t", "s"])).count() == 0
+
+
 def test_text_first_order_column_is_refused(spark, data):
     with pytest.raises(TypeError):
         O.running_count(frame(spark, data), ["k"], ["k"])

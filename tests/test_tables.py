@@ -42,7 +42,7 @@ def test_side_input_needs_no_join(spark):
     assert "Join" not in plan and "CartesianProduct" not in plan
 
 
-@pytest.mark.parametrize("split", [{}, {"hot_rows": 20, "hot_share": 1000}])
+@pytest.mark.parametrize("split", [{}, {"hot_rows": 20}])
 def test_asof_against_brute_force(spark, split):
     r = random.Random(4)
     versions = [("a" if r.random() < 0.7 else "b", i, r.randrange(500), f"v{i}", r.random() < 0.2) for i in range(60)]
