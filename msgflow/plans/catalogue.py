@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from msgflow.plans import (  # noqa: F401
+    boundary_queries,
     capture_queries,
     handler_queries,
     message_queries,
