@@ -261,6 +261,25 @@ class EventLog(custom.Source):
     def latest(self, partition):
         return self._begin(partition + 1) - self._begin(partition)
 
+    def prune(self, partition, start, end, bounds):
+        """Row groups whose event times are all outside the bounds are left out, by the statistics in the footers."""
+        low, high = self._begin(partition) + start, self._begin(partition) + end
+        out, at = [], 0
+        for name, held in zip(self.files, self.rows):
+            if at < high and at + held > low:
+                footer = pq.read_metadata(name)
+                time = footer.schema.names.index("ts")
+                first = at
+                for group in map(footer.row_group, range(footer.num_row_groups)):
+                    last = first + group.num_rows
+                    known = group.column(time).statistics
+                    sure = known is not None and known.has_min_max and known.null_count == 0
+                    if not sure or bounds.overlaps(known.min, known.max):
+                        out.append((max(first, low) - self._begin(partition), min(last, high) - self._begin(partition)))
+                    first = last
+            at += held
+        return out
+
     def read(self, partition, start, end):
         low, high = self._begin(partition) + start, self._begin(partition) + end
         at = 0
@@ -322,3 +341,20 @@ def source_stream(spark, base):
     custom.register_source(spark, "event_log", EventLog)
     reader = spark.readStream.format("event_log").option("path", f"{base}/events.parquet")
     return _source_rows(run.run_to_table(reader.option("rows_per_task", 50_000).load()))
+
+
+@query(
+    "source_pushdown",
+    f"""
+    SELECT * FROM ({_SOURCE_SQL})
+    WHERE partition_id IN (1, 2) AND event_time >= '2024-01-10 12:00:00.000000' AND event_time < '2024-01-20 00:00:00.000000'
+    """,
+)
+def source_pushdown(spark, base):
+    """Filters on partition and event time reach the source, which then leaves out what it knows not to match."""
+    spark.conf.set(custom.PUSHDOWN, "true")
+    custom.register_source(spark, "event_log", EventLog)
+    rows = spark.read.format("event_log").option("path", f"{base}/events.parquet").option("rows_per_task", 50_000).load()
+    at = F.col("event_time")
+    asked = (at >= F.lit("2024-01-10 12:00:00").cast("timestamp")) & (at < F.lit("2024-01-20").cast("timestamp"))
+    return _source_rows(rows.filter(F.col("offset.partition_id").isin(1, 2) & asked))

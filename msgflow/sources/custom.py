@@ -4,6 +4,10 @@ A source tells its partitions and, per partition, a range of consecutive offset
 slices of those ranges in parallel tasks, so a partition that holds most rows is still spread. The
 end of a committed micro-batch is acknowledged to the source. Refused rows come back through
 :func:`msgflow.streaming.sinks.with_redelivery`.
+
+Where ``spark.sql.python.filterPushdown.enabled`` is true when a source is registered, batch reads
+hand it the filters on event time and partition: partitions left out are not asked, and
+:meth:`Source.prune` may leave out offset ranges. Spark applies every filter to the rows again.
 """
 
 from __future__ import annotations
@@ -12,11 +16,23 @@ import json
 from abc import ABC, abstractmethod
 from collections.abc import Iterator
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    LessThan,
+    LessThanOrEqual,
+)
 
 from msgflow.constants import MISSING_TIME
 from msgflow.operators import envelope as E
@@ -25,6 +41,7 @@ from msgflow.operators import scan
 FIELDS = ("id", "keys", "value", "event_time", "headers", "user_metadata", "offset")
 SCHEMA = T.StructType([E.ENVELOPE[f] for f in FIELDS])
 UNKNOWN = -1
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
 @dataclass
@@ -39,6 +56,59 @@ class SourceRow:
     user_metadata: dict[str, dict[str, bytes]] | None = None
 
 
+def _utc(at: datetime) -> datetime:
+    return at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+
+
+@dataclass
+class Bounds:
+    """What filters ask for: event times from ``low`` to ``high``, both included, as UTC; None: no bound."""
+
+    low: datetime | None = None
+    high: datetime | None = None
+    asked: set[int] | None = None  # the only partitions asked for
+    low_partition: int | None = None
+    high_partition: int | None = None
+
+    @classmethod
+    def of(cls, filters: list[Filter]) -> Bounds:
+        """Filters on other columns, of other kinds or with NULL bound nothing."""
+        out = cls()
+        for f in filters:
+            path, value = getattr(f, "attribute", None), getattr(f, "value", None)
+            if path == ("event_time",) and isinstance(value, datetime):
+                out._time(f, _utc(value))
+            elif path == ("offset", "partition_id"):
+                out._partition(f, value)
+        return out
+
+    def _time(self, f: Filter, at: datetime) -> None:
+        if isinstance(f, EqualTo | GreaterThan | GreaterThanOrEqual):
+            self.low = at if self.low is None else max(self.low, at)
+        if isinstance(f, EqualTo | LessThan | LessThanOrEqual):
+            self.high = at if self.high is None else min(self.high, at)
+
+    def _partition(self, f: Filter, number: int | tuple | None) -> None:
+        values = set(f.value) if isinstance(f, In) else {number} if isinstance(f, EqualTo) else None
+        if values is not None:
+            self.asked = values if self.asked is None else self.asked & values
+        elif isinstance(f, GreaterThan | GreaterThanOrEqual) and number is not None:
+            self.low_partition = number if self.low_partition is None else max(self.low_partition, number)
+        elif isinstance(f, LessThan | LessThanOrEqual) and number is not None:
+            self.high_partition = number if self.high_partition is None else min(self.high_partition, number)
+
+    def has_partition(self, p: int) -> bool:
+        if self.asked is not None and p not in self.asked:
+            return False
+        above = self.low_partition is None or p >= self.low_partition
+        return above and (self.high_partition is None or p <= self.high_partition)
+
+    def overlaps(self, first: datetime, last: datetime) -> bool:
+        """Whether a row with an event time from ``first`` to ``last`` may be asked for."""
+        after = self.low is None or _utc(last) >= self.low
+        return after and (self.high is None or _utc(first) <= self.high)
+
+
 class Source(ABC):
     """What a user writes. Instances are made on the driver and in tasks, from the same options."""
 
@@ -64,6 +134,13 @@ class Source(ABC):
     def read(self, partition: int, start: int, end: int) -> Iterator[SourceRow]:
         """The rows at offset numbers start..end-1, in order."""
 
+    def prune(self, partition: int, start: int, end: int, bounds: Bounds) -> list[tuple[int, int]]:
+        """The offset ranges within start..end-1 that may hold rows within ``bounds``; all by default.
+
+        A row without an event time counts as one of year 1 (``MISSING_TIME``).
+        """
+        return [(start, end)]
+
     def ack(self, partition: int, end: int) -> None:
         """Everything before ``end`` has been processed."""
 
@@ -77,10 +154,10 @@ class _Slice(InputPartition):
         self.partition, self.start, self.end = partition, start, end
 
 
-def _slices(ranges: dict[int, tuple[int, int]], rows_per_task: int) -> list[_Slice]:
+def _slices(ranges: list[tuple[int, int, int]], rows_per_task: int) -> list[_Slice]:
     return [
         _Slice(p, at, min(at + rows_per_task, end))
-        for p, (start, end) in sorted(ranges.items())
+        for p, start, end in sorted(ranges)
         for at in range(start, end, rows_per_task)
     ]
 
@@ -108,9 +185,11 @@ class _Reader(DataSourceReader):
     def __init__(self, make, rows_per_task: int) -> None:
         self.make, self.rows_per_task = make, rows_per_task
 
+    def _ranges(self, source: Source) -> list[tuple[int, int, int]]:
+        return [(p, source.first(p), source.latest(p)) for p in source.partitions()]
+
     def partitions(self):
-        source = self.make()
-        ranges = {p: (source.first(p), source.latest(p)) for p in source.partitions()}
+        ranges = self._ranges(self.make())
         return _slices(ranges, self.rows_per_task) or [_Slice(0, 0, 0)]
 
     def read(self, partition):
@@ -119,6 +198,21 @@ class _Reader(DataSourceReader):
         yield from _read(self.make(), partition)
 
 
+class _PruningReader(_Reader):
+    bounds = Bounds()
+
+    def pushFilters(self, filters):
+        self.bounds = Bounds.of(filters)
+        return filters
+
+    def _ranges(self, source: Source) -> list[tuple[int, int, int]]:
+        out = []
+        for p in filter(self.bounds.has_partition, source.partitions()):
+            asked = source.prune(p, source.first(p), source.latest(p), self.bounds)
+            out += [(p, start, end) for start, end in asked if start < end]
+        return out
+
+
 class _StreamReader(DataSourceStreamReader):
     def __init__(self, make, rows_per_task: int, num_records: int | None) -> None:
         self.make, self.rows_per_task, self.num_records = make, rows_per_task, num_records
@@ -163,7 +257,7 @@ class _StreamReader(DataSourceStreamReader):
             if high < low:
                 raise ValueError(f"partition {p} resumes at {low}: num_records needs a source that keeps acknowledgements")
         self.position = {p: stop for p, (_, stop) in ranges.items()}
-        return _slices(ranges, self.rows_per_task)
+        return _slices([(p, *r) for p, r in ranges.items()], self.rows_per_task)
 
     def read(self, partition):
         yield from _read(self.make(), partition)
@@ -179,6 +273,7 @@ def register_source(spark: SparkSession, name: str, source: type[Source]) -> Non
     Options: ``num_records`` (most rows per partition and micro-batch; use a repeating trigger with
     it) and ``rows_per_task``; all options are passed to the source.
     """
+    batch_reader = _PruningReader if spark.conf.get(PUSHDOWN, "false") == "true" else _Reader
 
     class UserSource(DataSource):
         @classmethod
@@ -199,7 +294,7 @@ def register_source(spark: SparkSession, name: str, source: type[Source]) -> Non
 
         def reader(self, schema):
             make, rows, _ = self._setup()
-            return _Reader(make, rows)
+            return batch_reader(make, rows)
 
         def streamReader(self, schema):
             make, rows, limit = self._setup()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -250,6 +250,62 @@ def test_source_batch_read(spark, tmp_path):
     assert rows[0]["keys"] == ["test_key"] and bytes(rows[0].user_metadata["custom_info"]["custom_key"]) == b"v"
 
 
+class Clocked(custom.Source):
+    """One row a second on each of two partitions; reading a row that nobody asked for fails."""
+
+    def partitions(self):
+        return [0, 1]
+
+    def latest(self, partition):
+        return 100
+
+    def prune(self, partition, start, end, bounds):
+        return [(i, i + 10) for i in range(start, end, 10) if bounds.overlaps(self._at(i), self._at(i + 9))]
+
+    def _at(self, n):
+        return datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=n)
+
+    def read(self, partition, start, end):
+        allowed = [int(n) for n in self.options["allowed"].split("-")]
+        if partition != 1 or start < allowed[0] or end > allowed[1]:
+            raise ValueError(f"partition {partition}, rows {start} to {end} were not asked for")
+        for n in range(start, end):
+            yield custom.SourceRow(str(n).encode(), event_time=self._at(n))
+
+
+@pytest.mark.parametrize(
+    ("asked", "allowed", "want"),
+    [
+        ("event_time >= '2024-01-01 00:00:25' AND event_time < '2024-01-01 00:00:31'", "20-40", range(25, 31)),
+        ("event_time = '2024-01-01 00:00:40'", "40-50", [40]),
+        ("event_time > '2024-01-01 00:01:35' AND value <> CAST('97' AS BINARY)", "90-100", [96, 98, 99]),
+        ("event_time > '2025-01-01'", "0-0", []),
+        ("event_time < '2024-01-01 00:00:03' OR event_time > '2024-01-01 00:01:37'", "0-100", [0, 1, 2, 98, 99]),
+    ],
+)
+def test_source_reads_only_what_filters_ask(spark, asked, allowed, want):
+    from msgflow.session import ship_package
+
+    ship_package(spark)
+    spark.conf.set(custom.PUSHDOWN, "true")
+    try:
+        custom.register_source(spark, "clocked_rows", Clocked)
+        rows = spark.read.format("clocked_rows").option("allowed", allowed).load()
+        got = rows.filter(f"offset.partition_id >= 1 AND ({asked})")
+        assert sorted(int(bytes(r.value)) for r in got.collect()) == list(want)
+    finally:
+        spark.conf.unset(custom.PUSHDOWN)
+
+
+def test_bounds_of_partitions():
+    at = ("offset", "partition_id")
+    few = custom.Bounds.of([custom.In(at, (1, 2, 5)), custom.LessThan(at, 5), custom.GreaterThan(at, 1)])
+    assert [p for p in range(7) if few.has_partition(p)] == [1, 2, 5]  # bounds may be too wide, never too narrow
+    none = custom.Bounds.of([custom.EqualTo(at, 1), custom.EqualTo(at, 2)])
+    assert not any(none.has_partition(p) for p in range(4))
+    assert all(custom.Bounds.of([custom.EqualTo(("id",), "1-0")]).has_partition(p) for p in range(4))
+
+
 def test_source_progress(spark, tmp_path):
     source = Fixed({"acks": str(tmp_path / "acks")})
     assert custom.pending(source) == custom.UNKNOWN
