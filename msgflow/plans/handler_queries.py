@@ -252,7 +252,7 @@ def reduce_mergeable_handler(spark, base):
     f"SELECT key, window_start, window_end, counter, cents FROM ({SESSION_SQL.format(key='event_type', gap='40 MINUTE')})",
 )
 def session_mergeable_handler(spark, base):
-    out = G.session_handler(event_messages(spark, base), "40 minutes", _CountAndSum, columns=("value",), block=8)
+    out = G.session_handler(event_messages(spark, base), "40 minutes", _CountAndSum, columns=("value",))
     return out.select(
         F.element_at("keys", 1).alias("key"),
         time_text("window.start").alias("window_start"),

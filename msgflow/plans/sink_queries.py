@@ -179,10 +179,7 @@ def side_input_asof(spark, base):
     )
     rows = event_messages(spark, base, "event_id", "event_type")
     name = F.when(F.col("event_type") == "view", "click").otherwise(F.col("event_type"))
-    # Low bounds on a hot group, so that every name here takes the segmented way.
-    out = SI.side_input_asof(
-        rows.withColumn("name", name), versions, order=("event_time", "event_id"), hot_rows=300
-    )
+    out = SI.side_input_asof(rows.withColumn("name", name), versions, order=("event_time", "event_id"))
     return out.select("event_id", F.coalesce("version", F.lit(-1)).alias("version"), S.bytes_to_text("side_input").alias("value_text"))
 
 

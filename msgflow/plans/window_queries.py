@@ -186,15 +186,19 @@ def early_running(spark, base):
     return EA.early_running(rows, ["window", "keys"], ["event_time", "event_id"]).select("event_id", "counter")
 
 
-@query(
-    "running_counter",
-    """
-    SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS counter FROM events
-    """,
-)
+_RUNNING_SQL = "SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS counter FROM events"
+
+
+@query("running_counter", _RUNNING_SQL)
 def running_counter(spark, base):
     rows = event_messages(spark, base, "event_id")
-    # Low bounds on a hot group, so that every key here takes the segmented way.
+    return A.running_counter(rows, ["keys"], ["event_time", "event_id"]).select("event_id", "counter")
+
+
+@query("running_counter_hot_keys", _RUNNING_SQL)
+def running_counter_hot_keys(spark, base):
+    # A low bound on a hot group, so that every key here takes the segmented way.
+    rows = event_messages(spark, base, "event_id")
     return A.running_counter(rows, ["keys"], ["event_time", "event_id"], hot_rows=300).select("event_id", "counter")
 
 
@@ -341,9 +345,7 @@ def sorted_stream(spark, base):
     """,
 )
 def late_split(spark, base):
-    rows = WM.with_watermark_column(
-        _arrivals(spark, base), ["source"], ["arrival", "event_id"], "1 hour", hot_rows=300
-    )
+    rows = WM.with_watermark_column(_arrivals(spark, base), ["source"], ["arrival", "event_id"], "1 hour")
     return rows.select("event_id", "source", time_text("watermark").alias("watermark"), WM.is_late().alias("late"))
 
 
