@@ -15,7 +15,7 @@ from msgflow.streaming import run
 from tests.oracle import compare, connect
 
 BASE = "/root/testdata/sf0.001"
-NAMES = ["stream_reduce", "stream_transform", "stream_sessions", "stream_sink_routes", "source_read", "source_stream"]
+NAMES = ["stream_reduce", "stream_transform", "stream_sessions", "stream_sink_routes", "source_read", "source_stream", "source_pushdown"]
 
 
 @pytest.fixture(scope="module")
