@@ -13,13 +13,18 @@ when their sets have a Jaccard similarity of 3/4 or more.
    have fewer (small sets in crowded parts) add their single shingles as signatures, which they share among each other.
 4. Count filter. A set with p parts needs p - k agreements with a partner, so sets with fewer repeated signatures than
    that, among all sets, have no link and leave: texts that merely share a passage do.
-5. Families. Sets that are equal become one, and the filter runs again. Sets that share a signature, directly or through
-   others, are a family: every link is inside one. Sets that meet inside a task are combined before the shuffle. A family is compared in blocks of at most ``BLOCK`` sets, a task for
-   each block and each pair of blocks, by counting common shingles exactly. A task returns a spanning forest of its links,
-   so a group of near copies is as many rows as it has members, and no link between components is missed.
-
-Signatures travel as packed arrays, one row per task, batch and bucket of signatures, and a bucket is grouped by sorting
-an array. Buckets are as many as the texts ask for. Sets are compared by the 64-bit hashes of their shingles.
+5. Prefixes. Sets that are equal become one, and the filter runs again. A set then keeps all but the n - 1 signatures that
+   most sets have, n being the agreements it needs: of the signatures that two partners share, the one that fewest sets
+   have is kept by both. Passages that many texts share join no others.
+6. Families. Sets that share a kept signature, directly or through others, are a family: every link is inside one. A
+   family is compared in blocks of some ``BLOCK`` sets, a task for each block and each pair of blocks, by counting common
+   shingles exactly. A task returns a spanning forest of its links, so a group of near copies is as many rows as it has
+   members, and no link between components is missed.
+
+Signatures travel as packed arrays, one row per batch of sets and bucket of signatures; a bucket answers with one packed row
+per batch, and a batch adds up its own. Buckets are as many as the texts ask for. Sets are compared by the 64-bit hashes of
+their shingles. A batch numbers its sets in the order of the rows, so ``docs`` should be a stored table; where a task that
+ran again met another order, the query fails.
 
 Rows of equal id are one node of the graph, each row with its own n_shingles. A null id has no links and a null
 component. A null or empty text has no shingles and is its own component. Extra columns are not returned: join by id.
@@ -33,6 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +48,7 @@ from msgflow.llm.components import components
 WIDTH = 5
 PARTS = 0.45  # of an instance, for each shingle of its largest sets
 FLUSH = 1_000_000  # signatures that a task holds
+BATCH_SETS = 30_000  # a task holds; two owners each, in 16 bits
 BUCKET_BYTES = 32 << 20  # of text for each bucket of signatures
 BLOCK = 2048  # sets of a family that are compared in one task
 BROADCAST_IDS = 1_000_000  # 8 bytes each; beyond it texts are shuffled to the ids
@@ -121,102 +128,166 @@ def signatures(shingles: np.ndarray) -> list[tuple[np.ndarray, int]]:
     return out
 
 
+#: What a batch knows of a set: its id, size and hash, and of either instance its signatures and the agreements it needs.
+INFO = np.dtype(
+    [("id", "<i8"), ("known", "?"), ("size", "<i8"), ("high", "<i8"), ("low", "<i8"), ("n", "<i4", 2), ("need", "<i4", 2)]
+)
+#: A batch's signatures in a bucket, or, with ``pieces``, what it knows of its sets and how many such rows it has.
+PACKED_SQL = "bucket int, batch long, pieces int, signatures binary, owners binary, info binary"
 PACKED = pa.schema(
     [
         ("bucket", pa.int32()),
-        ("signatures", pa.binary()),
-        ("owners", pa.binary()),
-        ("info", pa.binary()),
+        ("batch", pa.int64()),
+        ("pieces", pa.int32()),
+        *[(f, pa.binary()) for f in ("signatures", "owners", "info")],
     ]
 )
-PACKED_SQL = "bucket int, signatures binary, owners binary, info binary"
-#: One owner: a set in an instance, and how many of the row's signatures are its own.
-OWNER = np.dtype([("id", "<i8"), ("instance", "<i4"), ("n", "<i4")])
-INFO = np.dtype(
-    [("id", "<i8"), ("known", "?"), ("size", "<i8"), ("high", "<i8"), ("low", "<i8"), ("need0", "<i4"), ("need1", "<i4")]
-)
+
+
+def by_bucket(values: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    """(bucket, places of its signatures in order)."""
+    bucket = (values % U(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    return [(int(bucket[part[0]]), part) for part in np.split(order, edges[1:]) if len(part)]
 
 
 class Packer:
-    """Gathers signatures of sets and gives them out by bucket."""
+    """Gathers signatures of sets and gives them out by bucket. A batch is what is given out at once.
+
+    A signature's owner is the place of its set in the batch, twice that and the instance; ascending, it travels as steps
+    of two bytes, so a set costs the same however many buckets there are.
+    """
 
     def __init__(self, buckets: int):
-        self.buckets, self.serial = buckets, 0
+        self.buckets, self.batch = buckets, TaskContext.get().partitionId() << 32
         self.clear()
 
     def clear(self) -> None:
         self.found, self.owners, self.info, self.held = [], [], [], 0
 
-    def add(self, node: int, found: list[tuple[np.ndarray, int]]) -> None:
+    def add(self, node: int | None, size: int, digest: tuple[int, int], found: list[tuple[np.ndarray, int]]) -> None:
         for instance, (values, _) in enumerate(found):
             self.found.append(values)
-            self.owners.append((node, instance, len(values)))
+            self.owners.append(2 * len(self.info) + instance)
             self.held += len(values)
+        n = ([len(values) for values, _ in found] + [0, 0])[:2]
+        need = ([need for _, need in found] + [1 << 30, 1 << 30])[:2]
+        self.info.append((node or 0, node is not None, size, *digest, n, need))
+
+    def full(self) -> bool:
+        return self.held >= FLUSH or len(self.info) >= BATCH_SETS
 
-    def flush(self, known: bytes | None = None) -> Iterator[pa.RecordBatch]:
-        if not self.owners and not self.info:
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.info:
             return
-        self.serial += 1
-        info = np.array(self.info, dtype=INFO).tobytes() if known is None else known
-        values = np.concatenate(self.found) if self.found else np.empty(0, U)
-        owners = np.array(self.owners, dtype=OWNER)
-        owner = np.repeat(np.arange(len(owners)), owners["n"])
-        bucket = (values % U(self.buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist()
+        values = np.concatenate([*self.found, np.empty(0, U)])
+        owner = np.repeat(np.array(self.owners, dtype=np.int64), [len(x) for x in self.found])
+        parts = by_bucket(values, self.buckets)
         # What is known of the sets rides in a row of its own, to a bucket that changes.
-        spread = self.info[0][2] if self.info else int(values[0] % U(self.buckets))
-        rows = [((int(self.serial + spread) % self.buckets), b"", b"", info)]
-        for start, end in zip(edges, [*edges[1:], len(order)]):
-            part = order[start:end]
-            mine, counts = np.unique(owner[part], return_counts=True)
-            own = owners[mine]
-            own["n"] = counts
-            rows.append((int(bucket[part[0]]), values[part].tobytes(), own.tobytes(), b""))
+        spread = (self.batch + (self.batch >> 32)) % self.buckets
+        rows = [(spread, self.batch, len(parts), b"", b"", np.array(self.info, dtype=INFO).tobytes())]
+        for bucket, part in parts:
+            steps = np.diff(owner[part], prepend=0).astype("<u2")
+            rows.append((bucket, self.batch, None, values[part].tobytes(), steps.tobytes(), b""))
         for row in rows:
             yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, PACKED)], schema=PACKED)
+        self.batch += 1
         self.clear()
 
 
-def _unpack(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a bucket: owners, and for each repeated signature in order its number and the places of its owners."""
-    values = np.concatenate([np.frombuffer(x.as_py(), U) for x in rows["signatures"]])
-    owners = np.concatenate([np.frombuffer(x.as_py(), OWNER) for x in rows["owners"]])
-    owner = np.repeat(np.arange(len(owners), dtype=np.int32), owners["n"])
+def _repeated(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[int], np.ndarray]:
+    """Of a bucket: its signatures and their owners by row, where rows begin, and how many sets have each signature."""
+    values = [np.frombuffer(x.as_py(), U) for x in rows["signatures"]]
+    owner = [np.cumsum(np.frombuffer(x.as_py(), "<u2"), dtype=np.int32) for x in rows["owners"]]
+    starts = np.cumsum([0, *map(len, values)]).tolist()
+    values, owner = np.concatenate(values), np.concatenate(owner)
     order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    del order
-    number = np.cumsum(np.concatenate([[False], values[1:] != values[:-1]]), dtype=np.int32) if len(values) else owner
-    repeated = np.bincount(number)[number] > 1 if len(number) else np.empty(0, bool)
-    return owners, number[repeated], owner[repeated]
+    first = np.flatnonzero(np.diff(values[order], prepend=~values[order][:1]))
+    times = np.empty(len(values), dtype=np.int32)
+    times[order] = np.repeat(*[np.diff([*first, len(values)]).astype(np.int32)] * 2)
+    return values, owner, starts, times
+
+
+def _back(rows: pa.Table, give) -> pa.Table:
+    """Rows of a bucket sent back to their batches, with (owners, counts, signatures) that ``give`` makes of each."""
+    values, owner, starts, times = _repeated(rows)
+    out = []
+    for r, start, end in zip(rows.select(["batch", "pieces", "info"]).to_pylist(), starts, starts[1:]):
+        hit = start + np.flatnonzero(times[start:end] > 1)
+        found = give(owner[hit], times[hit], values[hit])
+        out.append(r | dict(zip(("owners", "counts", "signatures"), [x.tobytes() for x in found])))
+    return pa.Table.from_pylist(out, schema=BACK)
 
 
-COUNTED = "id long, known boolean, size long, high long, low long, need0 int, need1 int, instance int, n int"
-COUNTED_ARROW = pa.schema(
+BACK_SQL = "batch long, pieces int, info binary, owners binary, counts binary, signatures binary"
+BACK = pa.schema(
     [
-        ("id", pa.int64()),
-        ("known", pa.bool_()),
-        *[(f, pa.int64()) for f in ("size", "high", "low")],
-        *[(f, pa.int32()) for f in ("need0", "need1", "instance", "n")],
+        ("batch", pa.int64()),
+        ("pieces", pa.int32()),
+        *[(f, pa.binary()) for f in ("info", "owners", "counts", "signatures")],
     ]
 )
 
 
 def _count(rows: pa.Table) -> pa.Table:
-    """What is known of sets, and how many repeated signatures of the bucket each has in either instance."""
-    owners, _, owner = _unpack(rows)
-    counts = np.bincount(owner, minlength=len(owners))
-    hit = counts > 0
-    info = np.concatenate([np.frombuffer(x.as_py(), INFO) for x in rows["info"]])
-    columns = {f: info[f] for f in INFO.names}
-    counted = {"id": owners["id"], "instance": owners["instance"], "n": counts}
-    known = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(len(info), f.type) for f in COUNTED_ARROW]
-    found = [
-        pa.array(counted[f.name][hit], f.type) if f.name in counted else pa.nulls(int(hit.sum()), f.type)
-        for f in COUNTED_ARROW
-    ]
-    parts = [pa.Table.from_arrays(known, schema=COUNTED_ARROW), pa.Table.from_arrays(found, schema=COUNTED_ARROW)]
-    return pa.concat_tables(parts)
+    """How many repeated signatures of the bucket the sets of a batch have, as packed rows of the batch."""
+
+    def give(owner: np.ndarray, _times: np.ndarray, _values: np.ndarray) -> tuple:
+        mine, counts = np.unique(owner, return_counts=True)
+        return mine.astype("<i4"), counts.astype("<i4"), np.empty(0, U)
+
+    return _back(rows, give)
+
+
+def _hits(rows: pa.Table) -> pa.Table:
+    """The repeated signatures of the bucket and how many sets have them, as packed rows of their batches."""
+    return _back(rows, lambda owner, times, values: (owner.astype("<i4"), times.astype("<i4"), values))
+
+
+def _batch(rows: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    """What a batch knows of its sets; all its owners, counts and signatures."""
+    pieces = [x for x in rows["pieces"].to_pylist() if x is not None]
+    if len(pieces) != 1 or rows.num_rows != pieces[0] + 1:
+        raise RuntimeError("a task that ran again read its rows in another order: store the documents first")
+    info = np.frombuffer(b"".join(rows["info"].to_pylist()), INFO)
+    return info, [np.frombuffer(b"".join(rows[f].to_pylist()), t) for f, t in (("owners", "<i4"), ("counts", "<i4"), ("signatures", U))]
+
+
+COUNTED = "id long, known boolean, size long, high long, low long, able boolean"
+
+
+def _able(rows: pa.Table) -> pa.Table:
+    """Every set of a batch, and whether it has enough repeated signatures in an instance."""
+    info, (owner, counts, _) = _batch(rows)
+    n = np.bincount(owner, counts, 2 * len(info)).reshape(-1, 2)
+    able = (n >= info["need"]).any(axis=1)
+    return pa.table({**{f: np.ascontiguousarray(info[f]) for f in ("id", "known", "size", "high", "low")}, "able": able})
+
+
+def _prefixes(buckets: int):
+    """The signatures by which a set meets every partner: all but the ``need - 1`` that most sets have.
+
+    Partners agree on ``need`` signatures at least, so the one of these that fewest sets have is among them for both.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        info, (owner, times, values) = _batch(rows)
+        order = np.lexsort((values, times, owner))
+        owner, values = owner[order], values[order]
+        counts = np.bincount(owner, minlength=2 * len(info))
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        kept = place <= (counts - info["need"].ravel())[owner]
+        ids, values = info["id"][owner[kept] // 2], values[kept]
+        parts = by_bucket(values, buckets)
+        rows = [(bucket, values[part].tobytes(), ids[part].tobytes()) for bucket, part in parts]
+        return pa.table([pa.array(x, t) for x, t in zip(zip(*rows), POSTED.types)], schema=POSTED) if rows else POSTED.empty_table()
+
+    return run
+
+
+POSTED_SQL = "bucket int, signatures binary, ids binary"
+POSTED = pa.schema([("bucket", pa.int32()), ("signatures", pa.binary()), ("ids", pa.binary())])
 
 
 EDGES = "u long, v long"
@@ -248,10 +319,11 @@ def _hung(ids: np.ndarray, number: np.ndarray) -> np.ndarray:
 
 
 def _neighbours(rows: pa.Table) -> pa.Table:
-    """Forests of a bucket's signature groups and of those that were combined before: a row a set and bucket at most."""
-    owners, number, owner = _unpack(rows)
-    before = [np.frombuffer(x.as_py(), np.int64).reshape(-1, 2) for x in rows["info"]]
-    return _edges(np.concatenate([_hung(owners["id"][owner], number), *before]))
+    """A forest of the sets that share a signature of the bucket: a row a set at most."""
+    values, ids = [np.frombuffer(b"".join(rows[f].to_pylist()), t) for f, t in (("signatures", U), ("ids", np.int64))]
+    order = np.argsort(values, kind="stable")
+    number = np.cumsum(np.diff(values[order], prepend=values[order][:1]) != 0)
+    return _edges(_hung(ids[order], number))
 
 
 def forest(sets: list[np.ndarray], one: np.ndarray, other: np.ndarray) -> list[tuple[int, int]]:
@@ -312,17 +384,12 @@ def _sign_texts(buckets: int):
         for batch in batches:
             for node, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
                 shingles = shingle_set(text.as_py(), hashes)
-                high, low, needs = 0, 0, []
+                digest, found = (0, 0), []
                 if len(shingles):
-                    raw = xxhash.xxh3_128_digest(shingles.tobytes())
-                    high, low = np.frombuffer(raw, "<i8").tolist()
-                    if node is not None:
-                        found = signatures(shingles)
-                        needs = [need for _, need in found]
-                        packer.add(node, found)
-                need0, need1 = (*needs, 1 << 30, 1 << 30)[:2]
-                packer.info.append((node or 0, node is not None, len(shingles), high, low, need0, need1))
-                if packer.held >= FLUSH:
+                    digest = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), "<i8").tolist()
+                    found = signatures(shingles) if node is not None else []
+                packer.add(node, len(shingles), digest, found)
+                if packer.full():
                     yield from packer.flush()
         yield from packer.flush()
 
@@ -334,53 +401,14 @@ def _sign_sets(buckets: int):
         packer = Packer(buckets)
         for batch in batches:
             for node, raw in zip(batch["id"].to_pylist(), batch["set"]):
-                found = signatures(np.frombuffer(raw.as_py(), U))
-                packer.add(node, found)
-                packer.info.append((node, True, 0, 0, 0, *([need for _, need in found] + [1 << 30])[:2]))
-                if packer.held >= FLUSH:
+                packer.add(node, 0, (0, 0), signatures(np.frombuffer(raw.as_py(), U)))
+                if packer.full():
                     yield from packer.flush()
         yield from packer.flush()
 
     return run
 
 
-def _sign_families(buckets: int):
-    """Signatures of sets, combined inside the task: sets that share one there become one owner, the least of them."""
-
-    def combined(packer: Packer) -> Iterator[pa.RecordBatch]:
-        if not packer.owners:
-            return
-        values = np.concatenate(packer.found)
-        ids = np.repeat([x[0] for x in packer.owners], [x[2] for x in packer.owners])
-        order = np.argsort(values, kind="stable")
-        number = np.cumsum(np.diff(values[order], prepend=values[order][:1]) != 0)
-        hung = _hung(ids[order], number)
-        nodes, places = np.unique(ids, return_inverse=True)
-        least = nodes.copy()
-        least[np.searchsorted(nodes, hung[:, 0])] = hung[:, 1]
-        owner = least[places]
-        order = np.lexsort((values, owner))
-        owner, values = owner[order], values[order]
-        new = (np.diff(owner, prepend=owner[:1]) != 0) | (np.diff(values, prepend=~values[:1]) != 0)
-        owner, values = owner[new], values[new]
-        packer.clear()
-        starts = np.flatnonzero(np.diff(owner, prepend=owner[:1] - 1))
-        for node, own in zip(owner[starts].tolist(), np.split(values, starts[1:])):
-            packer.add(node, [(own, 0)])
-        yield from packer.flush(hung.tobytes())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(buckets)
-        for batch in batches:
-            for node, raw in zip(batch["id"].to_pylist(), batch["set"]):
-                packer.add(node, signatures(np.frombuffer(raw.as_py(), U)))
-                if packer.held >= FLUSH:
-                    yield from combined(packer)
-        yield from combined(packer)
-
-    return run
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
@@ -388,19 +416,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.binary())], ["id", "set"])
 
 
-def _able(counted: DataFrame, needs: DataFrame) -> DataFrame:
-    """Ids of sets with enough repeated signatures in an instance."""
-    hits = counted.where(F.col("size").isNull()).groupBy("id", "instance").agg(F.sum("n").alias("n"))
-    hits = hits.join(needs.select("id", "need0", "need1"), "id")
-    need = F.when(F.col("instance") == 0, F.col("need0")).otherwise(F.col("need1"))
-    return hits.where(F.col("n") >= need).select("id").distinct()
-
-
 def _family_links(sets: DataFrame, families: DataFrame, buckets: int) -> DataFrame:
     """(u, v): a spanning forest of the links inside every family. ``families`` has (u, v): v names the family of u."""
-    member = sets.join(families, F.col("id") == F.col("u"), "left").select("id", "set", F.coalesce("v", "id").alias("family"))
-    sizes = member.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("n"))
-    blocked = member.join(sizes.where(F.col("n") > 1), "family")
+    sizes = families.groupBy("v").agg(F.ceil((F.count(F.lit(1)) + 1) / BLOCK).cast("int").alias("blocks"))
+    member = families.join(sizes, "v").select("u", "v", "blocks").union(sizes.select("v", "v", "blocks"))
+    member = member.select(F.col("u").alias("id"), F.col("v").alias("family"), "blocks")
+    blocked = sets.join(member, "id")
     blocked = blocked.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = blocked.select("id", "set", "family", "block", "blocks", partner.alias("_p"))
@@ -420,14 +441,13 @@ def linked(docs: DataFrame) -> DataFrame:
     size = source.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = pieces_for(spark, size, BUCKET_BYTES)
     signed = source.mapInArrow(_sign_texts(buckets), PACKED_SQL)
-    counted = stored(signed.groupBy("bucket").applyInArrow(_count, COUNTED), "signed")
-    info = counted.where(F.col("size").isNotNull())
+    counted = signed.groupBy("bucket").applyInArrow(_count, BACK_SQL).groupBy("batch").applyInArrow(_able, COUNTED)
+    info = stored(counted, "signed")
     own = F.when(F.col("known"), F.col("id")).alias("doc_id")
     sets_of = info.where(F.col("known") & (F.col("size") > 0))
     first = sets_of.groupBy("high", "low").agg(F.min("id").alias("rep"))
-    # Sets with enough repeated signatures in one of their instances.
-    able = _able(counted, sets_of).join(sets_of.select("id", "high", "low"), "id")
-    chosen = able.groupBy("high", "low").agg(F.min("id").alias("doc_id"))
+    # Of equal sets one goes on.
+    chosen = sets_of.where("able").groupBy("high", "low").agg(F.min("id").alias("doc_id"))
     chosen = stored(chosen.select("doc_id").distinct(), "candidates")
     hint = F.broadcast if chosen.count() <= BROADCAST_IDS else (lambda frame: frame)
     again = source.join(hint(chosen), "doc_id", "left_semi")
@@ -435,13 +455,11 @@ def linked(docs: DataFrame) -> DataFrame:
     weight = sets.agg(F.sum(F.length("set")).alias("n")).first()["n"] or 0
     buckets = pieces_for(spark, weight, BUCKET_BYTES)
 
-    signed = sets.mapInArrow(_sign_sets(buckets), PACKED_SQL)
     # Again among the candidates, now that equal sets are one.
-    recounted = stored(signed.groupBy("bucket").applyInArrow(_count, COUNTED), "recounted")
-    able = _able(recounted, recounted.where(F.col("size").isNotNull()))
-    sets = stored(sets.join(able, "id"), "sets")
-    signed = sets.mapInArrow(_sign_families(buckets), PACKED_SQL)
-    families = components(signed.groupBy("bucket").applyInArrow(_neighbours, EDGES))
+    signed = sets.mapInArrow(_sign_sets(buckets), PACKED_SQL)
+    hits = signed.groupBy("bucket").applyInArrow(_hits, BACK_SQL)
+    posted = hits.groupBy("batch").applyInArrow(_prefixes(buckets), POSTED_SQL)
+    families = components(posted.groupBy("bucket").applyInArrow(_neighbours, EDGES))
     edges = _family_links(sets, families, buckets)
     # Equal sets hang on the least id that has them; so rows of one id meet, too.
     same = sets_of.join(first, ["high", "low"]).select(F.col("id").alias("u"), F.col("rep").alias("v"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,66 @@ def test_join_odd_rows(spark):
     assert jaccard_join.linked(frame(spark, [])).collect() == []
 
 
+def test_join_passage_that_all_share(spark, monkeypatch):
+    """A text is one row of the count whatever the buckets, and a passage in every text makes no family of all."""
+    passage = [f"p{k}" for k in range(12)]
+    rows = []
+    for k in range(30):
+        own = [f"t{k}w{i}" for i in range(90)]
+        rows += [(2 * k, " ".join(passage + own)), (2 * k + 1, " ".join(passage + own[:-1] + ["end"]))]
+    counts, kept, links = {}, jaccard_join.stored, jaccard_join._family_links
+
+    def stored(frame, purpose):
+        out = kept(frame, purpose)
+        counts[purpose] = out.count()
+        return out
+
+    def family_links(sets, families, buckets):
+        counts["families"] = [r["count"] for r in families.groupBy("v").count().collect()]
+        return links(sets, families, buckets)
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    monkeypatch.setattr(jaccard_join, "_family_links", family_links)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.linked(frame(spark, rows)).collect()}
+    assert got == plain_components(rows)
+    assert counts["signed"] == len(rows)
+    assert counts["families"] == [1] * 30
+
+
+def test_join_wants_the_rows_of_a_batch():
+    info = np.zeros(2, dtype=jaccard_join.INFO).tobytes()
+    row = {"batch": 1, "pieces": 2, "info": info, "owners": b"", "counts": b"", "signatures": b""}
+    piece = row | {"pieces": None, "info": b""}
+    whole = pa.Table.from_pylist([piece, row, piece], schema=jaccard_join.BACK)
+    assert len(jaccard_join._able(whole)) == 2
+    with pytest.raises(RuntimeError, match="another order"):
+        jaccard_join._able(whole.slice(1))
+
+
+def test_kept_signatures_meet():
+    """Of any two linked sets each keeps a signature that the other keeps, by any order of how many have them."""
+    rng = np.random.default_rng(2)
+    for size in [*range(1, 40), 55, 120, 300]:
+        one = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for _ in range(5):
+            drop = rng.integers(0, size // 4 + 1)
+            more = rng.integers(0, 2**63, max(0, (size - drop) * 4 // 3 - size)).astype(np.uint64)
+            other = np.unique(np.concatenate([one[drop:], more]))
+            common = len(np.intersect1d(one, other))
+            if 100 * common < 75 * (len(one) + len(other) - common):
+                continue
+            salt = int(rng.integers(100))
+            kept = []
+            for shingles in (one, other):
+                found = zip(jaccard_join.instances(len(shingles)), jaccard_join.signatures(shingles))
+                by_number = {}
+                for (n, _), (values, need) in found:
+                    order = np.argsort(jaccard_join.mix(values, salt))
+                    by_number[n] = set(values[order][: len(values) - need + 1].tolist())
+                kept.append(by_number)
+            assert any(kept[0][n] & kept[1][n] for n in kept[0].keys() & kept[1].keys())
+
+
 def test_signatures_meet():
     """Any two linked sets share a signature in one of their instances, and as many as either needs."""
     rng = np.random.default_rng(1)
