@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -141,19 +141,30 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def unpacked(row: dict) -> tuple[list[bytes], np.ndarray]:
+    """The chunks of a block, and for each the place of its language, its tail and its weight."""
+    n = int.from_bytes(row["meta"][:8], "little")
+    meta = np.frombuffer(pa.decompress(row["meta"][8:], decompressed_size=24 * n, codec="zstd", asbytes=True), dtype="<i8").reshape(3, n)
+    return pa.decompress(row["body"], decompressed_size=row["size"], codec="zstd", asbytes=True).split(b"\n"), meta
+
+
+def _lengths(chunks: list[bytes]) -> np.ndarray:
+    """Words of each chunk."""
+    return np.fromiter((c.count(b" ") + 1 for c in chunks), dtype=np.int64, count=len(chunks))
+
+
 class Block:
     """The words of a block: numbers into its vocabulary, and for each place how many words may follow and its weight."""
 
     def __init__(self, row: dict):
-        n = int.from_bytes(row["meta"][:8], "little")
-        meta = np.frombuffer(pa.decompress(row["meta"][8:], decompressed_size=24 * n, codec="zstd", asbytes=True), dtype="<i8").reshape(3, n)
-        chunks = pa.decompress(row["body"], decompressed_size=row["size"], codec="zstd", asbytes=True).split(b"\n")
+        chunks, meta = unpacked(row)
         self.langs = row["langs"]
-        number: dict[bytes, int] = {}
-        lists = [c.split(b" ") for c in chunks]
-        lengths = np.array([len(x) for x in lists], dtype=np.int64)
-        total = int(lengths.sum())
-        self.codes = np.fromiter((number.setdefault(w, len(number)) for x in lists for w in x), dtype=np.int64, count=total)
+        number: dict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        words = b" ".join(chunks).split(b" ")
+        lengths = _lengths(chunks)
+        total = len(words)
+        self.codes = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=total)
         self.words = list(number)
         ends = np.cumsum(lengths)
         inside = np.arange(total) - np.repeat(ends - lengths, lengths)
@@ -347,9 +358,9 @@ def totals(packed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = Block(row)
-                n = _added(block.lang[block.own], block.weight[block.own], len(block.langs))
-                yield pa.RecordBatch.from_arrays([pa.array(block.langs, type=pa.string()), pa.array(n)], names=["lang", "n"])
+                chunks, (lang, tail, weight) = unpacked(row)
+                n = _added(lang, (_lengths(chunks) - tail) * weight, len(row["langs"]))
+                yield pa.RecordBatch.from_arrays([pa.array(row["langs"], type=pa.string()), pa.array(n)], names=["lang", "n"])
 
     return packed.mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
 

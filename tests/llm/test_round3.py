@@ -324,3 +324,18 @@ def test_phrase_query_spans_a_very_long_text(spark, tmp_path):
     rows = [(1, text, "en", None, None), (2, text, "en", None, None), (3, None, None, None, None)]
     out = QUERIES["op12_collocations"](spark, store(spark, tmp_path, rows)).collect()
     assert [(r.phrase, r.a, r.n) for r in out] == [("the long road", 80_000, 240_000)]
+
+
+def test_totals_come_from_chunks_alone(spark):
+    """Words of a language without its chunks' overlaps; a block's chunks come back without its words being numbered."""
+    rows = [("a", "x y z. " + "the of and to in is " * 40), ("b", "p q, r"), (None, "the of and"), ("a", ""), ("c", None)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    packed = collocations.blocks(collocations.dictionary(docs, F.col("lang"), F.col("text")))
+    got = {r["lang"]: r["n"] for r in collocations.totals(packed).collect()}
+    assert got == {"a": 243, "b": 3, "und": 3}
+    for r in packed.collect():
+        row = r.asDict()
+        chunks, meta = collocations.unpacked(row)
+        block = collocations.Block(row)
+        assert [block.words[i] for i in block.codes] == b" ".join(chunks).split(b" ")
+        assert meta.shape == (3, len(chunks)) and int(block.own.sum()) == sum(len(c.split()) for c in chunks) - meta[1].sum()
