@@ -10,7 +10,7 @@ that does not depend on the corpus, while the words' counts cover all of it.
    and the block's vocabulary with its training counts, packed by hash bucket of the word.
 2. ``word_counts``: per bucket, counts of a word are summed over blocks and sent back to each of them. A block has a word
    once, so a frequent word is as many entries as there are blocks, and no table of all words exists anywhere.
-3. ``train``: Baum-Welch. Every task runs forward and backward passes over its training texts from their first to their
+3. ``train``: Baum-Welch. ``training_texts`` stores the classes of training texts, a row each. Every task runs forward and backward passes over its training texts from their first to their
    last token, many side by side; expected counts are summed per task, then per slice of the model over all tasks. Every
    round covers every training token, from a start that only the seed and the shares of classes decide. Rounds end when
    one gains less than ``LEAST_GAIN`` nats a token in the summed log likelihood; nothing else bounds them.
@@ -290,25 +290,37 @@ def _lanes(sizes: np.ndarray, room: int = LANE_TOKENS) -> Iterator[list[list[int
         yield [lane for _, lane in sorted(group, reverse=True)]
 
 
-def _training_lanes(row: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Classes of all training texts of a block as lanes (time, lane), and the size of every lane."""
-    lengths = np.frombuffer(row["lengths"], np.int32)
-    stream = np.frombuffer(row["classes"], np.uint16)[np.frombuffer(row["ids"], np.int32)]
-    starts = np.cumsum(lengths, dtype=np.int64) - lengths
-    learn = np.flatnonzero(~np.array(row["held_out"], dtype=bool))
-    starts, lengths = starts[learn], lengths[learn]
+def training_texts(packed: DataFrame) -> DataFrame:
+    """The classes of every training text, a row each and stored: a batch of rows has a size that the input doesn't change."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place in range(batch.num_rows):
+                (row,) = batch.slice(place, 1).to_pylist()
+                lengths = np.frombuffer(row["lengths"], np.int32)
+                stream = np.frombuffer(row["classes"], np.uint16)[np.frombuffer(row["ids"], np.int32)]
+                ends = np.cumsum(lengths, dtype=np.int64)
+                bounds = zip(row["held_out"], (ends - lengths).tolist(), ends.tolist())
+                texts = [stream[start:end].tobytes() for out, start, end in bounds if not out]
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["classes"])
+
+    texts = packed.where(F.col("bucket").isNull()).select("held_out", "lengths", "ids", "classes")
+    return stored(texts.mapInArrow(run, "classes binary"), "training")
+
+
+def _training_lanes(texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Classes of texts as lanes (time, lane), and the size of every lane."""
+    lengths = np.array([len(x) for x in texts], dtype=np.int64)
     for group in _lanes(lengths):
         sizes = np.array([lengths[lane].sum() for lane in group], dtype=np.int64)
         lanes = np.zeros((len(group), sizes[0]), dtype=np.uint16)
-        for row_of, lane in zip(lanes, group):
-            texts = np.concatenate([stream[starts[i] : starts[i] + lengths[i]] for i in lane])
-            row_of[: len(texts)] = texts
+        for row_of, lane, size in zip(lanes, group, sizes.tolist()):
+            row_of[:size] = np.concatenate([texts[i] for i in lane])
         yield np.ascontiguousarray(lanes.T), sizes
 
 
 def train(packed: DataFrame, class_tokens: np.ndarray, least_gain: float = LEAST_GAIN) -> Chain:
     """Baum-Welch, every round over all training texts, until a round gains less than ``least_gain`` a token (nats)."""
-    texts = packed.where(F.col("bucket").isNull()).select("held_out", "lengths", "ids", "classes")
     words_only = class_tokens.copy()
     words_only[0] = 0
     shares = (words_only + ADD) / (words_only + ADD).sum()
@@ -318,11 +330,11 @@ def train(packed: DataFrame, class_tokens: np.ndarray, least_gain: float = LEAST
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums, fit = np.zeros((STATES + CLASSES, STATES)), 0.0
             for batch in batches:
-                for row in batch.to_pylist():
-                    for lanes, sizes in _training_lanes(row):
-                        counts, gain = chain.expected(lanes, sizes)
-                        sums += counts
-                        fit += gain
+                texts = [np.frombuffer(x.as_buffer(), np.uint16) for x in batch["classes"]]
+                for lanes, sizes in _training_lanes(texts):
+                    counts, gain = chain.expected(lanes, sizes)
+                    sums += counts
+                    fit += gain
             slices = [x.tobytes() for x in [*np.array_split(sums, SLICES), np.array([fit])]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(SLICES + 1), pa.int32()), pa.array(slices, pa.binary())], ["slice", "sums"]
@@ -338,7 +350,7 @@ def train(packed: DataFrame, class_tokens: np.ndarray, least_gain: float = LEAST
     if not total:
         return chain
     # A task sends one model, so a round has as many tasks as there are cores.
-    texts = texts.coalesce(packed.sparkSession.sparkContext.defaultParallelism)
+    texts = training_texts(packed).coalesce(packed.sparkSession.sparkContext.defaultParallelism)
     before = -np.inf
     while True:
         sums = texts.mapInArrow(expect(chain), "slice int, sums binary").groupBy("slice")

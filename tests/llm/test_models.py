@@ -113,6 +113,15 @@ def test_baum_welch_covers_all_texts(spark, monkeypatch):
     assert got.emit == pytest.approx(want.emit, abs=1e-3)
 
 
+def test_training_rows_are_single_texts(spark):
+    """A task reads training texts a row each, not the blocks of its share of the input."""
+    rows = [(i, " ".join(f"w{k}" for k in range(i))) for i in range(40)] + [(40, None)]
+    packed = hidden_markov.blocks(frame(spark, rows).coalesce(1), F.col("doc_id") % 4 == 1)
+    got = [bytes(r["classes"]) for r in hidden_markov.training_texts(packed).collect()]
+    texts = [[*map(hidden_markov.class_of, hidden_markov.tokens(t or "")), 0] for i, t in rows if i % 4 != 1]
+    assert sorted(got) == sorted(np.array(x, dtype=np.uint16).tobytes() for x in texts)
+
+
 def test_lanes_hold_every_text():
     sizes = np.array([1, 5000, 300, 1, 70, 256, 2000, 9])
     groups = list(hidden_markov._lanes(sizes, 4000))
