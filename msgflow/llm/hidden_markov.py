@@ -10,10 +10,11 @@ that does not depend on the corpus, while the words' counts cover all of it.
    and the block's vocabulary with its training counts, packed by hash bucket of the word.
 2. ``word_counts``: per bucket, counts of a word are summed over blocks and sent back to each of them. A block has a word
    once, so a frequent word is as many entries as there are blocks, and no table of all words exists anywhere.
-3. ``train``: Baum-Welch. ``training_texts`` stores the classes of training texts, a row each. Every task runs forward and backward passes over its training texts from their first to their
-   last token, many side by side; expected counts are summed per task, then per slice of the model over all tasks. Every
-   round covers every training token, from a start that only the seed and the shares of classes decide. Rounds end when
-   one gains less than ``LEAST_GAIN`` nats a token in the summed log likelihood; nothing else bounds them.
+3. ``train``: Baum-Welch. ``training_texts`` stores the classes of training texts, a row each. Every task runs forward and
+   backward passes over its training texts from their first to their last token, many side by side; expected counts are
+   summed per task, then per slice of the model over all tasks. Every round covers every training token, from a start that
+   only the seed and the shares of classes decide. Rounds end when one gains less than ``LEAST_GAIN`` nats a token in the
+   summed log likelihood; nothing else bounds them.
 4. ``score``: a block meets its word counts, and the scaled forward recursion gives the exact likelihood of every text
    from its first to its last token, many texts side by side.
 
@@ -25,13 +26,13 @@ condition are read; other columns are joined back by id.
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +42,11 @@ from msgflow.llm.common import pieces_for, stored, text_of
 CLASSES = 8192  # 0 is the end token's
 STATES = 12  # 0 emits the end token
 LANE = 256  # tokens side by side run through lanes of at least this length
-LANE_TOKENS = 512 << 10  # in a set of lanes
+LANE_TOKENS = 768 << 10  # in a set of lanes
+STEP_TOKENS = 16 << 10  # of a set, whose emissions are looked up and added up at once
+SUM_TOKENS = 256 << 10  # whose values are added up at once
+SCALED = 8  # tokens between two scalings
+FAINT = 1e-27  # a sum over states that is too near to the least that float32 can hold
 LEAST_GAIN = 1e-4
 SLICES = 16  # of the expected counts
 BLOCK_BYTES = 16 << 20
@@ -77,18 +82,38 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split()
 
 
-def _pack(block: int, docs: list, buckets: int, vocabulary: dict[bytes, int]) -> Iterator[dict]:
+def numbered(texts: pa.Array, rows: int = 1 << 10) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Of texts (strings), all ``tokens`` as numbers, how many each has, and the words that the numbers stand for."""
+    parts, sizes = [], []
+    for first in range(0, len(texts), rows):  # the words of some texts at a time: only their numbers stay
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.slice(first, rows)))
+        parts.append(split.flatten().dictionary_encode())
+        sizes.append(np.diff(split.offsets.to_numpy()))
+    coded = pa.chunked_array(parts).unify_dictionaries()
+    dictionary = coded.chunk(0).dictionary
+    words = dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    end = pc.index(dictionary, "").as_py()
+    if end < 0:
+        end = len(words)
+        words.append(END)
+    ids = np.concatenate([x.indices.to_numpy() for x in coded.chunks])
+    kept = ids != end  # white space around a text leaves empty words
+    before = np.zeros(len(ids) + 1, dtype=np.int32)
+    np.cumsum(kept, out=before[1:])
+    stops = before[np.cumsum(np.concatenate(sizes), dtype=np.int64)]
+    return np.insert(ids[kept], stops, end), np.diff(stops, prepend=0).astype(np.int32) + np.int32(1), words
+
+
+def _pack(block: int, doc_ids: list, held_out: list, texts: pa.Array, buckets: int) -> Iterator[dict]:
     """The rows of a block: its texts as word numbers, and its vocabulary by bucket."""
-    words = list(vocabulary)
-    ids = np.concatenate([x[2] for x in docs])
-    lengths = np.array([len(x[2]) for x in docs], dtype=np.int32)
-    learn = np.repeat(np.array([not x[1] for x in docs]), lengths)
+    ids, lengths, words = numbered(texts)
+    learn = np.repeat(~np.array(held_out, dtype=bool), lengths)
     counts = np.bincount(ids[learn], minlength=len(words)).astype(np.int64)
     classes = np.fromiter(map(class_of, words), dtype=np.uint16, count=len(words))
     yield {
         "block": block,
-        "doc_ids": [x[0] for x in docs],
-        "held_out": [x[1] for x in docs],
+        "doc_ids": doc_ids,
+        "held_out": held_out,
         "lengths": lengths.tobytes(),
         "ids": ids.tobytes(),
         "classes": classes.tobytes(),
@@ -120,23 +145,25 @@ def blocks(docs: DataFrame, held_out: Column) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
         serial, held, room = 0, [], 0
-        vocabulary: dict[bytes, int] = defaultdict()
-        vocabulary.default_factory = vocabulary.__len__
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for row in _pack(base + serial, held, buckets, vocabulary):
+            rows = pa.Table.from_batches(held).combine_chunks()
+            texts = rows["text"].combine_chunks()
+            for row in _pack(base + serial, rows["doc_id"].to_pylist(), rows["held_out"].to_pylist(), texts, buckets):
                 yield pa.RecordBatch.from_pylist([row], schema=PACKED_ARROW)
 
         for batch in batches:
-            for doc_id, text, out in zip(batch["doc_id"].to_pylist(), batch["text"], batch["held_out"].to_pylist()):
-                words = tokens(text.as_py())
-                words.append(END)
-                held.append((doc_id, out, np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words))))
-                room += sum(map(len, words))
+            ends = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False), dtype=np.int64)
+            first = 0
+            while first < batch.num_rows:  # as many texts as fill the block
+                before = int(ends[first - 1]) if first else 0
+                last = min(int(np.searchsorted(ends, before + BLOCK_BYTES - room)) + 1, batch.num_rows)
+                held.append(batch.slice(first, last - first))
+                room += int(ends[last - 1]) - before
+                first = last
                 if room >= BLOCK_BYTES:
                     yield from flush()
                     serial, held, room = serial + 1, [], 0
-                    vocabulary.clear()
         if held:
             yield from flush()
 
@@ -209,45 +236,75 @@ class Chain:
         emit[0, 0] = 1
         return Chain(move / move.sum(1, keepdims=True), emit)
 
-    def expected(self, lanes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, float]:
+    def expected(self, lanes: np.ndarray, sizes: np.ndarray, every: int = SCALED) -> tuple[np.ndarray, float]:
         """Expected transitions and emissions of lanes (time, lane) of classes, one array (STATES + CLASSES, STATES), and
-        the log likelihood. A lane is whole texts and has ``sizes`` tokens; the longest lane comes first."""
+        the log likelihood. A lane is whole texts and has ``sizes`` tokens; the longest lane comes first.
+
+        Emissions are taken relative to the class's highest, so values only shrink, and are scaled ``every`` so many tokens.
+        Where they shrink too far for float32 between two scalings, the lanes are done again with one at each token.
+        Only the forward values are held for all tokens; the rest is made a block of ``STEP_TOKENS`` at a time.
+        """
         length, n = lanes.shape
-        move, emit = self.move.astype(np.float32), self.emit.astype(np.float32)
-        active = np.searchsorted(-sizes, -np.arange(length), side="left")
-        past = np.arange(length)[:, None] >= sizes
-        arriving = emit[lanes]
-        arriving[past] = 0
-        alpha = np.zeros((length, n, STATES), dtype=np.float32)
-        scale = np.ones((length, n, 1), dtype=np.float32)
-        ones = np.ones((STATES, 1), dtype=np.float32)
-        for t, k in enumerate(active):
-            now = alpha[t, :k]
-            if t:
-                np.matmul(alpha[t - 1, :k], move, out=now)
-                now *= arriving[t, :k]
-            else:  # every lane starts behind an end token
-                np.multiply(move[0], arriving[0], out=now)
-            np.matmul(now, ones, out=scale[t, :k])
-            now /= scale[t, :k]
-        arriving /= scale
-        beta = np.ones((length, n, STATES), dtype=np.float32)
-        back = np.ascontiguousarray(move.T)
-        for t in range(length - 1, 0, -1):
-            k = active[t]
-            now = arriving[t, :k]
-            now *= beta[t, :k]
-            np.matmul(now, back, out=beta[t - 1, :k])
-        arriving[0] *= beta[0]
-        moves = (alpha[:-1].reshape(-1, STATES).T @ arriving[1:].reshape(-1, STATES)).astype(np.float64)
-        moves[0] += arriving[0].sum(0)
-        alpha *= beta
-        flat, states = lanes.ravel(), alpha.reshape(-1, STATES)
-        out = np.empty((STATES + CLASSES, STATES))
+        peak = self.emit.max(1)
+        move, emit = self.move.astype(np.float32), (self.emit / peak[:, None]).astype(np.float32)
+        back, ones = np.ascontiguousarray(move.T), np.ones((STATES, STATES), dtype=np.float32)
+        active = np.searchsorted(-sizes, -np.arange(length), side="left").tolist()
+        block = max(STEP_TOKENS // n, 1)
+        alpha = np.empty((length, n, STATES), dtype=np.float32)
+        scale = np.ones((-(-length // every), n, STATES), dtype=np.float32)  # the same for all states
+        for begin in range(0, length, block):
+            arriving = emit.take(lanes[begin : begin + block], axis=0)
+            for t, k in enumerate(active[begin : begin + block], begin):
+                now = alpha[t, :k]
+                if t:
+                    np.dot(alpha[t - 1, :k], move, out=now)
+                    now *= arriving[t - begin, :k]
+                else:  # every lane starts behind an end token
+                    np.multiply(arriving[0], move[0], out=now)
+                if t % every == 0:
+                    total = scale[t // every, :k]
+                    np.dot(now, ones, out=total)
+                    now /= total
+                if k < n:
+                    alpha[t, k:] = 0
+        last = alpha[sizes - 1, np.arange(n)].sum(1)
+        if every > 1 and not np.minimum(scale.min(), last.min()) >= FAINT:
+            del alpha, scale
+            return self.expected(lanes, sizes, 1)
+        fit = np.log(scale[:, :, 0], dtype=np.float64).sum() + np.log(last, dtype=np.float64).sum()
+        out, moves = np.zeros((STATES + CLASSES, STATES)), np.zeros((STATES, STATES))
+        ending = np.repeat(1 / last, STATES).reshape(n, STATES)
+        carried, reached = np.empty_like(ending), 0
+        for begin in reversed(range(0, length, block)):
+            chunk = lanes[begin : begin + block]
+            arriving = emit.take(chunk, axis=0)
+            beta = np.empty_like(arriving)
+            beta[-1, :reached] = carried[:reached]
+            for place in reversed(range(len(chunk))):
+                t, k = begin + place, active[begin + place]
+                if k > reached:
+                    beta[place, reached:k] = ending[reached:k]
+                    reached = k
+                now = arriving[place, :k]
+                now *= beta[place, :k]
+                if t % every == 0:
+                    now /= scale[t // every, :k]
+                np.dot(now, back, out=beta[place - 1, :k] if place else carried[:k])
+                if k < n:
+                    arriving[place, k:], beta[place, k:] = 0, 0
+            if not begin:
+                moves[0] += arriving[0].sum(0)
+            first = max(begin, 1)
+            before = alpha[first - 1 : begin + len(chunk) - 1]
+            moves += np.matmul(before.transpose(0, 2, 1), arriving[first - begin :]).sum(0)
+            beta *= alpha[begin : begin + len(chunk)]
+            flat, found = chunk.ravel().astype(np.intp), beta.reshape(-1, STATES)
+            fit += np.bincount(flat, minlength=CLASSES) @ np.log(peak)  # class 0, which pads lanes, has 1
+            out[STATES, 0] += found[:, 0].sum()  # no other class has state 0
+            for s in range(1, STATES):
+                out[STATES:, s] += np.bincount(flat, found[:, s], CLASSES)
         out[:STATES] = moves * self.move
-        for s in range(STATES):
-            out[STATES:, s] = np.bincount(flat, states[:, s], CLASSES)
-        return out, float(np.log(scale, dtype=np.float64).sum())
+        return out, float(fit)
 
     def log10(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Exact log10 likelihood of texts of classes, each ending in class 0: the scaled forward recursion."""
@@ -260,10 +317,12 @@ class Chain:
         for t in range(int(sizes[0]) if len(sizes) else 0):
             while active and sizes[active - 1] <= t:
                 active -= 1
-            alpha = (alpha[:active] @ self.move) * self.emit[ids[starts[:active] + t]]
-            scale = alpha.sum(1)
-            out[:active] += np.log10(scale)
-            alpha /= scale[:, None]
+            if active < len(alpha) or t % SCALED == 0:
+                scale = alpha.sum(1)
+                out[: len(alpha)] += np.log10(scale)
+                alpha = alpha[:active] / scale[:active, None]
+            alpha = (alpha @ self.move) * self.emit[ids[starts[:active] + t]]
+        out[:active] += np.log10(alpha.sum(1))
         result = np.empty_like(out)
         result[order] = out
         return result
@@ -308,14 +367,15 @@ def training_texts(packed: DataFrame) -> DataFrame:
     return stored(texts.mapInArrow(run, "classes binary"), "training")
 
 
-def _training_lanes(texts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Classes of texts as lanes (time, lane), and the size of every lane."""
-    lengths = np.array([len(x) for x in texts], dtype=np.int64)
+def _training_lanes(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Classes of texts (binary) as lanes (time, lane), and the size of every lane."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1] // 2
+    stream, lengths, bounds = np.frombuffer(texts.buffers()[2], np.uint16), np.diff(ends), ends.tolist()
     for group in _lanes(lengths):
         sizes = np.array([lengths[lane].sum() for lane in group], dtype=np.int64)
         lanes = np.zeros((len(group), sizes[0]), dtype=np.uint16)
         for row_of, lane, size in zip(lanes, group, sizes.tolist()):
-            row_of[:size] = np.concatenate([texts[i] for i in lane])
+            np.concatenate([stream[bounds[i] : bounds[i + 1]] for i in lane], out=row_of[:size])
         yield np.ascontiguousarray(lanes.T), sizes
 
 
@@ -330,8 +390,7 @@ def train(packed: DataFrame, class_tokens: np.ndarray, least_gain: float = LEAST
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums, fit = np.zeros((STATES + CLASSES, STATES)), 0.0
             for batch in batches:
-                texts = [np.frombuffer(x.as_buffer(), np.uint16) for x in batch["classes"]]
-                for lanes, sizes in _training_lanes(texts):
+                for lanes, sizes in _training_lanes(batch["classes"].cast(pa.binary())):
                     counts, gain = chain.expected(lanes, sizes)
                     sums += counts
                     fit += gain
@@ -362,6 +421,17 @@ def train(packed: DataFrame, class_tokens: np.ndarray, least_gain: float = LEAST
         before = fit[0]
 
 
+def text_sums(values: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the words' values over each text, some texts at a time."""
+    firsts = np.unique(np.searchsorted(starts, np.arange(0, len(ids), SUM_TOKENS)))
+    firsts = firsts[firsts < len(starts)].tolist()
+    out = np.empty(len(starts), dtype=values.dtype)
+    for first, last in zip(firsts, [*firsts[1:], len(starts)]):
+        end = starts[last] if last < len(starts) else len(ids)
+        out[first:last] = np.add.reduceat(values[ids[starts[first] : end]], starts[first:last] - starts[first])
+    return out
+
+
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every text.
 
@@ -393,10 +463,10 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                         "doc_id": pd.array(row["doc_ids"], dtype="Int64"),
                         "held_out": np.array(row["held_out"], dtype=bool),
                         "n_tokens": lengths.astype(np.int64),
-                        "n_known": np.add.reduceat((known > 0)[ids].astype(np.int64), starts),
+                        "n_known": text_sums((known > 0).astype(np.int64), ids, starts),
                         "train_tokens": np.int64(total),
-                        "base_score": np.add.reduceat(weight[ids], starts) - lengths * base_unit,
-                        "score": np.add.reduceat(inside[ids], starts) + latent,
+                        "base_score": text_sums(weight, ids, starts) - lengths * base_unit,
+                        "score": text_sums(inside, ids, starts) + latent,
                     }
                 )
             )
