@@ -21,12 +21,13 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,14 +118,15 @@ def blocks(chunks: DataFrame) -> DataFrame:
             number = {n: i for i, n in enumerate(langs)}
             body = b"\n".join([x[2] for x in held])
             meta = np.array([(number[x[0]], x[1], x[3]) for x in held], dtype="<i8").T.tobytes()
-            n_words = sum(x[2].count(b" ") + 1 for x in held)
+            n_words = body.count(b" ") + len(held)
             packed, extra = (pa.compress(x, codec="zstd", asbytes=True) for x in (body, meta))
             return pa.RecordBatch.from_pylist([{"block": base + made, "n_words": n_words, "langs": langs, "size": len(body), "body": packed, "meta": len(held).to_bytes(8, "little") + extra}], schema=BLOCK)
 
         for batch in batches:
-            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
-                held.append((row[0], row[1], row[2].as_buffer().to_pybytes(), row[3]))
-                size += len(held[-1][2]) + 32
+            columns = [batch.column(0), batch.column(1), batch.column(2).cast(pa.binary()), batch.column(3)]
+            for row in zip(*[c.to_numpy(zero_copy_only=False).tolist() for c in columns]):
+                held.append(row)
+                size += len(row[2]) + 32
                 if size >= BLOCK_BYTES:
                     yield flush()
                     held, size, made = [], 0, made + 1
@@ -141,31 +143,39 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def unpacked(row: dict) -> tuple[list[bytes], np.ndarray]:
-    """The chunks of a block, and for each the place of its language, its tail and its weight."""
+def opened(row: dict) -> tuple[bytes, np.ndarray]:
+    """The chunks of a block, a line each, and for each the place of its language, its tail and its weight."""
     n = int.from_bytes(row["meta"][:8], "little")
     meta = np.frombuffer(pa.decompress(row["meta"][8:], decompressed_size=24 * n, codec="zstd", asbytes=True), dtype="<i8").reshape(3, n)
-    return pa.decompress(row["body"], decompressed_size=row["size"], codec="zstd", asbytes=True).split(b"\n"), meta
+    return pa.decompress(row["body"], decompressed_size=row["size"], codec="zstd", asbytes=True), meta
+
+
+def unpacked(row: dict) -> tuple[list[bytes], np.ndarray]:
+    """The same with the chunks one by one."""
+    body, meta = opened(row)
+    return body.split(b"\n"), meta
 
 
-def _lengths(chunks: list[bytes]) -> np.ndarray:
-    """Words of each chunk."""
-    return np.fromiter((c.count(b" ") + 1 for c in chunks), dtype=np.int64, count=len(chunks))
+def _ends(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word ends in chunks that are a line each, and how many words each chunk has."""
+    raw = np.frombuffer(body, dtype=np.uint8)
+    ends = np.flatnonzero((raw == 32) | (raw == 10))
+    last = np.append(np.flatnonzero(raw[ends] == 10), len(ends))
+    return np.append(ends, len(raw)), np.diff(last, prepend=-1)
 
 
 class Block:
     """The words of a block: numbers into its vocabulary, and for each place how many words may follow and its weight."""
 
     def __init__(self, row: dict):
-        chunks, meta = unpacked(row)
+        self.body, meta = opened(row)
         self.langs = row["langs"]
-        number: dict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        words = b" ".join(chunks).split(b" ")
-        lengths = _lengths(chunks)
-        total = len(words)
-        self.codes = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=total)
-        self.words = list(number)
+        self.ends, lengths = _ends(self.body)
+        total = len(self.ends)
+        split = pc.ascii_split_whitespace(pa.array([self.body], type=pa.binary()).cast(pa.string()))
+        coded = split.flatten().dictionary_encode()
+        self.codes = coded.indices.to_numpy().astype(np.int64)
+        self.words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths)
         inside = np.arange(total) - np.repeat(ends - lengths, lengths)
         self.room = np.repeat(lengths, lengths) - inside  # words from here to the chunk's end
@@ -175,7 +185,7 @@ class Block:
 
     def hashes(self) -> list[np.ndarray]:
         """A hash of the n-gram at each place, for n from 1; only those with ``starts(n)`` mean something."""
-        word = pd.util.hash_array(np.array(self.words, dtype=object))[self.codes].astype(np.uint64)
+        word = pd.util.hash_array(self.words)[self.codes].astype(np.uint64)
         tongue = pd.util.hash_array(np.array(self.langs, dtype=object)).astype(np.uint64)[self.lang]
         out = [_mixed(word ^ tongue)]
         for n in range(2, LONGEST + 1):
@@ -198,27 +208,60 @@ class Block:
     def phrases(self, frequent: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
         """lang, phrase, k and weight of the n-grams whose hash is among ``frequent``, by exact numbers of their words."""
         names = np.zeros(len(self.codes), dtype=np.int64)
+        places = Places(frequent, bits)
         reached = np.ones(len(self.codes) + 1, dtype=bool)  # whether the n-gram of the level before is frequent, by place
         for n, hashed in enumerate(self.hashes(), 1):
             at = self.starts(n)
             # A frequent n-gram begins and ends with frequent ones; its end may belong to the next chunk.
             at = at[reached[at] & (reached[at + 1] | ~self.own[np.minimum(at + 1, len(self.own) - 1)])] if n > 1 else at
             keys = hashed[at] >> np.uint64(64 - bits)
-            near = np.minimum(np.searchsorted(frequent, keys), max(len(frequent) - 1, 0))
-            at = at[frequent[near] == keys] if len(frequent) else at[:0]
+            near = places.of(keys)
+            at, near = at[near >= 0], near[near >= 0]
             reached[:] = False
             reached[at] = True
             if not len(at):
                 break
             before = self.lang[at] if n == 1 else names[at]  # a frequent n-gram's beginning is frequent, so it has a number
             pair = before * len(self.words) + self.codes[at + n - 1]
-            _, first, number = np.unique(pair, return_index=True, return_inverse=True)
+            first, number = _numbered(near, pair, len(frequent))
             names[at] = number
-            weight = np.bincount(number, weights=None, minlength=len(first)) if (self.weight[at] == 1).all() else _added(number, self.weight[at], len(first))
-            places = at[first]
-            text = [b" ".join([self.words[c] for c in self.codes[p : p + n]]) for p in places.tolist()]
-            langs = pa.array([self.langs[i] for i in self.lang[places].tolist()], type=pa.string())
-            yield pa.RecordBatch.from_arrays([langs, pa.array(text, type=pa.binary()).cast(pa.string()), pa.array([n] * len(text), type=pa.int32()), pa.array(weight.astype(np.int64))], schema=FOUND)
+            weight = np.bincount(number, minlength=len(first)) if (self.weight[at] == 1).all() else _added(number, self.weight[at], len(first))
+            begin = at[first]
+            spans = zip(np.where(begin > 0, self.ends[begin - 1] + 1, 0).tolist(), self.ends[begin + n - 1].tolist())
+            text = [self.body[a:b] for a, b in spans]  # a chunk's words stand one space apart
+            langs = pa.DictionaryArray.from_arrays(pa.array(self.lang[begin]), pa.array(self.langs, type=pa.string())).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([langs, pa.array(text, type=pa.binary()).cast(pa.string()), pa.array(np.full(len(text), n, dtype=np.int32)), pa.array(weight.astype(np.int64))], schema=FOUND)
+
+
+class Places:
+    """Where numbers are in ascending distinct numbers of ``bits`` bits, which are spread evenly: by their first bits."""
+
+    def __init__(self, known: np.ndarray, bits: int):
+        self.known = np.append(known, np.uint64(1 << 63))
+        width = min(bits, max(len(known), 1).bit_length() + 1)
+        self.shift = np.uint64(bits - width)
+        self.starts = np.searchsorted(known, np.arange(1 << width, dtype=np.uint64) << self.shift)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or -1."""
+        place = self.starts[(keys >> self.shift).astype(np.int64)]
+        late = np.flatnonzero(self.known[place] < keys)
+        while len(late):
+            place[late] += 1
+            late = late[self.known[place[late]] < keys[late]]
+        place[self.known[place] != keys] = -1
+        return place
+
+
+def _numbered(near: np.ndarray, pair: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct pair is found first, and the number of each row's pair. ``near``, below ``n``, is a hash's place."""
+    met = np.full(n, -1, dtype=np.int64)
+    met[near[::-1]] = np.arange(len(near) - 1, -1, -1)
+    if (pair[met[near]] == pair).all():  # no two pairs share a hash
+        used = met >= 0
+        return met[used], (np.cumsum(used) - 1)[near]
+    _, first, number = np.unique(pair, return_index=True, return_inverse=True)
+    return first, number
 
 
 def _added(number: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
@@ -358,8 +401,8 @@ def totals(packed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                chunks, (lang, tail, weight) = unpacked(row)
-                n = _added(lang, (_lengths(chunks) - tail) * weight, len(row["langs"]))
+                body, (lang, tail, weight) = opened(row)
+                n = _added(lang, (_ends(body)[1] - tail) * weight, len(row["langs"]))
                 yield pa.RecordBatch.from_arrays([pa.array(row["langs"], type=pa.string()), pa.array(n)], names=["lang", "n"])
 
     return packed.mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))

@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -339,3 +340,39 @@ def test_totals_come_from_chunks_alone(spark):
         block = collocations.Block(row)
         assert [block.words[i] for i in block.codes] == b" ".join(chunks).split(b" ")
         assert meta.shape == (3, len(chunks)) and int(block.own.sum()) == sum(len(c.split()) for c in chunks) - meta[1].sum()
+
+
+def test_phrases_are_numbered_by_their_hashes():
+    """Hashes that occur are found by their first bits; n-grams are told apart without a sort unless two share a hash."""
+    rng = np.random.default_rng(8)
+    for bits, n in ((63, 500), (20, 4000), (4, 9), (12, 0)):
+        known = np.unique(rng.integers(0, 1 << bits, n).astype(np.uint64))
+        keys = np.concatenate([known, rng.integers(0, 1 << bits, 300).astype(np.uint64)])
+        want = {int(k): i for i, k in enumerate(known)}
+        assert collocations.Places(known, bits).of(keys).tolist() == [want.get(int(k), -1) for k in keys]
+    near = np.array([2, 0, 2, 1, 0])
+    for pair in (np.array([7, 9, 7, 4, 9]), np.array([7, 9, 8, 4, 9])):
+        first, number = collocations._numbered(near, pair, 4)
+        assert pair[first][number].tolist() == pair.tolist() and len(first) == len(set(pair.tolist()))
+        assert all(pair[:i].tolist().count(pair[i]) == 0 for i in first)
+
+
+def test_naming_phrases_sorts_nothing(monkeypatch):
+    """Without colliding hashes a block's phrases need neither a sort of their places nor a join of their words."""
+    body = b"\n".join([b"one two three one two three", b"two three four", b"\xc3\xa9 one"])
+    meta = np.array([(0, 0, 2), (1, 1, 1), (0, 0, 5)], dtype="<i8").T.tobytes()
+    packed, extra = (pa.compress(x, codec="zstd", asbytes=True) for x in (body, meta))
+    block = collocations.Block({"langs": ["a", "b"], "size": len(body), "body": packed, "meta": (3).to_bytes(8, "little") + extra})
+    keys, _ = block.entries(40)
+
+    def sort(*args, **kwargs):
+        raise AssertionError("sorted")
+
+    monkeypatch.setattr(np, "unique", sort)
+    found = pa.Table.from_batches(list(block.phrases(keys, 40))).to_pylist()
+    want = Counter()
+    for lang, tail, n, line in (("a", 0, 2, body.split(b"\n")[0]), ("b", 1, 1, b"two three four"), ("a", 0, 5, b"\xc3\xa9 one")):
+        words = line.decode().split()
+        for i in range(len(words) - tail):
+            want.update({(lang, " ".join(words[i:j]), j - i): n for j in range(i + 1, min(i + 4, len(words)) + 1)})
+    assert {(r["lang"], r["phrase"], r["k"]): r["f"] for r in found} == dict(want)
