@@ -166,6 +166,8 @@ def blocks(docs: DataFrame, held_out: Column) -> DataFrame:
                     serial, held, room = serial + 1, [], 0
         if held:
             yield from flush()
+            held.clear()
+        pa.default_memory_pool().release_unused()  # the worker goes on to other stages
 
     return stored(source.mapInArrow(pack, PACKED), "blocks")
 
@@ -272,7 +274,7 @@ class Chain:
             del alpha, scale
             return self.expected(lanes, sizes, 1)
         fit = np.log(scale[:, :, 0], dtype=np.float64).sum() + np.log(last, dtype=np.float64).sum()
-        out, moves = np.zeros((STATES + CLASSES, STATES)), np.zeros((STATES, STATES))
+        moves, emits = np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES))
         ending = np.repeat(1 / last, STATES).reshape(n, STATES)
         carried, reached = np.empty_like(ending), 0
         for begin in reversed(range(0, length, block)):
@@ -299,12 +301,11 @@ class Chain:
             moves += np.matmul(before.transpose(0, 2, 1), arriving[first - begin :]).sum(0)
             beta *= alpha[begin : begin + len(chunk)]
             flat, found = chunk.ravel().astype(np.intp), beta.reshape(-1, STATES)
-            fit += np.bincount(flat, minlength=CLASSES) @ np.log(peak)  # class 0, which pads lanes, has 1
-            out[STATES, 0] += found[:, 0].sum()  # no other class has state 0
+            emits[0, 0] += found[:, 0].sum()  # no other class has state 0
             for s in range(1, STATES):
-                out[STATES:, s] += np.bincount(flat, found[:, s], CLASSES)
-        out[:STATES] = moves * self.move
-        return out, float(fit)
+                emits[s] += np.bincount(flat, found[:, s], CLASSES)
+        fit += np.bincount(lanes.ravel(), minlength=CLASSES) @ np.log(peak)  # class 0, which pads lanes, has 1
+        return np.concatenate([moves * self.move, emits.T]), float(fit)
 
     def log10(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Exact log10 likelihood of texts of classes, each ending in class 0: the scaled forward recursion."""
@@ -369,6 +370,8 @@ def training_texts(packed: DataFrame) -> DataFrame:
 
 def _training_lanes(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Classes of texts (binary) as lanes (time, lane), and the size of every lane."""
+    if not len(texts):
+        return
     ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1] // 2
     stream, lengths, bounds = np.frombuffer(texts.buffers()[2], np.uint16), np.diff(ends), ends.tolist()
     for group in _lanes(lengths):
