@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import inspect
 import itertools
+import pickle
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any, Protocol
 
@@ -35,7 +36,10 @@ COLUMNS = ("id", "keys", "value", "event_time", "watermark", "headers")
 _WINDOW = T.StructField(
     "window", T.StructType([T.StructField("start", T.TimestampType()), T.StructField("end", T.TimestampType())])
 )
+_SPAN = [T.StructField("_lo", T.LongType()), T.StructField("_hi", T.LongType()), T.StructField("_state", T.BinaryType())]
 MAX_OPEN = 20_000  # combined states a task keeps before it passes them on
+MAX_WAITING = 200_000  # states that wait to be packed with others for the same place
+AT_ONCE = 256  # handlers that are asked for their states together
 
 
 class MergeableHandler(Protocol):
@@ -215,44 +219,115 @@ def number_stretches(df: DataFrame, group: Sequence[str], order: Sequence[str],
 # Mergeable handlers ------------------------------------------------------------
 
 
+def states_of(handlers: Sequence[MergeableHandler]) -> Iterator[bytes]:
+    """The states of handlers of one class; a class with ``states`` is asked for many at once."""
+    many = getattr(type(handlers[0]), "states", None) if handlers else None
+    if many is None:
+        yield from (h.state() for h in handlers)
+        return
+    for low in range(0, len(handlers), AT_ONCE):
+        yield from many(handlers[low : low + AT_ONCE])
+
+
+def merged_handlers(factory: Callable[[], MergeableHandler], groups: Sequence[Sequence[bytes]]) -> list[MergeableHandler]:
+    """A handler for each group of states; a class with ``merges`` does many at once."""
+    handlers = [factory() for _ in groups]
+    many = getattr(type(handlers[0]), "merges", None) if handlers else None
+    if many is not None:
+        many(list(zip(handlers, groups)))
+        return handlers
+    for handler, group in zip(handlers, groups):
+        for state in group:
+            handler.merge(state)
+    return handlers
+
+
+def results_of(calls: Sequence[tuple[MergeableHandler, list[str], Interval]]) -> Iterator[Iterable[Message]]:
+    """The results of handlers of one class; a class with ``results`` is asked for many at once."""
+    many = getattr(type(calls[0][0]), "results", None) if calls else None
+    if many is None:
+        return (handler.result(keys, window) for handler, keys, window in calls)
+    return iter(many(calls))
+
+
+def _states(
+    rows: DataFrame, group: Sequence[str], factory: Callable[[], MergeableHandler], time: str
+) -> tuple[DataFrame, Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]]:
+    """The rows with what combining needs, and a function from their batches to (group values, low, high, state)."""
+    rows = rows.withColumn(scan.GROUP_ID, scan.group_id(group)).withColumn("_at", F.unix_micros(time))
+
+    def states(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        open_groups: dict[str, list] = {}
+
+        def flush() -> Iterator[tuple]:
+            entries = list(open_groups.values())
+            open_groups.clear()
+            for (head, low, high, _), state in zip(entries, states_of([e[3] for e in entries])):
+                yield [head[g] for g in group], low, high, state
+
+        with scan.rare_collections():
+            for batch in batches:
+                ids, times = (batch.column(c).to_pylist() for c in (scan.GROUP_ID, "_at"))
+                for row, group_id, at in zip(scan.batch_rows(batch), ids, times):
+                    entry = open_groups.get(group_id)
+                    if entry is None:
+                        if len(open_groups) >= MAX_OPEN:
+                            yield from flush()
+                        entry = open_groups[group_id] = [row, at, at, factory()]
+                    entry[1] = min(entry[1], at)
+                    entry[2] = max(entry[2], at)
+                    entry[3].add(Datum(row))
+            yield from flush()
+
+    return rows, states
+
+
 def _combine(rows: DataFrame, group: Sequence[str], factory: Callable[[], MergeableHandler], time: str) -> DataFrame:
     """States per group inside each input partition, with the span of their rows. No shuffle."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    rows = rows.withColumn(scan.GROUP_ID, scan.group_id(group))
-    out_type = T.StructType(
-        [
-            *[rows.schema[g] for g in group],
-            T.StructField("_lo", T.LongType()),
-            T.StructField("_hi", T.LongType()),
-            T.StructField("_state", T.BinaryType()),
-        ]
-    )
+    out_type = T.StructType([*[rows.schema[g] for g in group], *_SPAN])
     arrow = to_arrow_schema(out_type)
-    rows = rows.withColumn("_at", F.unix_micros(time))
+    rows, states = _states(rows, group, factory, time)
 
-    def states(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        open_groups: dict[str, list] = {}
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for values, low, high, state in states(batches):
+            yield {**dict(zip(group, values)), "_lo": low, "_hi": high, "_state": state}
 
-        def flush() -> Iterator[dict]:
-            for head, low, high, h in open_groups.values():
-                yield {**head, "_lo": low, "_hi": high, "_state": h.state()}
-            open_groups.clear()
+    return rows.mapInArrow(lambda batches: scan.to_batches(found(batches), arrow), out_type)
+
+
+def _combine_packed(
+    rows: DataFrame, group: Sequence[str], factory: Callable[[], MergeableHandler], time: str, place: str
+) -> DataFrame:
+    """The same, with the states of a task that go to one ``place`` as one packed row: a list of (keys, low, high, state).
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                entry = open_groups.get(row[scan.GROUP_ID])
-                if entry is None:
-                    if len(open_groups) >= MAX_OPEN:
-                        yield from flush()
-                    entry = [{g: row[g] for g in group}, row["_at"], row["_at"], factory()]
-                    open_groups[row[scan.GROUP_ID]] = entry
-                entry[1] = min(entry[1], row["_at"])
-                entry[2] = max(entry[2], row["_at"])
-                entry[3].add(Datum(row))
-        yield from flush()
-
-    return rows.mapInArrow(lambda batches: scan.to_batches(states(batches), arrow), out_type)
+    ``group`` begins with the keys, and ``place`` follows from them.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    out_type = T.StructType([T.StructField(place, T.LongType()), T.StructField("packed", T.BinaryType())])
+    arrow = to_arrow_schema(out_type)
+    rows, states = _states(rows, [*group, place], factory, time)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[int, list[tuple]] = {}
+        count = held = 0
+
+        def flush() -> Iterator[dict]:
+            for at, parts in waiting.items():
+                yield {place: at, "packed": pickle.dumps(parts)}
+            waiting.clear()
+
+        for (keys, *_, at), low, high, state in states(batches):
+            waiting.setdefault(at, []).append((keys, low, high, state))
+            count, held = count + 1, held + len(state)
+            if count >= MAX_WAITING or held >= scan.MAX_BYTES:
+                yield from scan.to_batches(flush(), arrow, 256)
+                count = held = 0
+        yield from scan.to_batches(flush(), arrow, 256)
+
+    return rows.mapInArrow(packed, out_type)
 
 
 def _merge_run(factory: Callable[[], MergeableHandler], finish: Callable[[dict, int, int, MergeableHandler], Iterable[dict]]):

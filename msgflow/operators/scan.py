@@ -9,8 +9,10 @@ contract is one call per group.
 from __future__ import annotations
 
 import asyncio
+import gc
 import itertools
 from collections.abc import Awaitable, Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
@@ -76,6 +78,54 @@ def row_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[dict]]:
         yield run
 
 
+@contextmanager
+def rare_collections() -> Iterator[None]:
+    """Let Python look for cycles less often: beside thousands of open handlers each look costs more than their work."""
+    old = gc.get_threshold()
+    gc.set_threshold(200_000, 20, 20)
+    try:
+        yield
+    finally:
+        gc.set_threshold(*old)
+
+
+class _Columns(dict):
+    """The columns of a batch as lists, each made when it is first read."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        super().__init__()
+        self.batch, self.names = batch, batch.schema.names
+
+    def __missing__(self, name: str) -> list:
+        values = self[name] = self.batch.column(name).to_pylist()
+        return values
+
+
+class BatchRow:
+    """A row of a batch for a :class:`msgflow.message.Datum`: columns that nobody reads are never decoded."""
+
+    __slots__ = ("_columns", "_at")
+
+    def __init__(self, columns: _Columns, at: int) -> None:
+        self._columns, self._at = columns, at
+
+    def __getitem__(self, name: str) -> Any:
+        if name not in self._columns.names:
+            raise KeyError(name)
+        return self._columns[name][self._at]
+
+    def get(self, name: str, default: Any = None) -> Any:
+        return self._columns[name][self._at] if name in self._columns.names else default
+
+    def __reduce__(self):
+        return dict, ([(name, self[name]) for name in self._columns.names],)
+
+
+def batch_rows(batch: pa.RecordBatch) -> Iterator[BatchRow]:
+    columns = _Columns(batch)
+    return (BatchRow(columns, at) for at in range(batch.num_rows))
+
+
 def to_batches(rows: Iterator[dict], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Rows as Arrow batches, sent on at ``size`` rows or MAX_BYTES of payload."""
     chunk: list[dict] = []

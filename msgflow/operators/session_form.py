@@ -12,8 +12,9 @@ from __future__ import annotations
 import asyncio
 import inspect
 import pickle
+import sys
 from collections import deque
-from collections.abc import AsyncIterator, Iterable
+from collections.abc import AsyncIterator, Coroutine, Iterable
 from typing import Any
 
 from msgflow.message import Datum, Interval, Message
@@ -61,8 +62,28 @@ def _loop() -> asyncio.AbstractEventLoop:
     return _loops[0]
 
 
+def _task(work: Coroutine) -> asyncio.Task:
+    """A task that runs at once up to where it waits; older Pythons begin it a turn later."""
+    loop = asyncio.get_running_loop()
+    return asyncio.Task(work, loop=loop, eager_start=True) if sys.version_info >= (3, 12) else loop.create_task(work)
+
+
+async def _ended(tasks: list[asyncio.Task]) -> None:
+    """Wait for cancelled tasks, whatever they end with."""
+    await asyncio.sleep(0)
+    if left := [t for t in tasks if not t.done()]:
+        await asyncio.wait(left)
+    for t in tasks:
+        if not t.cancelled():
+            t.exception()
+
+
 class _Session:
-    """One instance of the handler, fed a chunk of rows at a time."""
+    """One instance of the handler, fed a chunk of rows at a time.
+
+    ``states``, ``merges`` and ``results`` serve many sessions in one run of the event loop: a run of its own for each step
+    of each session costs far more than the step. Each session still has its own task.
+    """
 
     build: Any = None
 
@@ -70,56 +91,90 @@ class _Session:
         self.handler = type(self).build()
         self.feed = _Feed()
         self.task: asyncio.Task | None = None
+        self.fed = False
+        self.keys: list[str] = []
         self.out: list[Message] = []
 
-    def _start(self, keys: list[str]) -> None:
-        async def read() -> None:
-            async for message in self.handler.session_reduce(keys, self.feed):
-                self.out.append(message)
-
-        if self.task is None:
-            self.task = _loop().create_task(read())
+    async def _read(self) -> None:
+        async for message in self.handler.session_reduce(self.keys, self.feed):
+            self.out.append(message)
 
-    def _drain(self) -> None:
+    async def _drain(self) -> None:
         """Let the handler read until it waits for another row, or has ended."""
-
-        async def taken() -> None:
-            while not self.task.done() and not self.feed.waiting():
-                await asyncio.sleep(0)
-            if self.task.done():
-                self.task.result()
-
-        if self.task is not None:
-            if self.feed.rows:
-                self.feed._wake()
-            _loop().run_until_complete(taken())
+        if not self.fed:
+            return
+        if self.task is None:
+            self.task = _task(self._read())
+        elif self.feed.rows:
+            self.feed._wake()
+        while not self.task.done() and not self.feed.waiting():
+            await asyncio.sleep(0)
+        if self.task.done():
+            self.task.result()
 
     def add(self, datum: Datum) -> None:
-        self._start(datum.keys)
+        if not self.fed:
+            self.fed, self.keys = True, datum.keys
         self.feed.rows.append(datum)
         if len(self.feed.rows) >= CHUNK:
-            self._drain()
+            _loop().run_until_complete(self._drain())
 
     def state(self) -> bytes:
-        """What the handler has said and what it holds; it reads no more rows."""
-        self._drain()
-        held = _loop().run_until_complete(self.handler.accumulator())
-        if self.task is not None and not self.task.done():
-            self.task.cancel()
-            _loop().run_until_complete(asyncio.gather(self.task, return_exceptions=True))
-        return pickle.dumps((self.out, held))
+        return type(self).states([self])[0]
+
+    @classmethod
+    def states(cls, sessions: list[_Session]) -> list[bytes]:
+        """What each handler has said and what it holds; they read no more rows."""
+
+        async def held() -> list[Any]:
+            found, open_tasks = [], []
+            for session in sessions:
+                await session._drain()
+                found.append(await session.handler.accumulator())
+                if session.task is not None and not session.task.done():
+                    session.task.cancel()
+                    open_tasks.append(session.task)
+            if open_tasks:
+                await _ended(open_tasks)
+            return found
+
+        return [pickle.dumps((s.out, h)) for s, h in zip(sessions, _loop().run_until_complete(held()))]
 
     def merge(self, state: bytes) -> None:
-        self._drain()
-        said, held = pickle.loads(state)
-        self.out.extend(said)
-        _loop().run_until_complete(self.handler.merge_accumulator(held))
+        type(self).merges([(self, [state])])
+
+    @classmethod
+    def merges(cls, pairs: list[tuple[_Session, Iterable[bytes]]]) -> None:
+        """Add states to what each handler holds."""
+
+        async def merged() -> None:
+            for session, states in pairs:
+                await session._drain()
+                for state in states:
+                    said, held = pickle.loads(state)
+                    session.out.extend(said)
+                    await session.handler.merge_accumulator(held)
+
+        _loop().run_until_complete(merged())
 
     def result(self, keys: list[str], window: Interval) -> Iterable[Message]:
-        self._start(keys)
-        self.feed.end()
-        _loop().run_until_complete(self.task)
-        return self.out
+        return type(self).results([(self, keys, window)])[0]
+
+    @classmethod
+    def results(cls, calls: list[tuple[_Session, list[str], Interval]]) -> list[Iterable[Message]]:
+        """Let each handler read to the end of its session."""
+
+        async def read() -> None:
+            for session, keys, _ in calls:
+                if not session.fed:
+                    session.fed, session.keys = True, keys
+                session.feed.end()
+                if session.task is None:
+                    session.task = _task(session._read())
+                await session.task
+
+        _loop().run_until_complete(read())
+        return [session.out for session, _, _ in calls]
 
 
 def session_form(handler: type, init_args: tuple = (), init_kwargs: dict | None = None) -> type:

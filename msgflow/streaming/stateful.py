@@ -23,9 +23,10 @@ from msgflow.message import Datum, Interval, Message, make_factory
 from msgflow.operators import envelope as E
 from msgflow.operators import scan
 from msgflow.operators import windows as W
-from msgflow.operators.group_handlers import _Async, _combine, _is_async, _mergeable_factory
+from msgflow.operators.group_handlers import _Async, _combine_packed, _is_async, _mergeable_factory, merged_handlers, results_of, states_of
 from msgflow.operators.handlers import iterate
 from msgflow.functions.scalars import interval_micros
+from msgflow.streaming import packed
 
 COLUMNS = ("id", "keys", "value", "event_time", "watermark", "headers")
 _ACCUMULATED = (*COLUMNS, "tags")
@@ -215,9 +216,9 @@ def reduce_handler_stream(
 
 
 class _Sessions(StatefulProcessor):
-    """The open sessions of a key as one state value: few are open at a time. One timer per key.
+    """The open sessions of a bucket of keys as one state value: few are open at a time. One timer per bucket.
 
-    Rows come as states of stretches shorter than the gap, made in the tasks before the shuffle.
+    Rows come packed, as states of stretches shorter than the gap, made in the tasks before the shuffle.
     """
 
     def __init__(self, factory, gap: int) -> None:
@@ -225,14 +226,18 @@ class _Sessions(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("sessions", T.StructType([T.StructField("packed", T.BinaryType())]))
+        self.state = handle.getValueState("sessions", packed.PACKED)
 
-    def _due_ms(self, sessions: list[tuple]) -> int | None:
-        return min((_timer_ms(end + self.gap) for _, end, _ in sessions), default=None)
+    def _load(self) -> dict[tuple, list[tuple]]:
+        return pickle.loads(bytes(self.state.get()[0])) if self.state.exists() else {}
 
-    def _save(self, keys: list[str], sessions: list[tuple], timer: int | None) -> None:
+    def _due_ms(self, held: dict[tuple, list[tuple]]) -> int | None:
+        end = min((end for sessions in held.values() for _, end, _ in sessions), default=None)
+        return None if end is None else _timer_ms(end + self.gap)
+
+    def _save(self, held: dict[tuple, list[tuple]], timer: int | None) -> None:
         """Store the sessions and move the timer to the first one that closes."""
-        due = self._due_ms(sessions)
+        due = self._due_ms(held)
         if timer is not None and timer != due:
             self.handle.deleteTimer(timer)
         if due is None:
@@ -240,56 +245,71 @@ class _Sessions(StatefulProcessor):
             return
         if timer != due:
             self.handle.registerTimer(due)
-        self.state.update((pickle.dumps((keys, sessions)),))
+        self.state.update((pickle.dumps(held),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        stored: list[tuple] = []
-        if self.state.exists():
-            _, stored = pickle.loads(bytes(self.state.get()[0]))
-        keys, parts = None, []
-        for r in rows:
-            keys = list(r["keys"]) if keys is None else keys
-            parts.append((r["_lo"], r["_hi"], False, bytes(r["_state"])))
-        # Stored sessions and stretches in order of their start: neighbours within the gap merge.
-        line = sorted([*[(a, b, True, s) for a, b, s in stored], *parts], key=lambda x: x[:2])
-        merged: list[list] = []
-        for start, end, known, state in line:
-            if merged and start - merged[-1][1] <= self.gap:
-                merged[-1][1] = max(merged[-1][1], end)
-                merged[-1][2] |= known
-                merged[-1][3].append(state)
-            else:
-                merged.append([start, end, known, [state]])
-        now = timerValues.getCurrentWatermarkInMs()
-        sessions = [
-            (start, end, self._combine(states))
-            for start, end, known, states in merged
-            if known or _timer_ms(end + self.gap) > now  # else the whole session is late
-        ]
-        if sessions:
-            self._save(keys, sessions, self._due_ms(stored))
+        with scan.rare_collections():
+            self._take(rows, timerValues.getCurrentWatermarkInMs())
         return iter([])
 
-    def _combine(self, states: list[bytes]) -> bytes:
-        if len(states) == 1:
-            return states[0]
-        handler = self.factory()
-        for state in states:
-            handler.merge(state)
-        return handler.state()
+    def _take(self, rows: Iterator[Row], now: int) -> None:
+        held = self._load()
+        timer = self._due_ms(held)
+        parts: dict[tuple, list[tuple]] = {}
+        for r in rows:
+            for keys, low, high, state in pickle.loads(bytes(r["packed"])):
+                parts.setdefault(tuple(keys), []).append((low, high, False, state))
+        joined: list[tuple] = []  # (session, its states) where there are several
+        for keys, new in parts.items():
+            # Stored sessions and stretches in order of their start: neighbours within the gap merge.
+            line = sorted([*[(a, b, True, s) for a, b, s in held.get(keys, ())], *new], key=lambda x: x[:2])
+            merged: list[list] = []
+            for start, end, known, state in line:
+                if merged and start - merged[-1][1] <= self.gap:
+                    merged[-1][1] = max(merged[-1][1], end)
+                    merged[-1][2] |= known
+                    merged[-1][3].append(state)
+                else:
+                    merged.append([start, end, known, [state]])
+            sessions = []
+            for start, end, known, states in merged:
+                if not known and _timer_ms(end + self.gap) <= now:  # the whole session is late
+                    continue
+                if len(states) > 1:
+                    joined.append((sessions, len(sessions), states))
+                sessions.append((start, end, states[0]))
+            if sessions:
+                held[keys] = sessions
+        for low in range(0, len(joined), packed.CHUNK):
+            some = joined[low : low + packed.CHUNK]
+            handlers = merged_handlers(self.factory, [states for _, _, states in some])
+            for (sessions, at, _), state in zip(some, states_of(handlers)):
+                sessions[at] = (*sessions[at][:2], state)
+        if held:
+            self._save(held, timer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
-        keys, stored = pickle.loads(bytes(self.state.get()[0]))
-        still_open = [s for s in stored if _timer_ms(s[1] + self.gap) > now]
-        closed = [s for s in stored if _timer_ms(s[1] + self.gap) <= now]
-        self._save(keys, still_open, None)
-        for start, end, state in closed:
-            handler = self.factory()
-            handler.merge(state)
-            window = Interval(at_micros(start), at_micros(end + self.gap))
-            for pos, m in enumerate(handler.result(keys, window)):
-                yield _message_row(window.start, window.end, pos, m)
+        held = self._load()
+        closed = []
+        for keys in list(held):
+            closed += [(keys, s) for s in held[keys] if _timer_ms(s[1] + self.gap) <= now]
+            held[keys] = [s for s in held[keys] if _timer_ms(s[1] + self.gap) > now]
+            if not held[keys]:
+                del held[keys]
+        self._save(held, None)
+        with scan.rare_collections():
+            yield from packed.pack(self._results(closed))
+
+    def _results(self, closed: list[tuple]) -> Iterator[tuple]:
+        for low in range(0, len(closed), packed.CHUNK):
+            some = closed[low : low + packed.CHUNK]
+            handlers = merged_handlers(self.factory, [[state] for _, (_, _, state) in some])
+            windows = [Interval(at_micros(start), at_micros(end + self.gap)) for _, (start, end, _) in some]
+            calls = [(h, list(keys), w) for h, (keys, _), w in zip(handlers, some, windows)]
+            for (_, (start, end, _)), messages in zip(some, results_of(calls)):
+                for pos, m in enumerate(messages):
+                    yield start, end + self.gap, pos, m.keys, m.value, m.tags
 
 
 def session_handler_stream(
@@ -300,18 +320,22 @@ def session_handler_stream(
     init_args: tuple = (),
     init_kwargs: dict | None = None,
     columns: Sequence[str] = COLUMNS,
+    buckets: int = packed.BUCKETS,
 ) -> DataFrame:
     """Sessions with a mergeable handler: a row that bridges two open sessions merges their states.
 
     Rows are combined per key and gap-long bucket inside their task, so a hot key is a few rows per task and micro-batch.
-    A session that the watermark has passed before its first row arrives is late and left out.
+    A session that the watermark has passed before its first row arrives is late and left out. The sessions of one of
+    ``buckets`` shares of the keys are read and written together (see :mod:`msgflow.streaming.packed`); their number is fixed
+    for the life of the query.
     """
     factory = _mergeable_factory(handler, init_args, init_kwargs)
     needed = [c for c in dict.fromkeys([*columns, "keys", "event_time"]) if c in df.columns]
     width = interval_micros(gap)
-    rows = df.select(*needed, F.floor(F.unix_micros("event_time") / width).alias("_bucket"))
-    parts = _combine(rows, ["keys", "_bucket"], factory, "event_time")
-    return _run(_grouped(parts, ["keys"]), _Sessions(factory, _constant(df, width)), _result_type())
+    rows = df.select(*needed, F.floor(F.unix_micros("event_time") / width).alias("_bucket"), packed.bucket(buckets).alias(packed.PLACE))
+    parts = _combine_packed(rows, ["keys", "_bucket"], factory, "event_time", packed.PLACE)
+    out = _run(parts.groupBy(packed.PLACE), _Sessions(factory, _constant(df, width)), packed.PACKED)
+    return packed.unpack(out, _result_type())
 
 
 class StreamAccumulator:
