@@ -13,10 +13,14 @@ Rows of windows that the watermark has passed are late and left out.
 from __future__ import annotations
 
 import inspect
+import itertools
+import json
 import pickle
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import AsyncIterator, Iterable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +32,9 @@ from msgflow.operators import envelope as E
 from msgflow.operators import scan
 from msgflow.operators import windows as W
 from msgflow.operators.early import fold_sum
-from msgflow.operators.group_handlers import COLUMNS, MergeableHandler, _combine, _mergeable_factory
+from msgflow.operators.group_handlers import COLUMNS, MergeableHandler, _combine, _is_async, _mergeable_factory
 from msgflow.operators.handlers import iterate
+from msgflow.streaming import packed
 from msgflow.streaming.stateful import _bounds, _constant, _grouped, _interval, _message_row, _result_type, _run, _timer_ms, micros
 
 _PACKED = T.StructType([T.StructField("packed", T.BinaryType())])
@@ -109,56 +114,131 @@ class StreamReducer:
         self.__dict__.update(pickle.loads(state))
 
 
+class _Arrived(dict):
+    """A row as it came; its event time, and its keys where they are text, are made when they are read."""
+
+    __slots__ = ("lazy",)
+
+    def __missing__(self, name: str) -> Any:
+        at, zone, keys = self.lazy
+        if name == "event_time":
+            self[name] = pa.scalar(at, pa.timestamp("us", tz=zone)).as_py()
+        elif name == "keys" and keys is not None:
+            self[name] = json.loads(keys).get("keys")
+        else:
+            raise KeyError(name)
+        return self[name]
+
+    def get(self, name: str, default: Any = None) -> Any:
+        try:
+            return self[name]
+        except KeyError:
+            return default
+
+    def whole(self, names: Iterable[str]) -> dict:
+        return {n: self[n] for n in names}
+
+    def __reduce__(self):
+        return dict, (self.whole([*self, "event_time", *(["keys"] if self.lazy[2] is not None else [])]),)
+
+
+async def _awaited(calls: list[tuple]) -> list[tuple]:
+    said = []
+    for entry, method, args in calls:
+        result = method(*args)
+        if inspect.iscoroutine(result):
+            result = await result
+        if isinstance(result, AsyncIterator):
+            async for m in result:
+                said.append((entry, m))
+        else:
+            said.extend((entry, m) for m in result or ())
+    return said
+
+
+def _answers(calls: Iterator[tuple], loop: scan.Loop) -> Iterator[tuple]:
+    """(entry, message) for calls (entry, method, arguments) in their order; coroutines share runs of the event loop."""
+    for first in calls:
+        if not _is_async(first[1]):
+            yield from ((first[0], m) for m in iterate(first[1](*first[2]), loop))
+        else:
+            yield from loop.run(_awaited([first, *itertools.islice(calls, packed.CHUNK)]))
+
+
 class _Resume(StatefulProcessor):
-    def __init__(self, factory, columns: list[str], order: list[str], keyed: bool) -> None:
+    """The reducers of a window and a bucket of keys: one state value with what each has saved, one timer."""
+
+    def __init__(self, factory, columns: list[str], order: list[str], keyed: bool, width: int, buckets: int, zone: str, text: bool) -> None:
         self.factory, self.columns, self.order, self.keyed = factory, columns, order, keyed
+        self.width, self.buckets, self.zone, self.text = width, buckets, zone, text
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("state", _PACKED)
-
-    def _rows(self, head: tuple, messages: Iterable[Message], final: bool) -> Iterator[Row]:
-        for m in messages:
-            yield Row(window=_bounds(head[0], head[1]), pos=self.seen, final=final, keys=m.keys, value=m.value, tags=m.tags)
-            self.seen += 1
+        self.state = handle.getValueState("state", packed.PACKED)
 
-    def _save(self, head: tuple, worker: StreamReducer) -> None:
-        self.state.update((pickle.dumps((head, self.seen, worker.save())),))
+    def _rows(self, start: int, calls: Iterator[tuple], final: bool) -> Iterator[tuple]:
+        end = start + self.width
+        with scan.Loop() as loop:
+            for entry, m in _answers(calls, loop):
+                yield start, end, entry[0], final, m.keys, m.value, m.tags
+                entry[0] += 1
 
-    def _load(self) -> tuple[tuple, StreamReducer]:
+    def _load(self, saved: tuple[int, bytes]) -> list:
         worker = self.factory()
-        head, self.seen, saved = pickle.loads(bytes(self.state.get()[0]))
-        worker.load(saved)
-        return head, worker
+        worker.load(saved[1])
+        return [saved[0], worker]
+
+    def _items(self, rows: Iterator[Row]) -> Iterator[tuple[str, _Arrived]]:
+        for row in rows:
+            _, at, key, *values = row
+            item = _Arrived(zip(self.columns, values))
+            item.lazy = (at, self.zone, key if self.text else None)
+            yield key if self.keyed else "", item
+
+    def _sorted(self, items: Iterator[tuple[str, _Arrived]]) -> Iterator[tuple[str, _Arrived]]:
+        by_key: dict[str, list[_Arrived]] = {}
+        for key, item in items:
+            by_key.setdefault(key, []).append(item)
+        for key, own in by_key.items():
+            yield from ((key, item) for item in sorted(own, key=lambda d: tuple(d[c] for c in self.order)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first = next(rows)
-        if self.state.exists():
-            head, worker = self._load()
-        elif _closed(first["window"]["end"], timerValues):
-            return
-        else:
-            head = (first["window"]["start"], first["window"]["end"], list(first["keys"]) if self.keyed else [])
-            worker, self.seen = self.factory(), 0
-            self.handle.registerTimer(_timer_ms(micros(head[1])))
-        items = ({c: r[c] for c in self.columns} for r in _chain(first, rows))
-        if self.order:
-            items = sorted(items, key=lambda d: tuple(d[c] for c in self.order))
-        with scan.Loop() as loop:
-            for item in items:
-                yield from self._rows(head, iterate(worker.add(Datum(item)), loop), False)
-        self._save(head, worker)
+        start = key[0] // self.buckets * self.width
+        due = _timer_ms(start + self.width)
+        late = due <= timerValues.getCurrentWatermarkInMs()
+        known = self.state.exists()
+        held = pickle.loads(bytes(self.state.get()[0]))[1] if known else {}
+        opened: dict[str, list] = {}
+
+        def calls() -> Iterator[tuple]:
+            items = self._items(rows)
+            for own, item in self._sorted(items) if self.order else items:
+                entry = opened.get(own)
+                if entry is None:
+                    if own in held:
+                        entry = self._load(held[own])
+                    elif late:
+                        continue
+                    else:
+                        entry = [0, self.factory()]
+                    opened[own] = entry
+                yield entry, entry[1].add, (Datum(item),)
+
+        with scan.rare_collections():
+            yield from packed.pack(self._rows(start, calls(), False))
+            for own, (seen, worker) in opened.items():
+                held[own] = (seen, worker.save())
+        if opened:
+            if not known:
+                self.handle.registerTimer(due)
+            self.state.update((pickle.dumps((start, held)),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        head, worker = self._load()
+        start, held = pickle.loads(bytes(self.state.get()[0]))
         self.state.clear()
-        with scan.Loop() as loop:
-            yield from self._rows(head, iterate(worker.close(), loop), True)
-
-
-def _chain(first, rest):
-    yield first
-    yield from rest
+        entries = map(self._load, held.values())
+        with scan.rare_collections():
+            yield from packed.pack(self._rows(start, ((entry, entry[1].close, ()) for entry in entries), True))
 
 
 def reduce_resumable_stream(
@@ -171,17 +251,28 @@ def reduce_resumable_stream(
     keyed: bool = True,
     columns: Sequence[str] = COLUMNS,
     order: Sequence[str] = (),
+    buckets: int = packed.BUCKETS,
 ) -> DataFrame:
     """``handler.add(datum)`` for each row of a window and key, which may emit at once; ``close`` when the window ends.
 
     Columns: window, pos (emissions of the window, from 0), final (from ``close``), keys, value, tags. Rows come as they
-    arrive and are not held; with ``order`` the rows of a key and micro-batch are sorted first.
+    arrive and are not held; with ``order`` the rows of a key and micro-batch are sorted first. The reducers of a window and
+    one of ``buckets`` shares of the keys are read and written together (see :mod:`msgflow.streaming.packed`); their number
+    is fixed for the life of the query.
     """
     if not (inspect.isclass(handler) and issubclass(handler, StreamReducer)):
         raise TypeError("a resumable reducer must be a subclass of StreamReducer")
     kwargs = init_kwargs or {}
     needed = [c for c in dict.fromkeys([*columns, "keys", "event_time", *order]) if c in df.columns]
-    rows = df.select(W.plain_window(length).alias("window"), *needed)
+    width = interval_micros(length)
+    text = "keys" in needed and df.schema["keys"].dataType.simpleString() == "array<string>"
+    others = [c for c in needed if c != "event_time" and not (text and c == "keys")]
+    place = F.floor(F.unix_micros("event_time") / width) * buckets + (packed.bucket(buckets) if keyed else 0)
+    # Times as numbers, which are several times cheaper to read than timestamps; Spark drops late rows by the column that
+    # bears the mark of the watermark.
+    at = F.unix_micros("event_time").alias("_at", metadata=df.schema["event_time"].metadata)
+    own = scan.group_id(["keys"]) if "keys" in needed else F.lit("")
+    rows = df.select(place.alias(packed.PLACE), at, own.alias(scan.GROUP_ID), *others)
     out_type = T.StructType(
         [
             _interval(),
@@ -190,8 +281,17 @@ def reduce_resumable_stream(
             *[E.ENVELOPE[n] for n in ("keys", "value", "tags")],
         ]
     )
-    processor = _Resume(lambda: handler(*init_args, **kwargs), needed, [c for c in order if c in needed], keyed)
-    return _run(_grouped(rows, ["window", "keys"] if keyed else ["window"]), processor, out_type)
+    processor = _Resume(
+        lambda: handler(*init_args, **kwargs),
+        others,
+        [c for c in order if c in needed],
+        keyed,
+        _constant(df, width),
+        buckets,
+        df.sparkSession.conf.get("spark.sql.session.timeZone"),
+        text,
+    )
+    return packed.unpack(_run(rows.groupBy(packed.PLACE), processor, packed.PACKED), out_type)
 
 
 class _BucketSum(StatefulProcessor):

@@ -9,11 +9,11 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from msgflow.functions import scalars as S
+from msgflow.constants import EPOCH_TIME
 from msgflow.message import Datum, Message
-from msgflow.operators import envelope as E
 from msgflow.operators import scan, session_form
 from msgflow.session import ship_package
+from msgflow.streaming import reduce as SR
 from msgflow.streaming import replay as RP
 from msgflow.streaming import run, stateful
 from tests.test_stream_state import Words
@@ -62,6 +62,66 @@ def test_sessions_share_runs_of_the_event_loop(monkeypatch):
         assert [m.value.decode() for m in messages] == [*(str(n) for c in counts for n in range(c)), f"{sum(counts)} rows"]
 
 
+class Pairs(SR.StreamReducer):
+    """Says every second row's place, and how many there were with the last event time."""
+
+    def __init__(self):
+        self.count, self.last = 0, None
+
+    async def add(self, datum):
+        self.count, self.last = self.count + 1, datum
+        if self.count % 2 == 0:
+            yield Message(f"{datum.id} {int(datum.event_time.timestamp())}".encode(), keys=datum.keys)
+
+    async def close(self):
+        return [Message(f"{self.count} {self.last.id} {int(self.last.event_time.timestamp())}".encode(), keys=self.last.keys)]
+
+
+class PlainPairs(Pairs):
+    def add(self, datum):
+        self.count, self.last = self.count + 1, datum
+        return [Message(f"{datum.id} {int(datum.event_time.timestamp())}".encode(), keys=datum.keys)] if self.count % 2 == 0 else None
+
+
+@pytest.mark.parametrize("handler", [Pairs, PlainPairs])
+@pytest.mark.parametrize("buckets", [1, 1024])
+def test_resumable_reducers_of_a_bucket_stay_apart(spark, tmp_path, handler, buckets):
+    rnd = random.Random(5)
+    batches = [[(k, t) for t in rnd.sample(range(1 + i * 100, 101 + i * 100), 9) for k in "abcd"] for i in range(3)]
+    rows = files(spark, tmp_path, *batches, [("a", END)], [("b", 250), ("e", 250)])
+    out = result(SR.reduce_resumable_stream(rows, "120 seconds", handler, columns=("id",), order=("event_time",), buckets=buckets))
+    got = sorted((r["keys"][0], int(r.window.start.timestamp()), r.pos, r.final, bytes(r.value).decode()) for r in out.collect())
+    want = []
+    for k in "abcd":
+        for start in (0, 120, 240):
+            own = [(t, f"{i}-{n}") for i, b in enumerate(batches) for t, n in sorted((t, n) for n, (key, t) in enumerate(b) if key == k) if start <= t < start + 120]
+            want += [(k, start, i // 2, False, f"{own[i][1]} {own[i][0]}") for i in range(1, len(own), 2)]
+            want.append((k, start, len(own) // 2, True, f"{len(own)} {own[-1][1]} {own[-1][0]}"))
+    assert got == sorted(want)
+
+
+def test_resumable_reducer_gets_no_row_behind_the_watermark(spark, tmp_path):
+    rows = files(spark, tmp_path, [("a", 500)], [("a", 600)], [("a", 100), ("a", 595), ("b", 100), ("b", 599)], [("a", END)])
+    out = result(SR.reduce_resumable_stream(rows, "1000 seconds", Pairs))
+    got = sorted((r["keys"][0], r.final, bytes(r.value).decode()) for r in out.collect())
+    assert got == [("a", False, "1-0 600"), ("a", True, "3 2-1 595"), ("b", True, "1 2-3 599")]
+
+
+def test_resumable_reducers_share_runs_of_the_event_loop():
+    runs = []
+
+    class Loop(scan.Loop):
+        def run(self, awaitable):
+            runs.append(1)
+            return super().run(awaitable)
+
+    workers = [[0, Pairs()] for _ in range(100)]
+    rows = [{"id": str(i), "keys": ["k"], "event_time": EPOCH_TIME} for i in range(300)]
+    with Loop() as loop:
+        said = list(SR._answers(((workers[i % 100], workers[i % 100][1].add, (Datum(r),)) for i, r in enumerate(rows)), loop))
+    assert len(runs) == 1 and [m.value for _, m in said] == [f"{i} 0".encode() for i in range(100, 200)]
+
+
 def test_rows_of_a_batch_are_rows(spark):
     batch = pa.RecordBatch.from_pylist([{"id": "a", "keys": ["x"], "value": b"1"}, {"id": "b", "keys": [], "value": None}])
     first, second = map(Datum, scan.batch_rows(batch))
