@@ -12,7 +12,7 @@ import pickle
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,10 +29,9 @@ def bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("keys"), F.lit(buckets))
 
 
-def pack(rows: Iterable[tuple]) -> Iterator[Row]:
-    """Rows (window start and end in microseconds, then the other columns) as packed rows."""
-    for chunk in chunks(rows):
-        yield Row(packed=pickle.dumps(chunk))
+def pack(rows: Iterable[tuple]) -> Iterator[bytes]:
+    """Rows (window start and end in microseconds, then the other columns), many in one value."""
+    return map(pickle.dumps, chunks(rows))
 
 
 def chunks(rows: Iterable[tuple]) -> Iterator[list[tuple]]:

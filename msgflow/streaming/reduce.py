@@ -20,10 +20,12 @@ from collections.abc import AsyncIterator, Iterable, Iterator, Sequence
 from typing import Any
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from msgflow.functions.scalars import interval_micros
@@ -37,6 +39,7 @@ from msgflow.operators.handlers import iterate
 from msgflow.streaming import packed
 from msgflow.streaming.stateful import _bounds, _constant, _grouped, _interval, _message_row, _result_type, _run, _timer_ms, micros
 
+WINDOW_BUCKETS = 256  # of each window; several windows are open at a time
 _PACKED = T.StructType([T.StructField("packed", T.BinaryType())])
 
 
@@ -165,17 +168,16 @@ def _answers(calls: Iterator[tuple], loop: scan.Loop) -> Iterator[tuple]:
             yield from loop.run(_awaited([first, *itertools.islice(calls, packed.CHUNK)]))
 
 
-class _Resume(StatefulProcessor):
-    """The reducers of a window and a bucket of keys: one state value with what each has saved, one timer."""
+class _Resume:
+    """The reducers of a window and a bucket of keys: one state value with what each has saved, one time to close them.
+
+    Rows come as (time, key, values of the columns); :class:`_ResumeRows` and :meth:`frames` bring them.
+    """
 
     def __init__(self, factory, columns: list[str], order: list[str], keyed: bool, width: int, buckets: int, zone: str, text: bool) -> None:
         self.factory, self.columns, self.order, self.keyed = factory, columns, order, keyed
         self.width, self.buckets, self.zone, self.text = width, buckets, zone, text
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", packed.PACKED)
-
     def _rows(self, start: int, calls: Iterator[tuple], final: bool) -> Iterator[tuple]:
         end = start + self.width
         with scan.Loop() as loop:
@@ -188,9 +190,8 @@ class _Resume(StatefulProcessor):
         worker.load(saved[1])
         return [saved[0], worker]
 
-    def _items(self, rows: Iterator[Row]) -> Iterator[tuple[str, _Arrived]]:
-        for row in rows:
-            _, at, key, *values = row
+    def _items(self, rows: Iterable[tuple]) -> Iterator[tuple[str, _Arrived]]:
+        for at, key, *values in rows:
             item = _Arrived(zip(self.columns, values))
             item.lazy = (at, self.zone, key if self.text else None)
             yield key if self.keyed else "", item
@@ -202,12 +203,14 @@ class _Resume(StatefulProcessor):
         for key, own in by_key.items():
             yield from ((key, item) for item in sorted(own, key=lambda d: tuple(d[c] for c in self.order)))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        start = key[0] // self.buckets * self.width
-        due = _timer_ms(start + self.width)
-        late = due <= timerValues.getCurrentWatermarkInMs()
-        known = self.state.exists()
-        held = pickle.loads(bytes(self.state.get()[0]))[1] if known else {}
+    def start(self, place: int) -> int:
+        return place // self.buckets * self.width
+
+    def due(self, start: int) -> int:
+        return _timer_ms(start + self.width)
+
+    def take(self, start: int, rows: Iterable[tuple], held: dict[str, tuple[int, bytes]], late: bool) -> Iterator[bytes]:
+        """Packed output of the rows; what the reducers save goes to ``held``. ``late``: no new reducer is opened."""
         opened: dict[str, list] = {}
 
         def calls() -> Iterator[tuple]:
@@ -228,17 +231,58 @@ class _Resume(StatefulProcessor):
             yield from packed.pack(self._rows(start, calls(), False))
             for own, (seen, worker) in opened.items():
                 held[own] = (seen, worker.save())
-        if opened:
+
+    def close(self, start: int, held: dict[str, tuple[int, bytes]]) -> Iterator[bytes]:
+        entries = map(self._load, held.values())
+        with scan.rare_collections():
+            yield from packed.pack(self._rows(start, ((entry, entry[1].close, ()) for entry in entries), True))
+
+    def frames(self, key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """One call of ``applyInPandasWithState``: a column is decoded at once, which many rows need."""
+        start = self.start(int(key[0]))
+        due, now = self.due(start), state.getCurrentWatermarkMs()
+        held = pickle.loads(state.get[0]) if state.exists else {}
+        if not state.hasTimedOut:
+            rows = itertools.chain.from_iterable(zip(*(f[c].tolist() for c in f.columns[1:])) for f in frames)
+            for out in self.take(start, rows, held, due <= now):
+                yield pd.DataFrame({"packed": [out]})
+        if not held:
+            return
+        if state.hasTimedOut or due <= now:
+            state.remove()
+            for out in self.close(start, held):
+                yield pd.DataFrame({"packed": [out]})
+        else:
+            state.update((pickle.dumps(held),))
+            state.setTimeoutTimestamp(due - 1)  # it fires once the watermark is beyond it
+
+
+class _ResumeRows(StatefulProcessor):
+    """The same with rows one at a time, for columns of any type."""
+
+    def __init__(self, reducers: _Resume) -> None:
+        self.reducers = reducers
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", packed.PACKED)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        start = self.reducers.start(key[0])
+        due = self.reducers.due(start)
+        known = self.state.exists()
+        held = pickle.loads(bytes(self.state.get()[0])) if known else {}
+        late = due <= timerValues.getCurrentWatermarkInMs()
+        yield from (Row(packed=out) for out in self.reducers.take(start, (row[1:] for row in rows), held, late))
+        if held:
             if not known:
                 self.handle.registerTimer(due)
-            self.state.update((pickle.dumps((start, held)),))
+            self.state.update((pickle.dumps(held),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        start, held = pickle.loads(bytes(self.state.get()[0]))
+        held = pickle.loads(bytes(self.state.get()[0]))
         self.state.clear()
-        entries = map(self._load, held.values())
-        with scan.rare_collections():
-            yield from packed.pack(self._rows(start, ((entry, entry[1].close, ()) for entry in entries), True))
+        yield from (Row(packed=out) for out in self.reducers.close(self.reducers.start(key[0]), held))
 
 
 def reduce_resumable_stream(
@@ -251,7 +295,7 @@ def reduce_resumable_stream(
     keyed: bool = True,
     columns: Sequence[str] = COLUMNS,
     order: Sequence[str] = (),
-    buckets: int = packed.BUCKETS,
+    buckets: int = WINDOW_BUCKETS,
 ) -> DataFrame:
     """``handler.add(datum)`` for each row of a window and key, which may emit at once; ``close`` when the window ends.
 
@@ -281,7 +325,7 @@ def reduce_resumable_stream(
             *[E.ENVELOPE[n] for n in ("keys", "value", "tags")],
         ]
     )
-    processor = _Resume(
+    reducers = _Resume(
         lambda: handler(*init_args, **kwargs),
         others,
         [c for c in order if c in needed],
@@ -291,7 +335,12 @@ def reduce_resumable_stream(
         df.sparkSession.conf.get("spark.sql.session.timeZone"),
         text,
     )
-    return packed.unpack(_run(rows.groupBy(packed.PLACE), processor, packed.PACKED), out_type)
+    grouped = rows.groupBy(packed.PLACE)
+    if all(rows.schema[c].dataType in (T.StringType(), T.BinaryType()) for c in others):  # which pandas leaves as they are
+        out = grouped.applyInPandasWithState(reducers.frames, packed.PACKED, packed.PACKED, "append", "EventTimeTimeout")
+    else:
+        out = _run(grouped, _ResumeRows(reducers), packed.PACKED)
+    return packed.unpack(out, out_type)
 
 
 class _BucketSum(StatefulProcessor):

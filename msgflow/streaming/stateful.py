@@ -299,7 +299,7 @@ class _Sessions(StatefulProcessor):
                 del held[keys]
         self._save(held, None)
         with scan.rare_collections():
-            yield from packed.pack(self._results(closed))
+            yield from (Row(packed=out) for out in packed.pack(self._results(closed)))
 
     def _results(self, closed: list[tuple]) -> Iterator[tuple]:
         for low in range(0, len(closed), packed.CHUNK):

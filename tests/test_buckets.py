@@ -83,13 +83,12 @@ class PlainPairs(Pairs):
         return [Message(f"{datum.id} {int(datum.event_time.timestamp())}".encode(), keys=datum.keys)] if self.count % 2 == 0 else None
 
 
-@pytest.mark.parametrize("handler", [Pairs, PlainPairs])
-@pytest.mark.parametrize("buckets", [1, 1024])
-def test_resumable_reducers_of_a_bucket_stay_apart(spark, tmp_path, handler, buckets):
+@pytest.mark.parametrize("handler, buckets, columns", [(Pairs, 1, ("id",)), (Pairs, 1024, ("id", "s")), (PlainPairs, 1, ("id", "s"))])
+def test_resumable_reducers_of_a_bucket_stay_apart(spark, tmp_path, handler, buckets, columns):
     rnd = random.Random(5)
     batches = [[(k, t) for t in rnd.sample(range(1 + i * 100, 101 + i * 100), 9) for k in "abcd"] for i in range(3)]
     rows = files(spark, tmp_path, *batches, [("a", END)], [("b", 250), ("e", 250)])
-    out = result(SR.reduce_resumable_stream(rows, "120 seconds", handler, columns=("id",), order=("event_time",), buckets=buckets))
+    out = result(SR.reduce_resumable_stream(rows, "120 seconds", handler, columns=columns, order=("event_time",), buckets=buckets))
     got = sorted((r["keys"][0], int(r.window.start.timestamp()), r.pos, r.final, bytes(r.value).decode()) for r in out.collect())
     want = []
     for k in "abcd":
@@ -100,9 +99,10 @@ def test_resumable_reducers_of_a_bucket_stay_apart(spark, tmp_path, handler, buc
     assert got == sorted(want)
 
 
-def test_resumable_reducer_gets_no_row_behind_the_watermark(spark, tmp_path):
+@pytest.mark.parametrize("columns", [("id",), ("id", "headers")])
+def test_resumable_reducer_gets_no_row_behind_the_watermark(spark, tmp_path, columns):
     rows = files(spark, tmp_path, [("a", 500)], [("a", 600)], [("a", 100), ("a", 595), ("b", 100), ("b", 599)], [("a", END)])
-    out = result(SR.reduce_resumable_stream(rows, "1000 seconds", Pairs))
+    out = result(SR.reduce_resumable_stream(rows, "1000 seconds", Pairs, columns=columns))
     got = sorted((r["keys"][0], r.final, bytes(r.value).decode()) for r in out.collect())
     assert got == [("a", False, "1-0 600"), ("a", True, "3 2-1 595"), ("b", True, "1 2-3 599")]
 
