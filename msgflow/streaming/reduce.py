@@ -254,7 +254,7 @@ class _Resume:
                 yield pd.DataFrame({"packed": [out]})
         else:
             state.update((pickle.dumps(held),))
-            state.setTimeoutTimestamp(due - 1)  # it fires once the watermark is beyond it
+            state.setTimeoutTimestamp(max(due - 1, 1))  # positive; it fires once the watermark is beyond it
 
 
 class _ResumeRows(StatefulProcessor):
